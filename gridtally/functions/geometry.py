@@ -31,10 +31,25 @@ def _oriented(rings: Column) -> Column:
     """Rings of one part: the first counter-clockwise, its holes clockwise."""
     return F.transform(
         rings,
-        lambda r, i: F.when((ring_area(r) >= 0) == (i == 0), r).otherwise(F.reverse(r)),
+        lambda r, i: F.when((_signed_area(r) >= 0) == (i == 0), r).otherwise(F.reverse(r)),
     )
 
 
+def _signed_area(points: Column) -> Column:
+    o = F.get(points, F.lit(0))
+    steps = F.sequence(F.lit(1), F.greatest(F.size(points) - 1, F.lit(1)))
+
+    def add(area: Column, i: Column) -> Column:
+        p, q = F.get(points, i - 1), F.get(points, i)
+        return (
+            area
+            + (p["x"] - o["x"]) * (q["y"] - o["y"])
+            - (q["x"] - o["x"]) * (p["y"] - o["y"])
+        )
+
+    return F.aggregate(steps, F.lit(0.0), add)
+
+
 def rings_from_wkt(wkt: Column) -> Column:
     """Rings of ``POLYGON`` or ``MULTIPOLYGON`` text."""
     body = F.regexp_extract(wkt, r"(?is)POLYGON[^(]*\((.*)\)\s*$", 1)
@@ -73,153 +88,143 @@ def rings_from_geojson(geometry: Column) -> Column:
 
 
 # --- edges and boxes ------------------------------------------------------
+# These take column names or SQL text and return SQL expressions: they run for
+# every edge, and one parsed text is much cheaper to build than nested columns.
+
 
-def ring_edges(points: Column) -> Column:
-    heads = F.slice(points, F.lit(1), F.greatest(F.size(points) - 1, F.lit(0)))
-    tails = F.slice(points, F.lit(2), F.greatest(F.size(points) - 1, F.lit(0)))
-    return F.zip_with(
-        heads,
-        tails,
-        lambda a, b: F.struct(
-            a["x"].alias("ax"), a["y"].alias("ay"), b["x"].alias("bx"), b["y"].alias("by")
-        ),
+def _ring_edges(r: str) -> str:
+    return (
+        f"transform(sequence(1, greatest(size({r}) - 1, 1)), i -> named_struct("
+        f"'ax', get({r}, i - 1).x, 'ay', get({r}, i - 1).y,"
+        f" 'bx', get({r}, i).x, 'by', get({r}, i).y))"
     )
 
 
-def edges(rings: Column) -> Column:
-    return F.flatten(F.transform(rings, ring_edges))
+def edges(rings: str) -> Column:
+    """All edges of a polygon; rings of fewer than two points have none."""
+    return F.expr(
+        f"flatten(transform(filter({rings}, r -> size(r) > 1), r -> {_ring_edges('r')}))"
+    )
 
 
-def box(rings: Column) -> dict[str, Column]:
+def box(rings: str) -> dict[str, Column]:
     """Bounding box as four columns ``minx, maxx, miny, maxy``."""
-    vertices = F.flatten(rings)
-    xs = F.transform(vertices, lambda p: p["x"])
-    ys = F.transform(vertices, lambda p: p["y"])
     return {
-        "minx": F.array_min(xs),
-        "maxx": F.array_max(xs),
-        "miny": F.array_min(ys),
-        "maxy": F.array_max(ys),
+        f"{end}{axis}": F.expr(f"array_{end}(flatten({rings}).{axis})")
+        for axis in ("x", "y")
+        for end in ("min", "max")
     }
 
 
-def _cross(e: Column, px: Column, py: Column) -> Column:
-    return (e["bx"] - e["ax"]) * (py - e["ay"]) - (e["by"] - e["ay"]) * (px - e["ax"])
+def _cross(e: str, x: str, y: str) -> str:
+    return f"(({e}.bx - {e}.ax) * ({y} - {e}.ay) - ({e}.by - {e}.ay) * ({x} - {e}.ax))"
 
 
-def on_edge(e: Column, px: Column, py: Column) -> Column:
+def on_edge(e: str, x: str, y: str) -> str:
     """Is the point on the segment?"""
     return (
-        px.between(F.least(e["ax"], e["bx"]), F.greatest(e["ax"], e["bx"]))
-        & py.between(F.least(e["ay"], e["by"]), F.greatest(e["ay"], e["by"]))
-        & (_cross(e, px, py) == 0)
+        f"({x} BETWEEN least({e}.ax, {e}.bx) AND greatest({e}.ax, {e}.bx)"
+        f" AND {y} BETWEEN least({e}.ay, {e}.by) AND greatest({e}.ay, {e}.by)"
+        f" AND {_cross(e, x, y)} = 0)"
     )
 
 
-def crosses_ray(e: Column, px: Column, py: Column) -> Column:
+def crosses_ray(e: str, x: str, y: str) -> str:
     """Does the segment cross the ray from the point to the right?
 
     The crossing point is compared by the sign of the cross product, without a
     division.
     """
-    return ((e["ay"] > py) != (e["by"] > py)) & ((_cross(e, px, py) > 0) == (e["by"] > e["ay"]))
+    return (
+        f"(({e}.ay > {y}) <> ({e}.by > {y})"
+        f" AND ({_cross(e, x, y)} > 0) = ({e}.by > {e}.ay))"
+    )
+
+
+def touches_edges(edge_list: str, x: str, y: str) -> str:
+    return f"exists({edge_list}, e -> {on_edge('e', x, y)})"
 
 
-def strictly_inside(edge_list: Column, px: Column, py: Column) -> Column:
+def strictly_inside(edge_list: str, x: str, y: str) -> str:
     """Even-odd test; a point on the boundary is not inside."""
-    on_boundary = 1 << 30
-    hits = F.aggregate(
-        edge_list,
-        F.lit(0).cast("long"),
-        lambda n, e: n
-        + F.when(on_edge(e, px, py), F.lit(on_boundary))
-        .when(crosses_ray(e, px, py), F.lit(1))
-        .otherwise(F.lit(0))
-        .cast("long"),
-    )
-    return (hits < on_boundary) & (hits % 2 == 1)
+    crossed = f"size(filter({edge_list}, e -> {crosses_ray('e', x, y)}))"
+    return f"({crossed} % 2 = 1 AND NOT {touches_edges(edge_list, x, y)})"
 
 
-def edges_for_box(edge_list: Column, minx: Column, miny: Column, maxy: Column) -> Column:
+def edges_for_box(edge_list: str, minx: str, miny: str, maxy: str) -> str:
     """The edges that can matter to ``strictly_inside`` for points of a box.
 
     An edge wholly above, below or to the left of the box is neither crossed by
     a ray to the right nor touched by a point of the box.
     """
-    return F.filter(
-        edge_list,
-        lambda e: (F.greatest(e["ay"], e["by"]) >= miny)
-        & (F.least(e["ay"], e["by"]) <= maxy)
-        & (F.greatest(e["ax"], e["bx"]) >= minx),
+    return (
+        f"filter({edge_list}, e -> greatest(e.ay, e.by) >= {miny}"
+        f" AND least(e.ay, e.by) <= {maxy} AND greatest(e.ax, e.bx) >= {minx})"
+    )
+
+
+def edge_meets_square(e: str, x: str, y: str, half: str) -> str:
+    """Does the segment meet the square around ``x, y``?
+
+    For edges whose heights overlap the square already.  The square must not
+    lie on one side of the line; the last factor allows for rounding.
+    """
+    return (
+        f"(least({e}.ax, {e}.bx) <= {x} + {half} AND greatest({e}.ax, {e}.bx) >= {x} - {half}"
+        f" AND abs({_cross(e, x, y)})"
+        f" <= {half} * (abs({e}.bx - {e}.ax) + abs({e}.by - {e}.ay)) * 1.000000001D)"
     )
 
 
-def segment_distance_sq(e: Column, px: Column, py: Column) -> Column:
+def segment_distance_sq(e: str, x: str, y: str) -> str:
     """Squared distance from a point to a segment."""
-    dx, dy = e["bx"] - e["ax"], e["by"] - e["ay"]
-    length_sq = dx * dx + dy * dy
-    t = F.coalesce(
-        F.try_divide((px - e["ax"]) * dx + (py - e["ay"]) * dy, length_sq), F.lit(0.0)
+    dx, dy = f"({e}.bx - {e}.ax)", f"({e}.by - {e}.ay)"
+    t = (
+        f"greatest(0D, least(1D, coalesce(try_divide(({x} - {e}.ax) * {dx}"
+        f" + ({y} - {e}.ay) * {dy}, {dx} * {dx} + {dy} * {dy}), 0D)))"
     )
-    t = F.greatest(F.lit(0.0), F.least(F.lit(1.0), t))
-    ex, ey = e["ax"] + t * dx - px, e["ay"] + t * dy - py
-    return ex * ex + ey * ey
+    return f"(pow({e}.ax + {t} * {dx} - {x}, 2) + pow({e}.ay + {t} * {dy} - {y}, 2))"
 
 
 # --- measures -------------------------------------------------------------
 
-def centroid(rings: Column) -> Column:
+def centroid(rings: str) -> Column:
     """Area-weighted planar centroid as ``struct<x,y>``.
 
     Outer rings and holes must run in opposite directions, so that the signed
     ring areas subtract holes.  Coordinates are shifted by the first vertex to
     keep precision.  Zero area gives the mean of the vertices.
     """
-    def measure(o: Column) -> Column:
-        start = F.struct(*[F.lit(0.0).alias(n) for n in ("a", "mx", "my")])
-
-        def add(acc: Column, e: Column) -> Column:
-            ax, ay = e["ax"] - o["x"], e["ay"] - o["y"]
-            bx, by = e["bx"] - o["x"], e["by"] - o["y"]
-            w = ax * by - bx * ay
-            return F.struct(
-                (acc["a"] + w).alias("a"),
-                (acc["mx"] + (ax + bx) * w).alias("mx"),
-                (acc["my"] + (ay + by) * w).alias("my"),
-            )
-
-        return F.aggregate(edges(rings), start, add)
-
-    def mean_of(name: str) -> Column:
-        # the last vertex of a ring repeats the first
-        vs = F.flatten(
-            F.transform(rings, lambda r: F.slice(r, F.lit(1), F.greatest(F.size(r) - 1, F.lit(0))))
-        )
-        total = F.aggregate(vs, F.lit(0.0), lambda s, p: s + p[name])
-        return F.try_divide(total, F.size(vs))
-
-    first = F.get(F.get(rings, F.lit(0)), F.lit(0))
-    one = F.transform(F.array(measure(first)), lambda m: F.when(
-        m["a"] != 0,
-        F.struct(
-            (first["x"] + F.try_divide(m["mx"], 3 * m["a"])).alias("x"),
-            (first["y"] + F.try_divide(m["my"], 3 * m["a"])).alias("y"),
-        ),
-    ).otherwise(F.struct(mean_of("x").alias("x"), mean_of("y").alias("y"))))
-    return F.get(one, F.lit(0))
+    ox, oy = f"get(get({rings}, 0), 0).x", f"get(get({rings}, 0), 0).y"
+    ax, ay, bx, by = f"(e.ax - {ox})", f"(e.ay - {oy})", f"(e.bx - {ox})", f"(e.by - {oy})"
+    w = f"({ax} * {by} - {bx} * {ay})"
+    moments = (
+        f"aggregate(flatten(transform(filter({rings}, r -> size(r) > 1), r -> {_ring_edges('r')})),"
+        " named_struct('a', 0D, 'mx', 0D, 'my', 0D),"
+        f" (m, e) -> named_struct('a', m.a + {w}, 'mx', m.mx + ({ax} + {bx}) * {w},"
+        f" 'my', m.my + ({ay} + {by}) * {w}))"
+    )
+    # the last vertex of a ring repeats the first
+    vertices = f"flatten(transform({rings}, r -> slice(r, 1, greatest(size(r) - 1, 0))))"
+    mean = {
+        c: f"try_divide(aggregate({vertices}.{c}, 0D, (s, v) -> s + v), size({vertices}))"
+        for c in ("x", "y")
+    }
+    return F.expr(
+        f"get(transform(array({moments}), m -> CASE WHEN m.a <> 0 THEN"
+        f" named_struct('x', {ox} + try_divide(m.mx, 3 * m.a), 'y', {oy} + try_divide(m.my, 3 * m.a))"
+        f" ELSE named_struct('x', {mean['x']}, 'y', {mean['y']}) END), 0)"
+    )
 
 
-def ring_area(points: Column) -> Column:
+def ring_area(r: str) -> str:
     """Signed area of a ring, positive when it runs counter-clockwise."""
-    o = F.get(points, F.lit(0))
-    doubled = F.aggregate(
-        ring_edges(points),
-        F.lit(0.0),
-        lambda a, e: a
-        + (e["ax"] - o["x"]) * (e["by"] - o["y"])
-        - (e["bx"] - o["x"]) * (e["ay"] - o["y"]),
+    ox, oy = f"get({r}, 0).x", f"get({r}, 0).y"
+    return (
+        f"(aggregate(sequence(1, greatest(size({r}) - 1, 1)), 0D, (a, i) -> a"
+        f" + (get({r}, i - 1).x - {ox}) * (get({r}, i).y - {oy})"
+        f" - (get({r}, i).x - {ox}) * (get({r}, i - 1).y - {oy})) / 2)"
     )
-    return doubled / 2
 
 
 def map_points(rings: Column, move) -> Column:

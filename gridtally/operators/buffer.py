@@ -16,7 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G
-from .skew import spread_join
+from .cells import BOX
+from .skew import lookup_join
 from .staging import stage
 from .within import points_in_boxes
 
@@ -29,41 +30,32 @@ def _with_frame(areas: DataFrame, dist: float) -> DataFrame:
     More edges give more strips, so that a strip holds few edges whatever the
     size of the area, but none is lower than ``dist``.
     """
-    height = F.col("maxy") - F.col("miny") + 2 * dist
-    wanted = F.least(
-        F.ceil(F.size("edges") / F.lit(EDGES_PER_STRIP)), F.floor(height / F.lit(dist))
-    )
-    return areas.withColumns(
+    strips = f"least(ceil(size(edges) / {EDGES_PER_STRIP}), floor(_height / {dist!r}D))"
+    return areas.withColumn("_height", F.expr(f"maxy - miny + 2 * {dist!r}D")).withColumns(
         {
-            "_strips": F.greatest(F.lit(1), wanted).cast("long"),
-            "_y0": F.col("miny") - dist,
-            "_height": height,
+            "_strips": F.expr(f"CAST(greatest(1, {strips}) AS BIGINT)"),
+            "_y0": F.expr(f"miny - {dist!r}D"),
         }
     )
 
 
-def _strip(y: Column) -> Column:
-    raw = F.floor((y - F.col("_y0")) / F.col("_height") * F.col("_strips"))
-    return F.greatest(F.lit(0), F.least(F.col("_strips") - 1, raw)).cast("long")
-
-
-def _pad() -> Column:
-    """Height of a strip: edges this near to a strip belong to it too."""
-    return F.col("_height") / F.col("_strips")
+def _strip(y: str) -> str:
+    raw = f"floor(({y} - _y0) / _height * _strips)"
+    return f"greatest(0L, least(_strips - 1, {raw}))"
 
 
 def _strip_edges(framed: DataFrame, area: Sequence[str]) -> DataFrame:
+    """Edges by strip; an edge nearer than a strip's height belongs to it too."""
     each = framed.select(*area, "_strips", "_y0", "_height", F.explode("edges").alias("e"))
-    low = F.least("e.ay", "e.by") - _pad()
-    high = F.greatest("e.ay", "e.by") + _pad()
-    spans = F.explode(F.sequence(_strip(low), _strip(high)))
-    return each.withColumn("_strip", spans).select(*area, "_strip", "e")
+    low = _strip("(least(e.ay, e.by) - _height / _strips)")
+    high = _strip("(greatest(e.ay, e.by) + _height / _strips)")
+    return each.selectExpr(*area, "e", f"explode(sequence({low}, {high})) AS _strip")
 
 
 def _distance(
     probes: DataFrame,
-    strips: DataFrame,
-    frames: DataFrame,
+    strips: tuple[DataFrame, int],
+    frames: tuple[DataFrame, int],
     area: Sequence[str],
     probe: Sequence[str],
     dist: float,
@@ -73,26 +65,19 @@ def _distance(
     Positive outside and NULL beyond ``dist``; negative inside, and no lower
     than minus the height of a strip.
     """
-    placed = spread_join(probes, frames, area, spread_by=probe).select(
-        *area, *probe, "px_x", "px_y", _strip(F.col("px_y")).alias("_strip"), _pad().alias("_cap")
+    placed = lookup_join(probes, *frames, area, spread_by=probe).selectExpr(
+        *area, *probe, "px_x", "px_y", f"{_strip('px_y')} AS _strip", "_height / _strips AS _cap"
     )
-    px, py = F.col("px_x"), F.col("px_y")
-    e = F.col("e")
-    met = spread_join(placed, strips, [*area, "_strip"], spread_by=probe, how="left")
+    met = lookup_join(placed, *strips, [*area, "_strip"], spread_by=probe, how="left")
+    at = ("e", "px_x", "px_y")
     measured = met.groupBy(*area, *probe, "_cap").agg(
-        F.sum(G.crosses_ray(e, px, py).cast("int")).alias("_crossed"),
-        F.max(G.on_edge(e, px, py).cast("int")).alias("_on"),
-        F.min(G.segment_distance_sq(e, px, py)).alias("_d2"),
-    )
-    inside = F.coalesce("_crossed", F.lit(0)) % 2 == 1
-    return measured.select(
-        *area,
-        *probe,
-        F.when(F.col("_on") == 1, 0.0)
-        .when(inside, -F.least(F.sqrt("_d2"), F.col("_cap")))
-        .when(F.col("_d2") <= dist * dist, F.sqrt("_d2"))
-        .alias("_d"),
+        F.expr(f"count_if({G.crosses_ray(*at)}) AS _crossed"),
+        F.expr(f"count_if({G.on_edge(*at)}) AS _on"),
+        F.expr(f"sqrt(min({G.segment_distance_sq(*at)})) AS _edge"),
     )
+    signed = f"""CASE WHEN _on > 0 THEN 0D WHEN _crossed % 2 = 1 THEN -least(_edge, _cap)
+                      WHEN _edge <= {dist!r}D THEN _edge END AS _d"""
+    return measured.selectExpr(*area, *probe, signed)
 
 
 def within_buffer(
@@ -119,35 +104,30 @@ def within_buffer(
     def prepared(df: DataFrame, ids: list[str]) -> DataFrame:
         shape = G.map_points(F.col(rings), project) if project else F.col(rings)
         out = df.select(*ids, shape.alias("_rings")).where(F.col("_rings").isNotNull())
-        return out.withColumns({**G.box(F.col("_rings")), "edges": G.edges(F.col("_rings"))})
+        return out.withColumns({**G.box("_rings"), "edges": G.edges("_rings")})
 
     mine = stage(prepared(polygons, polygon_id).drop("_rings"), "polygons")
     theirs = stage(_with_frame(prepared(areas, area_id).drop("_rings"), dist), "areas")
     strips = stage(_strip_edges(theirs, area_id), "strips")
-    frames = theirs.select(*area_id, "_strips", "_y0", "_height")
+    strips = strips, strips.count()
+    frames = theirs.select(*area_id, "_strips", "_y0", "_height"), theirs.count()
 
     # candidates: the polygon's box must lie in the area's box widened by dist
-    centres = mine.select(
+    centres = mine.selectExpr(
         *polygon_id,
-        *[F.col(c).alias(f"p_{c}") for c in ("minx", "maxx", "miny", "maxy")],
-        ((F.col("minx") + F.col("maxx")) / 2).alias("p_x"),
-        ((F.col("miny") + F.col("maxy")) / 2).alias("p_y"),
+        *[f"{c} AS p_{c}" for c in BOX],
+        "(minx + maxx) / 2 AS p_x",
+        "(miny + maxy) / 2 AS p_y",
     )
-    wide = theirs.select(
+    wide = theirs.selectExpr(
         *area_id,
-        (F.col("minx") - dist).alias("minx"),
-        (F.col("maxx") + dist).alias("maxx"),
-        (F.col("miny") - dist).alias("miny"),
-        (F.col("maxy") + dist).alias("maxy"),
+        *[f"{c} {'-' if c.startswith('min') else '+'} {dist!r}D AS {c}" for c in BOX],
     )
     near = points_in_boxes(centres, wide, "p_x", "p_y", (), polygon_id)
     if near is None:
         return polygons.limit(0).select(*polygon_id).join(areas.limit(0).select(*area_id))
     near = near.where(
-        (F.col("p_minx") >= F.col("minx"))
-        & (F.col("p_maxx") <= F.col("maxx"))
-        & (F.col("p_miny") >= F.col("miny"))
-        & (F.col("p_maxy") <= F.col("maxy"))
+        "p_minx >= minx AND p_maxx <= maxx AND p_miny >= miny AND p_maxy <= maxy"
     ).select(*pair)
     near = stage(near.join(mine, polygon_id), "pairs")
 
@@ -161,33 +141,29 @@ def within_buffer(
     result = kept.select(*pair)
 
     # the inside of those that are left
-    half = F.greatest(F.col("maxx") - F.col("minx"), F.col("maxy") - F.col("miny")) / 2
-    squares = kept.select(
+    squares = kept.selectExpr(
         *pair,
-        F.lit("").alias("_q"),
-        ((F.col("minx") + F.col("maxx")) / 2).alias("px_x"),
-        ((F.col("miny") + F.col("maxy")) / 2).alias("px_y"),
-        half.alias("_h"),
+        "'' AS _q",
+        "(minx + maxx) / 2 AS px_x",
+        "(miny + maxy) / 2 AS px_y",
+        "greatest(maxx - minx, maxy - miny) / 2 AS _h",
         "edges",
     )
     square = [*polygon_id, "_q"]
     rejected = []
-    # halving a square from the size of the globe down to the tolerance
-    for _ in range(max(1, math.ceil(math.log2(5e7 / tolerance)))):
+    # quartering the sides from the size of the globe down to the tolerance
+    for _ in range(max(1, math.ceil(math.log(5e7 / tolerance, 4)))):
         probes = squares.select(*pair, "_q", "px_x", "px_y")
         far = _distance(probes, strips, frames, area_id, square, dist)
         state = stage(squares.join(far, [*pair, "_q"]), "squares")
-        in_polygon = G.strictly_inside(F.col("edges"), F.col("px_x"), F.col("px_y")) | F.exists(
-            "edges", lambda e: G.on_edge(e, F.col("px_x"), F.col("px_y"))
-        )
-        reach = F.col("_h") * math.sqrt(2)
-        bad = state.where(F.col("_d").isNull() & in_polygon).select(*pair).distinct()
+        at = ("edges", "px_x", "px_y")
+        in_polygon = f"({G.strictly_inside(*at)} OR {G.touches_edges(*at)})"
+        bad = state.where(f"_d IS NULL AND {in_polygon}").select(*pair).distinct()
         rejected.append(bad)
         undecided = state.where(
-            (F.col("_d").isNull() | (F.col("_d") > dist - reach)) & (reach > tolerance)
+            f"(_d IS NULL OR _d > {dist!r}D - _h * sqrt(2D)) AND _h * sqrt(2D) > {tolerance!r}D"
         ).join(bad, pair, "left_anti")
-        squares = _quarter(undecided, pair)
-        squares = stage(squares, "open")
+        squares = stage(_quarter(_quarter(undecided, pair), pair), "open")
         if squares.isEmpty():
             break
     for bad in rejected:
@@ -197,22 +173,18 @@ def within_buffer(
 
 def _quarter(squares: DataFrame, pair: Sequence[str]) -> DataFrame:
     """The quarters of each square that the polygon touches."""
-    h = F.col("_h") / 2
-    steps = F.array(
-        *[
-            F.struct(F.lit(str(i)).alias("q"), F.lit(sx).alias("sx"), F.lit(sy).alias("sy"))
-            for i, (sx, sy) in enumerate([(-1.0, -1.0), (1.0, -1.0), (-1.0, 1.0), (1.0, 1.0)])
-        ]
+    corners = [(-1, -1), (1, -1), (-1, 1), (1, 1)]
+    steps = ", ".join(
+        f"named_struct('q', '{i}', 'x', px_x + {sx} * _h / 2, 'y', px_y + {sy} * _h / 2)"
+        for i, (sx, sy) in enumerate(corners)
     )
-    cut = squares.withColumn("_s", F.explode(steps)).select(
+    cut = squares.selectExpr(*pair, "_q", "_h", "edges", f"explode(array({steps})) AS s").selectExpr(
         *pair,
-        F.concat("_q", "_s.q").alias("_q"),
-        (F.col("px_x") + F.col("_s.sx") * h).alias("px_x"),
-        (F.col("px_y") + F.col("_s.sy") * h).alias("px_y"),
-        h.alias("_h"),
-        "edges",
+        "concat(_q, s.q) AS _q",
+        "s.x AS px_x",
+        "s.y AS px_y",
+        "_h / 2 AS _h",
+        G.edges_for_box("edges", "(s.x - _h / 2)", "(s.y - _h / 2)", "(s.y + _h / 2)") + " AS edges",
     )
-    x, y, r = F.col("px_x"), F.col("px_y"), F.col("_h")
-    cut = cut.withColumn("edges", G.edges_for_box(F.col("edges"), x - r, y - r, y + r))
-    touches = F.exists("edges", lambda e: F.least(e["ax"], e["bx"]) <= x + r)
-    return cut.where(touches | G.strictly_inside(F.col("edges"), x, y))
+    touches = f"exists(edges, e -> {G.edge_meets_square('e', 'px_x', 'px_y', '_h')})"
+    return cut.where(f"{touches} OR {G.strictly_inside('edges', 'px_x', 'px_y')}")

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from .skew import BROADCAST_ROWS
 from .staging import stage
 
+BOX = ("minx", "maxx", "miny", "maxy")
 BITS_PER_LEVEL = 2
 MAX_BITS = 48
 POINTS_PER_CELL = 16
@@ -39,16 +40,17 @@ class CellPyramid:
     def cell_size(self, level: int) -> float:
         return self.side / (1 << (BITS_PER_LEVEL * level))
 
-    def index(self, value: Column, origin: float, level: int) -> Column:
+    def index(self, value: str, axis: str, level: int) -> str:
         """Cell number along one axis, kept within the frame."""
-        raw = F.floor((value - F.lit(origin)) / F.lit(self.cell_size(level)))
+        origin = self.x0 if axis == "x" else self.y0
         last = (1 << (BITS_PER_LEVEL * level)) - 1
-        return F.greatest(F.lit(0), F.least(F.lit(last), raw)).cast("long")
+        raw = f"floor(({value} - ({origin!r}D)) / {self.cell_size(level)!r}D)"
+        return f"greatest(0L, least({last}L, {raw}))"
 
-    def leaf_index(self, x: Column, y: Column) -> dict[str, Column]:
+    def leaf_index(self, x: str, y: str) -> dict[str, Column]:
         return {
-            "ix": self.index(x, self.x0, self.depth),
-            "iy": self.index(y, self.y0, self.depth),
+            "ix": F.expr(self.index(x, "x", self.depth)),
+            "iy": F.expr(self.index(y, "y", self.depth)),
         }
 
     def bound(self, level: int) -> int:
@@ -62,23 +64,18 @@ class CellPyramid:
         if up:
             cells = (
                 cells.withColumns(
-                    {"ix": F.shiftright("ix", up), "iy": F.shiftright("iy", up)}
+                    {"ix": F.expr(f"shiftright(ix, {up})"), "iy": F.expr(f"shiftright(iy, {up})")}
                 )
                 .groupBy(*self.by, "ix", "iy")
-                .agg(
-                    F.min("minx").alias("minx"),
-                    F.max("maxx").alias("maxx"),
-                    F.min("miny").alias("miny"),
-                    F.max("maxy").alias("maxy"),
-                )
+                .agg(*[F.expr(f"{c[:3]}({c}) AS {c}") for c in BOX])
             )
-        cells = cells.select(
-            *self.by,
-            F.shiftright("ix", BITS_PER_LEVEL).alias("px"),
-            F.shiftright("iy", BITS_PER_LEVEL).alias("py"),
-            F.col("ix").alias("c_ix"),
-            F.col("iy").alias("c_iy"),
-            *[F.col(c).alias(f"c_{c}") for c in ("minx", "maxx", "miny", "maxy")],
+        cells = cells.selectExpr(
+            *[f"`{c}`" for c in self.by],
+            f"shiftright(ix, {BITS_PER_LEVEL}) AS px",
+            f"shiftright(iy, {BITS_PER_LEVEL}) AS py",
+            "ix AS c_ix",
+            "iy AS c_iy",
+            *[f"{c} AS c_{c}" for c in BOX],
         )
         return F.broadcast(cells) if self.bound(level) <= BROADCAST_ROWS else cells
 
@@ -99,20 +96,10 @@ def build_pyramid(
     by = list(by)
     known = points.select(*by, F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
     known = known.where("x IS NOT NULL AND y IS NOT NULL AND NOT isnan(x) AND NOT isnan(y)")
-    groups = known.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min("x").alias("minx"),
-        F.max("x").alias("maxx"),
-        F.min("y").alias("miny"),
-        F.max("y").alias("maxy"),
-    )
-    m = groups.agg(
-        F.count(F.lit(1)).alias("groups"),
-        F.sum("n").alias("n"),
-        F.min("minx").alias("minx"),
-        F.max("maxx").alias("maxx"),
-        F.min("miny").alias("miny"),
-        F.max("maxy").alias("maxy"),
+    measures = ["min(x) AS minx", "max(x) AS maxx", "min(y) AS miny", "max(y) AS maxy"]
+    groups = known.groupBy(*by).agg(F.expr("count(1) AS n"), *[F.expr(e) for e in measures])
+    m = groups.selectExpr(
+        "count(1) AS groups", "sum(n) AS n", *[f"{c[:3]}({c}) AS {c}" for c in BOX]
     ).first()
     if not m["n"]:
         return None
@@ -129,21 +116,13 @@ def build_pyramid(
             by, m["minx"], m["miny"], side, depth, m["n"], m["groups"], leaves=known
         )
         leaves = stage(
-            known.withColumns(shape.leaf_index(F.col("x"), F.col("y")))
+            known.withColumns(shape.leaf_index("x", "y"))
             .groupBy(*by, "ix", "iy")
-            .agg(
-                F.count(F.lit(1)).alias("n"),
-                F.min("x").alias("minx"),
-                F.max("x").alias("maxx"),
-                F.min("y").alias("miny"),
-                F.max("y").alias("maxy"),
-            ),
+            .agg(F.expr("count(1) AS n"), *[F.expr(e) for e in measures]),
             "cells",
         )
         crowd = (
-            leaves.where((F.col("minx") < F.col("maxx")) | (F.col("miny") < F.col("maxy")))
-            .agg(F.max("n"))
-            .first()[0]
+            leaves.where("minx < maxx OR miny < maxy").selectExpr("max(n)").first()[0]
             or 0
         )
         if crowd <= 8 * points_per_cell or BITS_PER_LEVEL * depth >= MAX_BITS or attempt == 2:

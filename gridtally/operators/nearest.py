@@ -8,15 +8,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .cells import CellPyramid, build_pyramid
-from .skew import BROADCAST_ROWS, spread_join
+from .skew import BROADCAST_ROWS, lookup_join, spread_join
 from .staging import stage
 
 
-def _sq(v: Column) -> Column:
-    return v * v
-
-
-def _reach(qx: Column, qy: Column) -> tuple[Column, Column]:
+def _reach() -> tuple[Column, Column]:
     """Squared distance bounds from a location to the points of a cell.
 
     The lower bound is the distance to the tight box.  The upper bound uses
@@ -24,13 +20,22 @@ def _reach(qx: Column, qy: Column) -> tuple[Column, Column]:
     with the farther side in the other.  Both are formed by the same operations
     as a point distance, so rounding keeps their order.
     """
-    x1, x2, y1, y2 = (F.col("c_" + c) for c in ("minx", "maxx", "miny", "maxy"))
-    low = _sq(F.greatest(x1 - qx, qx - x2, F.lit(0.0))) + _sq(
-        F.greatest(y1 - qy, qy - y2, F.lit(0.0))
+
+    def sq(v: str) -> str:
+        return f"({v}) * ({v})"
+
+    def gap(axis: str) -> str:
+        return f"greatest(c_min{axis} - q{axis}, q{axis} - c_max{axis}, 0D)"
+
+    def side(pick: str, axis: str) -> str:
+        return f"{pick}({sq(f'q{axis} - c_min{axis}')}, {sq(f'q{axis} - c_max{axis}')})"
+
+    low = f"{sq(gap('x'))} + {sq(gap('y'))}"
+    high = (
+        f"least({side('least', 'x')} + {side('greatest', 'y')},"
+        f" {side('least', 'y')} + {side('greatest', 'x')})"
     )
-    near_x, far_x = F.least(_sq(qx - x1), _sq(qx - x2)), F.greatest(_sq(qx - x1), _sq(qx - x2))
-    near_y, far_y = F.least(_sq(qy - y1), _sq(qy - y2)), F.greatest(_sq(qy - y1), _sq(qy - y2))
-    return low, F.least(near_x + far_y, near_y + far_x)
+    return F.expr(low), F.expr(high)
 
 
 def _open_cells(frontier: DataFrame, pyramid: CellPyramid, level: int) -> DataFrame:
@@ -38,11 +43,10 @@ def _open_cells(frontier: DataFrame, pyramid: CellPyramid, level: int) -> DataFr
     spot = [*pyramid.by, "qx", "qy"]
     kids = pyramid.children(level).withColumnsRenamed({"px": "ix", "py": "iy"})
     keys = [*pyramid.by, "ix", "iy"]
-    if pyramid.bound(level) <= BROADCAST_ROWS:
-        opened = frontier.join(kids, keys)
-    else:
-        opened = spread_join(stage(frontier, "frontier"), kids, keys, spread_by=["qx", "qy"])
-    low, high = _reach(F.col("qx"), F.col("qy"))
+    if pyramid.bound(level) > BROADCAST_ROWS:
+        frontier = stage(frontier, "frontier")
+    opened = lookup_join(frontier, kids, pyramid.bound(level), keys, ["qx", "qy"])
+    low, high = _reach()
     return (
         opened.withColumns({"_low": low, "_high": high})
         .withColumn("_best", F.min("_high").over(Window.partitionBy(*spot)))
@@ -104,13 +108,12 @@ def nearest_points(
 
     keys = [*by, "ix", "iy"]
     binned = grid.where("x IS NOT NULL AND y IS NOT NULL").withColumns(
-        pyramid.leaf_index(F.col("x"), F.col("y"))
+        pyramid.leaf_index("x", "y")
     )
-    if pyramid.n_points <= BROADCAST_ROWS:
-        reached = frontier.join(F.broadcast(binned), keys)
-    else:
-        reached = spread_join(stage(frontier, "frontier"), binned, keys, spread_by=["qx", "qy"])
-    square = _sq(F.col("x") - F.col("qx")) + _sq(F.col("y") - F.col("qy"))
+    if pyramid.n_points > BROADCAST_ROWS:
+        frontier = stage(frontier, "frontier")
+    reached = lookup_join(frontier, binned, pyramid.n_points, keys, ["qx", "qy"])
+    square = F.expr("(x - qx) * (x - qx) + (y - qy) * (y - qy)")
     best = (
         reached.groupBy(*spot)
         .agg(F.min(F.struct(square.alias("d2"), F.col(idx).alias("i"))).alias("_best"))

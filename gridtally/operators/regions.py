@@ -28,7 +28,7 @@ def polygon_centroids(
 ) -> DataFrame:
     """Replace the polygon by its area-weighted centroid."""
     return (
-        polygons.withColumn("_c", G.centroid(F.col(rings)))
+        polygons.withColumn("_c", G.centroid(rings))
         .withColumns({x: F.col("_c.x"), y: F.col("_c.y")})
         .drop("_c", rings)
     )
@@ -38,24 +38,17 @@ def polygon_validity(
     polygons: DataFrame, polygon_id: Sequence[str] = ("geoid",), rings: str = "rings"
 ) -> DataFrame:
     """Screening report, one row per polygon; nothing is repaired."""
-    r = F.col(rings)
-
-    def repeated(ring):
-        return F.exists(
-            G.ring_edges(ring), lambda e: (e["ax"] == e["bx"]) & (e["ay"] == e["by"])
-        )
-
+    repeated = "get(r, i - 1) = get(r, i)"
     checks = {
-        "n_rings": F.coalesce(F.size(r), F.lit(0)),
-        "n_points": F.coalesce(F.aggregate(r, F.lit(0), lambda n, p: n + F.size(p)), F.lit(0)),
-        "all_closed": F.forall(
-            r, lambda p: F.get(p, F.lit(0)) == F.get(p, F.size(p) - F.lit(1))
-        ),
-        "enough_points": F.forall(r, lambda p: F.size(p) >= 4),
-        "has_area": F.exists(r, lambda p: G.ring_area(p) != 0),
-        "repeated_points": F.exists(r, repeated),
+        "n_rings": f"coalesce(size({rings}), 0)",
+        "n_points": f"coalesce(size(flatten({rings})), 0)",
+        "all_closed": f"forall({rings}, r -> get(r, 0) = get(r, size(r) - 1))",
+        "enough_points": f"forall({rings}, r -> size(r) >= 4)",
+        "has_area": f"exists({rings}, r -> {G.ring_area('r')} <> 0)",
+        "repeated_points": f"exists({rings}, r -> size(r) > 1 AND exists(sequence(1, size(r) - 1),"
+        f" i -> {repeated}))",
     }
-    out = polygons.select(*polygon_id, *[v.alias(k) for k, v in checks.items()])
+    out = polygons.select(*polygon_id, *[F.expr(v).alias(k) for k, v in checks.items()])
     ok = (
         (F.col("n_rings") > 0)
         & F.col("all_closed")

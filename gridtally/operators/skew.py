@@ -92,3 +92,21 @@ def spread_join(
     if condition is not None:
         matched = matched & condition
     return salted.join(copied, matched, how).drop("_salt", *on.values())
+
+
+def lookup_join(
+    left: DataFrame,
+    right: DataFrame,
+    n_right: int,
+    keys: Sequence[str],
+    spread_by: Sequence[str],
+    how: str = "inner",
+) -> DataFrame:
+    """Equi-join with a right side of counted (or bounded) size.
+
+    Small ones are broadcast, which needs no shuffle of the left side and knows
+    no hot keys; larger ones go through ``spread_join``.
+    """
+    if n_right <= BROADCAST_ROWS:
+        return left.join(F.broadcast(right), list(keys), how)
+    return spread_join(left, right, keys, spread_by, how)

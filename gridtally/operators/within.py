@@ -13,8 +13,6 @@ from .cells import BITS_PER_LEVEL, CellPyramid, build_pyramid
 from .skew import BROADCAST_ROWS, ROWS_PER_SPLIT, hot_from_counts, spread_join
 from .staging import stage
 
-_BOX = ("minx", "maxx", "miny", "maxy")
-
 
 def _prefixed(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, Column]:
     """``df`` with renamed keys, and the equality with the plain names."""
@@ -27,32 +25,28 @@ def _starting_cells(shapes: DataFrame, pyramid: CellPyramid) -> DataFrame:
 
     Small shapes start at the finest level and need no descent at all.
     """
-    extent = F.greatest(F.col("maxx") - F.col("minx"), F.col("maxy") - F.col("miny"))
-    level = F.when(
-        extent > 0, F.floor(F.log2(F.lit(pyramid.side) / extent) / F.lit(BITS_PER_LEVEL))
-    ).otherwise(F.lit(pyramid.depth))
+    extent = "greatest(maxx - minx, maxy - miny)"
+    level = f"floor(log2({pyramid.side!r}D / {extent}) / {BITS_PER_LEVEL})"
+    wanted = f"CASE WHEN {extent} > 0 THEN {level} ELSE {pyramid.depth} END"
+    right, top = pyramid.x0 + pyramid.side, pyramid.y0 + pyramid.side
     return shapes.withColumn(
-        "_level",
-        F.greatest(F.lit(0), F.least(F.lit(pyramid.depth), level)).cast("int"),
+        "_level", F.expr(f"CAST(greatest(0, least({pyramid.depth}, {wanted})) AS INT)")
     ).where(
-        (F.col("maxx") >= pyramid.x0)
-        & (F.col("minx") <= pyramid.x0 + pyramid.side)
-        & (F.col("maxy") >= pyramid.y0)
-        & (F.col("miny") <= pyramid.y0 + pyramid.side)
+        f"maxx >= {pyramid.x0!r}D AND minx <= {right!r}D"
+        f" AND maxy >= {pyramid.y0!r}D AND miny <= {top!r}D"
     )
 
 
 def _covered(shapes: DataFrame, pyramid: CellPyramid, level: int) -> DataFrame:
-    def span(lo: str, hi: str, origin: float) -> Column:
-        return F.sequence(
-            pyramid.index(F.col(lo), origin, level), pyramid.index(F.col(hi), origin, level)
-        )
+    def span(axis: str) -> Column:
+        low, high = (pyramid.index(f"{end}{axis}", axis, level) for end in ("min", "max"))
+        return F.expr(f"explode(sequence({low}, {high}))")
 
     return (
         shapes.where(F.col("_level") == level)
         .drop("_level")
-        .withColumn("ix", F.explode(span("minx", "maxx", pyramid.x0)))
-        .withColumn("iy", F.explode(span("miny", "maxy", pyramid.y0)))
+        .withColumn("ix", span("x"))
+        .withColumn("iy", span("y"))
     )
 
 
@@ -60,18 +54,11 @@ def _descend(frontier: DataFrame, pyramid: CellPyramid, level: int) -> DataFrame
     """Replace the cells of ``level`` by the occupied children a shape's box meets."""
     kids = pyramid.children(level + 1).withColumnsRenamed({"px": "ix", "py": "iy"})
     kids, same = _prefixed(kids, [*pyramid.by, "ix", "iy"])
-    meets = (
-        (F.col("c_minx") < F.col("maxx"))
-        & (F.col("c_maxx") > F.col("minx"))
-        & (F.col("c_miny") < F.col("maxy"))
-        & (F.col("c_maxy") > F.col("miny"))
-    )
+    meets = F.expr("c_minx < maxx AND c_maxx > minx AND c_miny < maxy AND c_maxy > miny")
     joined = frontier.join(kids, same & meets)
     if "edges" in frontier.columns:
-        joined = joined.withColumn(
-            "edges",
-            G.edges_for_box(F.col("edges"), F.col("c_minx"), F.col("c_miny"), F.col("c_maxy")),
-        )
+        near = G.edges_for_box("edges", "c_minx", "c_miny", "c_maxy")
+        joined = joined.withColumn("edges", F.expr(near))
     return joined.select(
         *[F.col("c_" + c).alias(c) if c in ("ix", "iy") else F.col(c) for c in frontier.columns]
     )
@@ -113,14 +100,9 @@ def points_in_boxes(
     keys = [*by, "ix", "iy"]
     cells = _shape_cells(boxes, pyramid)
     located = points.where(F.col(x).isNotNull() & F.col(y).isNotNull()).withColumns(
-        pyramid.leaf_index(F.col(x), F.col(y))
-    )
-    inside_box = (
-        (F.col(x) > F.col("minx"))
-        & (F.col(x) < F.col("maxx"))
-        & (F.col(y) > F.col("miny"))
-        & (F.col(y) < F.col("maxy"))
+        pyramid.leaf_index(x, y)
     )
+    inside_box = F.expr(f"{x} > minx AND {x} < maxx AND {y} > miny AND {y} < maxy")
     if pyramid.n_points <= BROADCAST_ROWS:
         located, same = _prefixed(located, keys)
         joined = cells.join(F.broadcast(located), same & inside_box)
@@ -161,7 +143,7 @@ def points_within(
     boxes = polygons.select(*by, *polygon_id, F.col(rings).alias("_rings")).where(
         F.col("_rings").isNotNull()
     )
-    boxes = boxes.withColumns({**G.box(F.col("_rings")), "edges": G.edges(F.col("_rings"))})
+    boxes = boxes.withColumns({**G.box("_rings"), "edges": G.edges("_rings")})
     boxes = boxes.drop("_rings")
     probes = points.select(*dict.fromkeys([*by, *point_id, x, y]))
     pairs = points_in_boxes(probes, boxes, x, y, by, point_id, points_per_cell)
@@ -169,7 +151,7 @@ def points_within(
     if pairs is None:
         found = points.limit(0).select(*ids).join(polygons.limit(0).select(*polygon_id))
     else:
-        found = pairs.where(G.strictly_inside(F.col("edges"), F.col(x), F.col(y))).select(
+        found = pairs.where(G.strictly_inside("edges", x, y)).select(
             *ids, *polygon_id
         )
     if keep == "inner":

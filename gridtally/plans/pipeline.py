@@ -10,6 +10,7 @@ from ..functions.geoid import PARENT_LEVELS
 from ..operators.aggregate import aggregate_blocks, aggregate_parents
 from ..operators.nearest import nearest_points
 from ..operators.regions import polygon_centroids
+from ..operators.staging import stage
 from ..operators.within import points_within
 
 
@@ -21,13 +22,13 @@ def crosswalks(
 ) -> tuple[DataFrame, DataFrame]:
     """Within and nearest crosswalk of block polygons and grid points.
 
-    Write both (and the grid) before using them for many species and years.
+    Both are written once: they serve every species and year.
     """
     block = list(block)
     within = points_within(grid, blocks, by=by, polygon_id=block)
     centres = polygon_centroids(blocks.select(*dict.fromkeys([*by, *block, "rings"])))
     nearest = nearest_points(centres, grid, by=by, query_id=block)
-    return within, nearest
+    return stage(within, "within"), stage(nearest, "nearest")
 
 
 def block_values(
