@@ -1,0 +1,177 @@
+"""Spatial joins against brute force, independent of cells, splits and groups."""
+
+import math
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from gridtally.functions import geometry as G
+from gridtally.operators import cells, nearest, skew, within
+from gridtally.operators.buffer import within_buffer
+from gridtally.operators.nearest import nearest_points
+from gridtally.operators.within import points_within
+
+
+def make_points(n, seed, clump=0):
+    """Spread points, ``clump`` of them in a tiny spot and some exact copies."""
+    rnd = random.Random(seed)
+    rows = [(i, rnd.uniform(-10, 10), rnd.uniform(-5, 5)) for i in range(n - clump)]
+    rows += [
+        (n - clump + i, 3 + rnd.uniform(0, 1e-6), 2 + rnd.uniform(0, 1e-6)) for i in range(clump)
+    ]
+    rows += [(n + i, rows[i][1], rows[i][2]) for i in range(5)]
+    return [("g" + str(i % 2), i, x, y) for i, x, y in rows]
+
+
+def star(rnd, x, y, size):
+    k = rnd.randint(3, 40)
+    pts = []
+    for i in range(k):
+        r = size * rnd.uniform(0.2, 1)
+        pts.append((x + r * math.cos(2 * math.pi * i / k), y + r * math.sin(2 * math.pi * i / k)))
+    return [[*pts, pts[0]]]
+
+
+def make_polygons(n, seed):
+    rnd = random.Random(seed)
+    return [
+        ("g" + str(i % 2), f"p{i}",
+         star(rnd, rnd.uniform(-10, 10), rnd.uniform(-5, 5), 10 ** rnd.uniform(-2, 1)))
+        for i in range(n)
+    ]
+
+
+def inside(px, py, ring):
+    hit = False
+    for (ax, ay), (bx, by) in zip(ring, ring[1:]):
+        if (ay > py) != (by > py) and px < (bx - ax) * (py - ay) / (by - ay) + ax:
+            hit = not hit
+    return hit
+
+
+@pytest.fixture(scope="module")
+def points(spark):
+    rows = make_points(600, 1, clump=200)
+    return rows, spark.createDataFrame(
+        rows, "g STRING, gridcell_idx BIGINT, lon DOUBLE, lat DOUBLE")
+
+
+@pytest.fixture(scope="module")
+def polygons(spark):
+    rows = make_polygons(120, 2)
+    return rows, spark.createDataFrame(
+        rows, f"g STRING, geoid STRING, rings {G.RINGS_TYPE}")
+
+
+@pytest.fixture(params=["broadcast", "shuffle"])
+def path(request, monkeypatch):
+    """Both ways of the joins: counted small tables, and hot keys split."""
+    if request.param == "shuffle":
+        for module in (skew, cells, nearest, within):
+            monkeypatch.setattr(module, "BROADCAST_ROWS", 0)
+        monkeypatch.setattr(within, "ROWS_PER_SPLIT", 10)
+        monkeypatch.setattr(skew.hot_keys, "__defaults__", (5,))
+    return request.param
+
+
+@pytest.mark.parametrize("per_cell", [2, 500])
+def test_points_within_equals_brute_force(points, polygons, path, per_cell):
+    expected = sorted(
+        (i, geoid) for g, i, x, y in points[0] for h, geoid, rings in polygons[0]
+        if g == h and inside(x, y, rings[0])
+    )
+    got = points_within(points[1], polygons[1], by=["g"], points_per_cell=per_cell)
+    assert sorted((r.gridcell_idx, r.geoid) for r in got.collect()) == expected
+    assert len(expected) > 500
+
+
+@pytest.mark.parametrize("per_cell", [2, 500])
+def test_nearest_equals_brute_force(spark, points, path, per_cell):
+    rnd = random.Random(3)
+    asked = [("g" + str(i % 2), f"q{i}", rnd.uniform(-30, 30), rnd.uniform(-30, 30))
+             for i in range(150)]
+    asked += [("g1", f"c{i}", 3 + rnd.uniform(0, 1e-6), 2 + rnd.uniform(0, 1e-6))
+              for i in range(50)]
+    asked += [("g0", "copy1", 100.0, 100.0), ("g0", "copy2", 100.0, 100.0)]
+    odd = [("g0", "nowhere", None, 1.0), ("g2", "no grid", 1.0, 1.0)]
+    queries = spark.createDataFrame(asked + odd, "g STRING, geoid STRING, cx DOUBLE, cy DOUBLE")
+    got = nearest_points(queries, points[1], by=["g"], points_per_cell=per_cell).collect()
+    assert len(got) == len(asked) + 2
+    found = {r.geoid: (r.gridcell_idx, r.distance) for r in got}
+    for g, name, qx, qy in asked:
+        d2, idx = min(
+            ((x - qx) * (x - qx) + (y - qy) * (y - qy), i) for h, i, x, y in points[0] if h == g)
+        assert found[name] == (idx, math.sqrt(d2))
+    assert found["nowhere"] == (None, None) and found["no grid"] == (None, None)
+
+
+def test_no_points(spark, points, polygons):
+    none = points[1].limit(0)
+    assert points_within(none, polygons[1], by=["g"]).count() == 0
+    queries = spark.createDataFrame([("g0", "q", 0.0, 0.0)], "g STRING, geoid STRING, cx DOUBLE, cy DOUBLE")
+    assert nearest_points(queries, none, by=["g"]).first().gridcell_idx is None
+
+
+def test_all_points_equal(spark, polygons):
+    same = spark.range(2000).select(
+        F.lit("g0").alias("g"), F.col("id").alias("gridcell_idx"), F.lit(1.0).alias("lon"),
+        F.lit(1.0).alias("lat"))
+    square = spark.createDataFrame(
+        [("g0", "s", [[(0.0, 0.0), (2.0, 0.0), (2.0, 2.0), (0.0, 2.0), (0.0, 0.0)]])],
+        f"g STRING, geoid STRING, rings {G.RINGS_TYPE}")
+    assert points_within(same, square, by=["g"]).count() == 2000
+
+
+def test_plans_have_no_nested_loop_join(points, polygons, path):
+    for df in (
+        points_within(points[1], polygons[1], by=["g"]),
+        nearest_points(points[1].select("g", F.col("gridcell_idx").alias("geoid"),
+                                        F.col("lon").alias("cx"), F.col("lat").alias("cy")),
+                       points[1], by=["g"]),
+    ):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "NestedLoop" not in plan and "CartesianProduct" not in plan
+
+
+def test_projection_known_values(spark):
+    """Origin, scale along the standard parallels and along the meridian."""
+    x, y = G.to_conic(F.col("lon"), F.col("lat"))
+    at = {(r.lon, r.lat): (r.x, r.y) for r in spark.createDataFrame(
+        [(-96.0, 40.0), (-96.0, 41.0), (-95.999, 20.0), (-95.999, 60.0)], "lon DOUBLE, lat DOUBLE"
+    ).select("lon", "lat", x.alias("x"), y.alias("y")).collect()}
+    assert at[(-96.0, 40.0)] == (pytest.approx(0, abs=1e-6), pytest.approx(0, abs=1e-6))
+    # a degree of meridian around 40.5 N on GRS80
+    assert at[(-96.0, 41.0)][1] == pytest.approx(111044.3, abs=2)
+    e2 = G.GRS80_F * (2 - G.GRS80_F)
+    for lat in (20.0, 60.0):
+        phi = math.radians(lat)
+        true = math.radians(0.001) * G.GRS80_A * math.cos(phi) / math.sqrt(1 - e2 * math.sin(phi) ** 2)
+        assert at[(-95.999, lat)][0] == pytest.approx(true, rel=1e-6)
+
+
+def test_buffer(spark):
+    def box(x1, y1, x2, y2):
+        return [(x1, y1), (x2, y1), (x2, y2), (x1, y2), (x1, y1)]
+
+    # a square area with a square hole of side 10
+    areas = spark.createDataFrame(
+        [("a", [box(0.0, 0.0, 100.0, 100.0), list(reversed(box(45.0, 45.0, 55.0, 55.0)))])],
+        f"uace STRING, rings {G.RINGS_TYPE}")
+    polygons = spark.createDataFrame(
+        [(1, "inside", [box(10.0, 10.0, 20.0, 20.0)]),
+         (1, "near", [box(101.0, 10.0, 102.9, 12.0)]),
+         (1, "far", [box(101.0, 10.0, 103.1, 12.0)]),
+         (1, "beyond corner", [box(101.0, 101.0, 102.5, 102.5)]),
+         (1, "over the hole", [box(40.0, 40.0, 60.0, 60.0)]),
+         (1, "away", [box(300.0, 300.0, 301.0, 301.0)])],
+        f"vintage INT, geoid STRING, rings {G.RINGS_TYPE}")
+
+    def names(dist):
+        out = within_buffer(polygons, areas, dist, tolerance=0.01, project=None)
+        return {r.geoid for r in out.collect()}
+
+    # the corner at (102.5, 102.5) is 3.54 away; the middle of the hole is 5 away
+    assert names(3.0) == {"inside", "near"}
+    assert names(4.0) == {"inside", "near", "far", "beyond corner"}
+    assert names(5.1) == {"inside", "near", "far", "beyond corner", "over the hole"}
