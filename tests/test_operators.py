@@ -1,0 +1,162 @@
+"""Numbering, skew joins, grids and checks on small made-up rows."""
+
+import random
+
+from pyspark.sql import functions as F
+
+from gridtally.functions.nulls import first_present, strict_avg, strict_sum, weighted_mean
+from gridtally.operators import numbering, quality, skew
+from gridtally.operators.aggregate import aggregate_blocks
+from gridtally.operators.grid import attach_cells, extract_grid, number_by_position, sample_files
+from gridtally.operators.regions import polygon_validity
+
+
+def test_strict_statistics(spark):
+    df = spark.createDataFrame(
+        [("a", 1.0, 2.0), ("a", 3.0, 2.0), ("b", 1.0, 1.0), ("b", None, 1.0), ("c", 1.0, 0.0)],
+        "k STRING, v DOUBLE, w DOUBLE")
+    v, w = F.col("v"), F.col("w")
+    got = {r.k: tuple(r)[1:] for r in df.groupBy("k").agg(
+        strict_sum(v), strict_avg(v), weighted_mean(v, w)).collect()}
+    assert got == {"a": (4.0, 2.0, 2.0), "b": (None, None, None), "c": (1.0, 1.0, None)}
+    row = spark.sql("SELECT double('NaN') AS a, 2D AS b, double(NULL) AS c")
+    assert row.select(first_present(F.col("a"), F.col("c"), F.col("b"))).first()[0] == 2.0
+
+
+def test_numbering_equals_one_window(spark, monkeypatch):
+    monkeypatch.setattr(numbering, "COPIES_PER_ROW", 7)
+    rnd = random.Random(5)
+    rows = [(rnd.choice("aab"), rnd.randint(0, 50), rnd.randint(0, 3)) for _ in range(2000)]
+    rows += [("hot", 1, 1)] * 1000 + [(None, 2, 2)] * 5
+    df = spark.createDataFrame(rows, "g STRING, x INT, y INT")
+    got = numbering.number_rows(df.repartition(13), ["g"], ["x", "y"]).collect()
+    assert len(got) == len(rows)
+    for g in ("a", "b", "hot", None):
+        mine = sorted((r.idx, r.x, r.y) for r in got if r.g == g)
+        want = sorted((x, y) for h, x, y in rows if h == g)
+        assert mine == [(i + 1, x, y) for i, (x, y) in enumerate(want)]
+
+
+def test_numbering_without_groups(spark):
+    df = spark.range(100).select((F.col("id") % 10).alias("x"))
+    got = sorted(r.idx for r in numbering.number_rows(df, [], ["x"]).collect())
+    assert got == list(range(1, 101))
+
+
+def test_spread_join_equals_plain_join(spark):
+    rnd = random.Random(6)
+    left = [(i, None if i % 10 == 0 else (1 if i % 3 else rnd.randint(2, 40))) for i in range(900)]
+    right = [(k, f"v{k}{j}") for k in range(30) for j in range(2)]
+    a = spark.createDataFrame(left, "id INT, k INT")
+    b = spark.createDataFrame(right, "k INT, v STRING")
+    for how in ("inner", "left"):
+        hot = skew.hot_keys(a, ["k"], rows_per_split=50)
+        assert hot.where("k = 1").first()._splits > 5
+        got = skew.spread_join(a, b, ["k"], ["id"], how, hot=hot)
+        want = a.join(b, "k", how).select("id", "k", "v")
+        assert sorted(map(repr, got.select("id", "k", "v").collect())) == sorted(
+            map(repr, want.collect()))
+
+
+def test_hot_cell_is_spread_over_tasks(spark, monkeypatch):
+    """A cell that is nearest to most blocks does not end up in one task."""
+    monkeypatch.setattr(skew.hot_keys, "__defaults__", (100,))
+    near = spark.range(3000).select(
+        F.col("id").cast("string").alias("geoid"),
+        F.when(F.col("id") < 2400, 1).otherwise(F.col("id")).alias("gridcell_idx"),
+        F.lit(0.5).alias("distance"))
+    panel = spark.range(3000).select(
+        F.col("id").alias("gridcell_idx"), F.lit(2000).alias("year"),
+        F.col("id").cast("double").alias("predicted"))
+    keys = ["gridcell_idx"]
+    hot = skew.hot_keys(near, keys)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.adaptive.enabled", False)
+    try:
+        joined = skew.spread_join(near, panel, keys, ["geoid"], "left", hot=hot)
+        sizes = joined.groupBy(F.spark_partition_id().alias("p")).count().collect()
+        assert max(r["count"] for r in sizes) < 1500 and sum(r["count"] for r in sizes) == 3000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    empty = near.select("geoid", "gridcell_idx").limit(0)
+    got = aggregate_blocks(panel, empty, near, by=[], block=["geoid"])
+    assert got.count() == 3000 and got.where("predicted_nearest = 1").count() == 2400
+
+
+def test_grid_comes_from_first_year_of_one_species(spark):
+    rows = [("NE1", "urban", s, p, y, lon, 1.0, v)
+            for s in ("no3", "ec") for y in (2001, 2000)
+            for p, lon, v in (("2", 1.0, 10.0), ("1", 2.0, 20.0), ("1", 0.0, 30.0))]
+    rows += [("P9", "rural", "no3", None, 2005, 5.0, 5.0, 50.0)]
+    panel = spark.createDataFrame(
+        rows, "region STRING, urban_rural STRING, species STRING, part_number STRING, year INT,"
+        " lon DOUBLE, lat DOUBLE, predicted DOUBLE")
+    grid = extract_grid(panel)
+    got = sorted((r.region, r.gridcell_idx, r.lon) for r in grid.collect())
+    assert got == [("NE1", 1, 0.0), ("NE1", 2, 2.0), ("NE1", 3, 1.0), ("P9", 1, 5.0)]
+    found = attach_cells(panel, grid)
+    assert found.count() == 13
+    assert {(r.gridcell_idx, r.predicted) for r in found.where("region = 'NE1'").collect()} == {
+        (1, 30.0), (2, 20.0), (3, 10.0)}
+    placed = number_by_position(panel.where("region = 'NE1'"), ["part_number", "lon"])
+    assert {(r.gridcell_idx, r.predicted) for r in placed.collect()} == {
+        (1, 30.0), (2, 20.0), (3, 10.0)}
+
+
+def test_sample_files(spark):
+    rows = [("a", "2001", "NE1", None, "no3"), ("b", "2000", "NE1", None, "no3"),
+            ("c", None, "NE1", None, "no3"), ("d", None, "P9", "1", "no3"),
+            ("e", None, "P9", "2", "no3"), ("f", "1999", "NE1", None, "ec")]
+    files = spark.createDataFrame(
+        rows, "path STRING, year STRING, region STRING, part_number STRING, species STRING")
+    assert sorted(r.path for r in sample_files(files).collect()) == ["b", "d", "e"]
+
+
+def test_panel_check_sees_gaps(spark):
+    rows = [("full", c, y, 1.0) for c in range(3) for y in (1, 2)]
+    rows += [("gap", c, y, 1.0) for c, y in ((0, 1), (0, 2), (1, 1), (2, 2))]
+    rows += [("odd", 0, 1, None), ("odd", 0, None, 1.0), ("odd", 1, 1, 1.0)]
+    panel = spark.createDataFrame(rows, "region STRING, c INT, year INT, predicted DOUBLE").select(
+        "region", F.col("c").cast("double").alias("lon"), F.lit(0.0).alias("lat"), "year",
+        "predicted")
+    got = {r.region: (r.n_rows, r.n_years, r.n_cells, r.n_missing, r.divisible, r.rectangular)
+           for r in quality.panel_check(panel, ["region"]).collect()}
+    assert got == {"full": (6, 2, 3, 0, True, True), "gap": (4, 2, 3, 0, True, False),
+                   "odd": (3, 2, 2, 1, False, False)}
+    assert quality.panel_check(panel.where("region = 'full'"), []).first().rectangular
+
+
+def test_coverage_has_zero_cells(spark):
+    files = spark.createDataFrame(
+        [("NE1", 2000, "ec"), ("NE1", 2000, "ec"), ("P9", 2001, "no3"), ("P9", None, "ec")],
+        "region STRING, year INT, species STRING")
+    got = {(r.region, r.year, r.species): r.n for r in quality.coverage(files).collect()}
+    assert len(got) == 8 and got[("NE1", 2000, "ec")] == 2 and got[("P9", 2000, "ec")] == 0
+    assert sum(got.values()) == 3
+
+
+def test_shares_with_missing_values(spark):
+    df = spark.createDataFrame([(1,), (1,), (0,), (None,)], "urban INT")
+    got = {r.urban: r.percent for r in quality.shares_with_total(df, "urban").collect()}
+    assert got == {1: 50.0, 0: 25.0, None: 75.0}
+
+
+def test_population_checks(spark):
+    classes = spark.createDataFrame(
+        [("09a", None), ("09b", None), ("60a", None), ("23a", 5)], "geoid STRING, population BIGINT")
+    got = {r.state: r.n for r in quality.missing_population(classes).collect()}
+    assert got == {"09": 2}
+    supplied = spark.createDataFrame([("09a", 0), ("09b", 0)], "geoid STRING, value INT")
+    assert [tuple(r) for r in quality.supplied_population(classes, supplied).collect()] == [(0, 2)]
+    own = spark.createDataFrame([("09", 5), ("23", None)], "geoid STRING, population BIGINT")
+    published = spark.createDataFrame([("09", 5), ("23", 4), ("25", 1)], "geoid STRING, population BIGINT")
+    assert [tuple(r) for r in quality.totals_agree(published, own).collect()] == [(True, 1)]
+
+
+def test_empty_and_missing_polygons_are_reported(spark):
+    rows = [("none", None), ("empty", []), ("empty ring", [[]]), ("point", [[(1.0, 1.0)]])]
+    df = spark.createDataFrame(
+        rows, "geoid STRING, rings ARRAY<ARRAY<STRUCT<x: DOUBLE, y: DOUBLE>>>")
+    assert {r.geoid for r in polygon_validity(df).where("NOT valid").collect()} == {
+        "none", "empty", "empty ring", "point"}
