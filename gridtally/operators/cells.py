@@ -108,10 +108,10 @@ def build_pyramid(
     per_group = m["n"] / max(m["groups"], 1)
     area = max(width, side / (1 << 20)) * max(height, side / (1 << 20))
     wanted = math.sqrt(area * points_per_cell / max(per_group, 1))
-    bits = max(0, math.ceil(math.log2(side / wanted))) if wanted < side else 0
+    bits = math.log2(side / wanted) if wanted < side else 0
 
     for attempt in range(3):
-        depth = max(1, math.ceil(bits / BITS_PER_LEVEL))
+        depth = max(1, round(bits / BITS_PER_LEVEL))
         shape = CellPyramid(
             by, m["minx"], m["miny"], side, depth, m["n"], m["groups"], leaves=known
         )
@@ -129,6 +129,6 @@ def build_pyramid(
             break
         bits = min(
             MAX_BITS,
-            BITS_PER_LEVEL * depth + math.ceil(math.log(crowd / points_per_cell, 4)),
+            BITS_PER_LEVEL * depth + math.log(crowd / points_per_cell, 4) + BITS_PER_LEVEL / 2,
         )
     return CellPyramid(by, m["minx"], m["miny"], side, depth, m["n"], m["groups"], leaves)

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .cells import CellPyramid, build_pyramid
-from .skew import BROADCAST_ROWS, lookup_join, spread_join
+from .skew import BROADCAST_ROWS, lookup_join
 from .staging import stage
 
 
@@ -40,18 +40,17 @@ def _reach() -> tuple[Column, Column]:
 
 def _open_cells(frontier: DataFrame, pyramid: CellPyramid, level: int) -> DataFrame:
     """Replace each kept cell by its children and drop those out of reach."""
-    spot = [*pyramid.by, "qx", "qy"]
     kids = pyramid.children(level).withColumnsRenamed({"px": "ix", "py": "iy"})
     keys = [*pyramid.by, "ix", "iy"]
     if pyramid.bound(level) > BROADCAST_ROWS:
         frontier = stage(frontier, "frontier")
-    opened = lookup_join(frontier, kids, pyramid.bound(level), keys, ["qx", "qy"])
+    opened = lookup_join(frontier, kids, pyramid.bound(level), keys, ["_row"])
     low, high = _reach()
     return (
         opened.withColumns({"_low": low, "_high": high})
-        .withColumn("_best", F.min("_high").over(Window.partitionBy(*spot)))
-        .where(F.col("_low") <= F.col("_best"))
-        .select(*spot, F.col("c_ix").alias("ix"), F.col("c_iy").alias("iy"))
+        .withColumn("_best", F.expr("min(_high) OVER (PARTITION BY _row)"))
+        .where("_low <= _best")
+        .selectExpr("_row", *pyramid.by, "qx", "qy", "c_ix AS ix", "c_iy AS iy")
     )
 
 
@@ -65,7 +64,7 @@ def nearest_points(
     x: str = "lon",
     y: str = "lat",
     idx: str = "gridcell_idx",
-    points_per_cell: int | None = None,
+    pyramid: CellPyramid | None = None,
 ) -> DataFrame:
     """The nearest point of each query row: ``by, query_id, idx, distance``.
 
@@ -81,44 +80,40 @@ def nearest_points(
     )
     # copies of a location cannot be told apart: the smallest index stands for all
     grid = grid.groupBy(*by, "x", "y").agg(F.min(idx).alias(idx))
+    ids = list(dict.fromkeys([*by, *query_id]))
     asked = queries.select(
-        *dict.fromkeys([*by, *query_id]),
+        *ids,
         F.nanvl(F.col(qx).cast("double"), F.lit(None).cast("double")).alias("qx"),
         F.nanvl(F.col(qy).cast("double"), F.lit(None).cast("double")).alias("qy"),
     )
-    kw = {} if points_per_cell is None else {"points_per_cell": points_per_cell}
-    pyramid = build_pyramid(grid, "x", "y", by, **kw)
-    out = [*dict.fromkeys([*by, *query_id]), idx, "distance"]
+    pyramid = pyramid or build_pyramid(grid, "x", "y", by)
     if pyramid is None:
         nothing = {
             idx: F.lit(None).cast(points.schema[idx].dataType),
             "distance": F.lit(None).cast("double"),
         }
-        return asked.withColumns(nothing).select(*out)
-
-    spot = [*by, "qx", "qy"]
-    frontier = (
-        asked.select(*spot)
-        .where(F.col("qx").isNotNull() & F.col("qy").isNotNull())
-        .distinct()
-        .withColumns({"ix": F.lit(0).cast("long"), "iy": F.lit(0).cast("long")})
+        return asked.withColumns(nothing).select(*ids, idx, "distance")
+
+    # staged, so that the row number is the same wherever it is used
+    asked = stage(asked.withColumn("_row", F.monotonically_increasing_id()), "queries")
+    frontier = asked.where("qx IS NOT NULL AND qy IS NOT NULL").select("_row", *by, "qx", "qy")
+    frontier = frontier.withColumns(
+        {"ix": F.expr(pyramid.index("qx", "x", 0)), "iy": F.expr(pyramid.index("qy", "y", 0))}
     )
     for level in range(1, pyramid.depth + 1):
         frontier = _open_cells(frontier, pyramid, level)
 
-    keys = [*by, "ix", "iy"]
     binned = grid.where("x IS NOT NULL AND y IS NOT NULL").withColumns(
         pyramid.leaf_index("x", "y")
     )
     if pyramid.n_points > BROADCAST_ROWS:
         frontier = stage(frontier, "frontier")
-    reached = lookup_join(frontier, binned, pyramid.n_points, keys, ["qx", "qy"])
-    square = F.expr("(x - qx) * (x - qx) + (y - qy) * (y - qy)")
+    reached = lookup_join(frontier, binned, pyramid.n_points, [*by, "ix", "iy"], ["_row"])
     best = (
-        reached.groupBy(*spot)
-        .agg(F.min(F.struct(square.alias("d2"), F.col(idx).alias("i"))).alias("_best"))
-        .select(
-            *spot, F.col("_best.i").alias(idx), F.sqrt("_best.d2").alias("distance")
-        )
+        reached.withColumn("_d2", F.expr("(x - qx) * (x - qx) + (y - qy) * (y - qy)"))
+        .withColumn("_best", F.expr("min(_d2) OVER (PARTITION BY _row)"))
+        .where("_d2 = _best")
+        .groupBy("_row")
+        .agg(F.min(idx).alias(idx), F.sqrt(F.min("_d2")).alias("distance"))
     )
-    return spread_join(asked, best, spot, spread_by=query_id, how="left").select(*out)
+    return asked.join(best, "_row", "left").select(*ids, idx, "distance")

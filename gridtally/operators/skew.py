@@ -47,14 +47,21 @@ def hot_from_counts(
     )
 
 
+def _pieces(df: DataFrame, hot: DataFrame, keys: Sequence[str], out: str) -> DataFrame:
+    """Add the number of pieces of each row's key, 1 for ordinary keys."""
+    found = df.join(F.broadcast(hot), list(keys), "left")
+    return found.withColumn(out, F.coalesce("_splits", F.lit(1))).drop("_splits")
+
+
 def spread_join(
     left: DataFrame,
     right: DataFrame,
     keys: Sequence[str],
     spread_by: Sequence[str],
     how: str = "inner",
-    condition: Column | None = None,
     hot: DataFrame | None = None,
+    hot_right: DataFrame | None = None,
+    spread_right_by: Sequence[str] = (),
 ) -> DataFrame:
     """Equi-join whose left side may have hot keys.
 
@@ -62,36 +69,37 @@ def spread_join(
     right rows of that key are copied once per piece.  All other keys join as
     usual.  Left rows with a NULL key never match and are spread too, instead
     of meeting in one task of an outer join.
+
+    An inner join may also name the hot keys of the right side, which are
+    spread by ``spread_right_by`` in the same way.
     """
-    if how not in ("inner", "left"):
-        raise ValueError("spread_join supports inner and left")
-    hot = F.broadcast(hot if hot is not None else hot_keys(left, keys))
-    digest = F.xxhash64(*[F.col(c) for c in spread_by])
+    if how not in ("inner", "left") or (hot_right is not None and how != "inner"):
+        raise ValueError("spread_join supports inner and left, both sides for inner only")
+    hot = hot if hot is not None else hot_keys(left, keys)
+
+    def digest(columns: Sequence[str]) -> Column:
+        return F.xxhash64(*[F.col(c) for c in columns])
+
+    def copies(pieces: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(pieces) - 1))
+
     no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    salted = (
-        left.join(hot, list(keys), "left")
-        .withColumn(
-            "_salt",
-            F.when(no_key, F.pmod(digest, F.lit(MAX_SPLITS)))
-            .otherwise(F.pmod(digest, F.coalesce("_splits", F.lit(1))))
-            .cast("int"),
-        )
-        .drop("_splits")
-    )
-    copied = (
-        right.join(hot, list(keys), "left")
-        .withColumn(
-            "_salt",
-            F.explode(F.sequence(F.lit(0), F.coalesce("_splits", F.lit(1)) - F.lit(1))),
+    pieces = F.when(no_key, F.lit(MAX_SPLITS)).otherwise(F.col("_k"))
+    salted = _pieces(left, hot, keys, "_k")
+    salted = salted.withColumn("_salt", F.pmod(digest(spread_by), pieces).cast("int")).drop("_k")
+    copied = _pieces(right, hot, keys, "_k").withColumn("_salt", copies("_k")).drop("_k")
+    on = [*keys, "_salt"]
+    if hot_right is not None:
+        on.append("_salt2")
+        salted = _pieces(salted, hot_right, keys, "_k").withColumn("_salt2", copies("_k"))
+        copied = _pieces(copied, hot_right, keys, "_k").withColumn(
+            "_salt2", F.pmod(digest(spread_right_by), F.col("_k")).cast("int")
         )
-        .drop("_splits")
-    )
-    on = {k: f"_r_{k}" for k in [*keys, "_salt"]}
-    copied = copied.withColumnsRenamed(on)
-    matched = reduce(lambda a, b: a & b, [F.col(k) == F.col(r) for k, r in on.items()])
-    if condition is not None:
-        matched = matched & condition
-    return salted.join(copied, matched, how).drop("_salt", *on.values())
+        salted, copied = salted.drop("_k"), copied.drop("_k")
+    renamed = {k: f"_r_{k}" for k in on}
+    matched = reduce(lambda a, b: a & b, [F.col(k) == F.col(r) for k, r in renamed.items()])
+    joined = salted.join(copied.withColumnsRenamed(renamed), matched, how)
+    return joined.drop("_salt", "_salt2", *renamed.values())
 
 
 def lookup_join(

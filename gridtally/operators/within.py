@@ -3,23 +3,23 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G
-from .cells import BITS_PER_LEVEL, CellPyramid, build_pyramid
-from .skew import BROADCAST_ROWS, ROWS_PER_SPLIT, hot_from_counts, spread_join
+from .cells import BITS_PER_LEVEL, BOX, CellPyramid, build_pyramid
+from .skew import (
+    BROADCAST_ROWS,
+    ROWS_PER_SPLIT,
+    hot_from_counts,
+    hot_keys,
+    lookup_join,
+    spread_join,
+)
 from .staging import stage
 
 
-def _prefixed(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, Column]:
-    """``df`` with renamed keys, and the equality with the plain names."""
-    renamed = df.withColumnsRenamed({k: f"_r_{k}" for k in keys})
-    return renamed, reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_r_{k}") for k in keys])
-
-
 def _starting_cells(shapes: DataFrame, pyramid: CellPyramid) -> DataFrame:
     """Level at which a shape's box covers about 2 x 2 cells, and that level's cells.
 
@@ -53,9 +53,12 @@ def _covered(shapes: DataFrame, pyramid: CellPyramid, level: int) -> DataFrame:
 def _descend(frontier: DataFrame, pyramid: CellPyramid, level: int) -> DataFrame:
     """Replace the cells of ``level`` by the occupied children a shape's box meets."""
     kids = pyramid.children(level + 1).withColumnsRenamed({"px": "ix", "py": "iy"})
-    kids, same = _prefixed(kids, [*pyramid.by, "ix", "iy"])
-    meets = F.expr("c_minx < maxx AND c_maxx > minx AND c_miny < maxy AND c_maxy > miny")
-    joined = frontier.join(kids, same & meets)
+    bound = pyramid.bound(level + 1)
+    if bound > BROADCAST_ROWS:
+        frontier = stage(frontier, "frontier")
+    joined = lookup_join(frontier, kids, bound, [*pyramid.by, "ix", "iy"], ["_shape"]).where(
+        "c_minx < maxx AND c_maxx > minx AND c_miny < maxy AND c_maxy > miny"
+    )
     if "edges" in frontier.columns:
         near = G.edges_for_box("edges", "c_minx", "c_miny", "c_maxy")
         joined = joined.withColumn("edges", F.expr(near))
@@ -66,8 +69,10 @@ def _descend(frontier: DataFrame, pyramid: CellPyramid, level: int) -> DataFrame
 
 def _shape_cells(shapes: DataFrame, pyramid: CellPyramid) -> DataFrame:
     """Every shape with the finest cells its box may share with points."""
-    # staged: one pass over the geometry serves every level
-    shapes = stage(_starting_cells(shapes, pyramid), "shapes")
+    # staged: one pass over the geometry serves every level; spread by their
+    # place, since files of polygons are few and uneven
+    shapes = _starting_cells(shapes, pyramid).repartition(*pyramid.by, *BOX)
+    shapes = stage(shapes.withColumn("_shape", F.monotonically_increasing_id()), "shapes")
     levels = {r[0] for r in shapes.select("_level").distinct().collect()}  # <= depth + 1 values
     frontier = None
     for level in range(min(levels, default=pyramid.depth), pyramid.depth):
@@ -86,15 +91,14 @@ def points_in_boxes(
     y: str,
     by: Sequence[str],
     point_id: Sequence[str],
-    points_per_cell: int | None = None,
+    pyramid: CellPyramid | None = None,
 ) -> DataFrame | None:
     """Pairs of a point and a box that holds it strictly inside.
 
     ``points`` keeps all its columns; ``boxes`` has ``by``, the box columns
     ``minx, maxx, miny, maxy`` and any others.  None if there are no points.
     """
-    kw = {} if points_per_cell is None else {"points_per_cell": points_per_cell}
-    pyramid = build_pyramid(points, x, y, by, **kw)
+    pyramid = pyramid or build_pyramid(points, x, y, by)
     if pyramid is None:
         return None
     keys = [*by, "ix", "iy"]
@@ -102,21 +106,21 @@ def points_in_boxes(
     located = points.where(F.col(x).isNotNull() & F.col(y).isNotNull()).withColumns(
         pyramid.leaf_index(x, y)
     )
-    inside_box = F.expr(f"{x} > minx AND {x} < maxx AND {y} > miny AND {y} < maxy")
     if pyramid.n_points <= BROADCAST_ROWS:
-        located, same = _prefixed(located, keys)
-        joined = cells.join(F.broadcast(located), same & inside_box)
-        joined = joined.drop(*[f"_r_{k}" for k in keys])
+        joined = cells.join(F.broadcast(located), keys)
     else:
+        cells = stage(cells, "shape-cells")
         joined = spread_join(
             located,
             cells,
             keys,
             spread_by=point_id,
-            condition=inside_box,
             hot=hot_from_counts(pyramid.leaves, keys, "n", ROWS_PER_SPLIT),
+            hot_right=hot_keys(cells, keys, ROWS_PER_SPLIT),
+            spread_right_by=["_shape"],
         )
-    return joined.drop("ix", "iy")
+    inside_box = f"{x} > minx AND {x} < maxx AND {y} > miny AND {y} < maxy"
+    return joined.where(inside_box).drop("ix", "iy", "_shape")
 
 
 def points_within(
@@ -129,7 +133,7 @@ def points_within(
     polygon_id: Sequence[str] = ("geoid",),
     rings: str = "rings",
     keep: str = "inner",
-    points_per_cell: int | None = None,
+    pyramid: CellPyramid | None = None,
 ) -> DataFrame:
     """Which polygons hold each point strictly inside.
 
@@ -137,16 +141,16 @@ def points_within(
     point in overlapping polygons gives several rows.  ``keep="left"`` adds the
     points without a polygon, with NULL polygon columns.  Points and polygons
     share one coordinate system and meet only within equal ``by`` columns.
+    A ``pyramid`` of the points can be given if it is at hand.
     """
     by, point_id, polygon_id = list(by), list(point_id), list(polygon_id)
-    carried = [c for c in points.columns if c not in polygon_id]
     boxes = polygons.select(*by, *polygon_id, F.col(rings).alias("_rings")).where(
         F.col("_rings").isNotNull()
     )
     boxes = boxes.withColumns({**G.box("_rings"), "edges": G.edges("_rings")})
     boxes = boxes.drop("_rings")
     probes = points.select(*dict.fromkeys([*by, *point_id, x, y]))
-    pairs = points_in_boxes(probes, boxes, x, y, by, point_id, points_per_cell)
+    pairs = points_in_boxes(probes, boxes, x, y, by, point_id, pyramid)
     ids = list(dict.fromkeys([*by, *point_id]))
     if pairs is None:
         found = points.limit(0).select(*ids).join(polygons.limit(0).select(*polygon_id))
@@ -156,4 +160,6 @@ def points_within(
         )
     if keep == "inner":
         return found
-    return points.select(*carried).join(found, ids, "left").select(*ids, *polygon_id)
+    found = stage(found, "found")
+    alone = points.select(*ids).join(found.select(*ids).distinct(), ids, "left_anti")
+    return found.unionByName(alone, allowMissingColumns=True)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 
 from ..functions.geoid import PARENT_LEVELS
 from ..operators.aggregate import aggregate_blocks, aggregate_parents
+from ..operators.cells import build_pyramid
 from ..operators.nearest import nearest_points
 from ..operators.regions import polygon_centroids
 from ..operators.staging import stage
@@ -25,9 +26,10 @@ def crosswalks(
     Both are written once: they serve every species and year.
     """
     block = list(block)
-    within = points_within(grid, blocks, by=by, polygon_id=block)
+    pyramid = build_pyramid(grid, "lon", "lat", by)
+    within = points_within(grid, blocks, by=by, polygon_id=block, pyramid=pyramid)
     centres = polygon_centroids(blocks.select(*dict.fromkeys([*by, *block, "rings"])))
-    nearest = nearest_points(centres, grid, by=by, query_id=block)
+    nearest = nearest_points(centres, grid, by=by, query_id=block, pyramid=pyramid)
     return stage(within, "within"), stage(nearest, "nearest")
 
 

@@ -160,3 +160,17 @@ def test_empty_and_missing_polygons_are_reported(spark):
         rows, "geoid STRING, rings ARRAY<ARRAY<STRUCT<x: DOUBLE, y: DOUBLE>>>")
     assert {r.geoid for r in polygon_validity(df).where("NOT valid").collect()} == {
         "none", "empty", "empty ring", "point"}
+
+
+def test_spread_join_of_two_hot_sides(spark):
+    rnd = random.Random(7)
+    a = spark.createDataFrame(
+        [(i, rnd.choice([1, 1, 2, rnd.randint(3, 30), None])) for i in range(300)], "id INT, k INT")
+    b = spark.createDataFrame(
+        [(i, rnd.choice([1, 2, 2, rnd.randint(3, 30), None])) for i in range(300)], "j INT, k INT")
+    got = skew.spread_join(
+        a, b, ["k"], ["id"], hot=skew.hot_keys(a, ["k"], 20),
+        hot_right=skew.hot_keys(b, ["k"], 20), spread_right_by=["j"])
+    want = a.join(b, "k").select("id", "k", "j")
+    assert sorted(map(tuple, got.select("id", "k", "j").collect())) == sorted(
+        map(tuple, want.collect()))

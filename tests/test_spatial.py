@@ -81,7 +81,8 @@ def test_points_within_equals_brute_force(points, polygons, path, per_cell):
         (i, geoid) for g, i, x, y in points[0] for h, geoid, rings in polygons[0]
         if g == h and inside(x, y, rings[0])
     )
-    got = points_within(points[1], polygons[1], by=["g"], points_per_cell=per_cell)
+    pyramid = cells.build_pyramid(points[1], "lon", "lat", ["g"], per_cell)
+    got = points_within(points[1], polygons[1], by=["g"], pyramid=pyramid)
     assert sorted((r.gridcell_idx, r.geoid) for r in got.collect()) == expected
     assert len(expected) > 500
 
@@ -96,7 +97,8 @@ def test_nearest_equals_brute_force(spark, points, path, per_cell):
     asked += [("g0", "copy1", 100.0, 100.0), ("g0", "copy2", 100.0, 100.0)]
     odd = [("g0", "nowhere", None, 1.0), ("g2", "no grid", 1.0, 1.0)]
     queries = spark.createDataFrame(asked + odd, "g STRING, geoid STRING, cx DOUBLE, cy DOUBLE")
-    got = nearest_points(queries, points[1], by=["g"], points_per_cell=per_cell).collect()
+    pyramid = cells.build_pyramid(points[1], "lon", "lat", ["g"], per_cell)
+    got = nearest_points(queries, points[1], by=["g"], pyramid=pyramid).collect()
     assert len(got) == len(asked) + 2
     found = {r.geoid: (r.gridcell_idx, r.distance) for r in got}
     for g, name, qx, qy in asked:
