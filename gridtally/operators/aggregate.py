@@ -52,56 +52,66 @@ def aggregate_blocks(
     by, block = list(by), list(block)
     within = within.where(F.col(block[-1]) != "").select(*by, *block, "gridcell_idx")
     nearest = nearest.select(*by, *block, "gridcell_idx", "distance")
+    cell = [*by, "gridcell_idx"]
+    # one list of hot cells for all joins, so that the panel's shuffle is shared
+    hot = hot_keys(within.select(*cell).unionByName(nearest.select(*cell)), cell)
+    keys = cell
+    if grid is not None:
+        place = {"_kx": coordinate_key(F.col("lon")), "_ky": coordinate_key(F.col("lat"))}
+        spots = grid.withColumns(place).select(*cell, "_kx", "_ky")
+        keys = [*by, "_kx", "_ky"]
+        within, nearest = (
+            spread_join(t, spots, cell, spread_by=block, how="left", hot=hot)
+            for t in (within, nearest)
+        )
+        hot = spots.join(F.broadcast(hot), cell).groupBy(*keys).agg(F.max("_splits").alias("_splits"))
+        panel = panel.withColumns(place)
     extra = []
     if "species" in panel.columns:
         extra = ["species"]
+        keys = [*keys, *extra]
         names = list(species) if species is not None else _species_of(panel)
         each = F.explode(F.array(*[F.lit(s) for s in names]))
-        within, nearest = (t.withColumn("species", each) for t in (within, nearest))
+        within, nearest, hot = (t.withColumn("species", each) for t in (within, nearest, hot))
         if species is not None:
             panel = panel.where(F.col("species").isin(names))
 
-    cell = ["gridcell_idx"]
-    if grid is not None:
-        cell = ["_kx", "_ky"]
-        place = {"_kx": coordinate_key(F.col("lon")), "_ky": coordinate_key(F.col("lat"))}
-        spots = grid.withColumns(place).select(*by, "gridcell_idx", *cell)
-        within, nearest = (
-            t.join(spots, [*by, "gridcell_idx"], "left").drop("gridcell_idx")
-            for t in (within, nearest)
-        )
-        panel = panel.withColumns(place)
+    # the year is split into a value and a mark for NULL, which makes a plain
+    # key of it for grouping and merging alike
+    values = panel.select(
+        *keys,
+        F.coalesce("year", F.lit(0)).alias("_year"),
+        F.col("year").isNotNull().alias("_dated"),
+        F.col("predicted").cast("double").alias("predicted"),
+    )
 
-    keys = [*by, *extra, *cell]
-    values = panel.select(*keys, "year", F.col("predicted").cast("double").alias("predicted"))
-    # one list of hot cells for both joins, so that the panel's shuffle is shared
-    hot = hot_keys(within.select(*keys).unionByName(nearest.select(*keys)), keys)
+    def joined(crosswalk: DataFrame) -> DataFrame:
+        found = spread_join(crosswalk, values, keys, spread_by=block, how="left", hot=hot)
+        return found.withColumns(
+            {"_year": F.coalesce("_year", F.lit(0)), "_dated": F.coalesce("_dated", F.lit(False))}
+        )
 
-    group = [*by, *extra, *block, "year"]
+    group = [*by, *extra, *block, "_year", "_dated"]
     inside = (
-        spread_join(within, values, keys, spread_by=block, how="left", hot=hot)
+        joined(within)
         .groupBy(*group)
         .agg(
             strict_avg(F.col("predicted")).alias("predicted_within"),
             n_rows().alias("n_gridcells_within"),
         )
+        .withColumnsRenamed({c: f"_i_{c}" for c in group})
     )
-    closest = spread_join(nearest, values, keys, spread_by=block, how="left", hot=hot).select(
+    closest = joined(nearest).select(
         *group,
         F.col("predicted").alias("predicted_nearest"),
         F.col("distance").alias("distance_nearest"),
     )
-    inside = inside.withColumnsRenamed({c: f"_i_{c}" for c in group})
-    same = reduce(
-        lambda a, b: a & b,
-        [
-            F.col(c).eqNullSafe(F.col(f"_i_{c}")) if c == "year" else F.col(c) == F.col(f"_i_{c}")
-            for c in group
-        ],
+    same = reduce(lambda a, b: a & b, [F.col(c) == F.col(f"_i_{c}") for c in group])
+    merged = closest.join(inside, same, "left").withColumn(
+        "year", F.when(F.col("_dated"), F.col("_year"))
     )
-    merged = closest.join(inside, same, "left")
     return merged.select(
-        *group, "predicted_within", "n_gridcells_within", "predicted_nearest", "distance_nearest"
+        *by, *extra, *block, "year", "predicted_within", "n_gridcells_within", "predicted_nearest", "distance_nearest"
     )
 
 
