@@ -9,6 +9,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .writers import gathered
+
 MAX_TASKS = 50_000
 
 
@@ -50,6 +52,31 @@ def finished(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame |
     return files.select(*[value(k).alias(k) for k in keys]).distinct()
 
 
+def pending_values(
+    spark: SparkSession, wanted: DataFrame, path: str, keys: Sequence[str]
+) -> dict[str, list[str]] | None:
+    """Values of each key among the tasks that are still to be done.
+
+    None if every wanted task has its partition below ``path``.
+    """
+    wanted = wanted.select(*[F.col(k).cast("string").alias(k) for k in keys]).distinct()
+    done = finished(spark, path, keys)
+    if done is not None:
+        wanted = pending(wanted, done, keys)
+    left = wanted.limit(MAX_TASKS + 1).collect()
+    if len(left) > MAX_TASKS:
+        raise ValueError(f"more than {MAX_TASKS} tasks for {path}")
+    return {k: sorted({r[k] for r in left}) for k in keys} if left else None
+
+
+def restrict(df: DataFrame, values: Mapping[str, Sequence[str]]) -> DataFrame:
+    """Rows whose keys occur in ``values``; on partition columns a scan filter."""
+    for key in values:
+        if key in df.columns:
+            df = df.where(F.col(key).cast("string").isin(list(values[key])))
+    return df
+
+
 def write_pending(
     df: DataFrame,
     path: str,
@@ -72,5 +99,5 @@ def write_pending(
         table = F.broadcast(spark.createDataFrame([tuple(r) for r in present], fields))
         same = [F.col(k).cast("string").eqNullSafe(F.col(f"_done_{k}")) for k in keys]
         df = df.join(table, reduce(lambda a, b: a & b, same), "left_anti")
-    writer = df.write.mode("append").format(fmt).partitionBy(*keys)
+    writer = gathered(df, keys).write.mode("append").format(fmt).partitionBy(*keys)
     writer.options(**(options or {})).save(path)

@@ -15,6 +15,15 @@ def with_file_codes(df: DataFrame, vintage: int, level: str = "blocks") -> DataF
     return df.withColumnRenamed("geoid", code_column(vintage, level))
 
 
+def gathered(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Bring the rows of a partition folder together before they are written.
+
+    Avoids a small file per task and folder; adaptive execution cuts folders
+    that are too large for one file and joins small ones.
+    """
+    return df.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by else df
+
+
 def write_csv(
     df: DataFrame,
     path: str,
@@ -29,6 +38,7 @@ def write_csv(
 
     ``null_value`` is the spelling of a missing value: empty, or ``NA``.
     """
+    df = gathered(df, partition_by)
     if sort_by:
         df = df.sortWithinPartitions(*partition_by, *sort_by)
     writer = (
@@ -52,7 +62,7 @@ def write_counts(counts: DataFrame, path: str, by: Sequence[str]) -> None:
 
 def write_layer(df: DataFrame, folder: str, layer: str, partition_by: Sequence[str] = ()) -> None:
     """A named layer of points or polygons."""
-    writer = df.write.mode("overwrite")
+    writer = gathered(df, partition_by).write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(f"{folder.rstrip('/')}/{layer}")
