@@ -58,24 +58,32 @@ class CellPyramid:
         return min(self.n_points, self.n_groups << (2 * BITS_PER_LEVEL * level))
 
     def children(self, level: int) -> DataFrame:
-        """Cells of ``level`` keyed by their parent, with columns ``c_*``."""
+        """Cells of ``level`` keyed by their parent, with columns ``c_*``.
+
+        ``c_leaf_ix, c_leaf_iy`` name the finest cell if there is but one below.
+        """
         up = BITS_PER_LEVEL * (self.depth - level)
-        cells = self.leaves
+        leaves = self.leaves.withColumns({"leaf_ix": F.col("ix"), "leaf_iy": F.col("iy")})
+        cells = leaves
         if up:
             cells = (
-                cells.withColumns(
+                leaves.withColumns(
                     {"ix": F.expr(f"shiftright(ix, {up})"), "iy": F.expr(f"shiftright(iy, {up})")}
                 )
                 .groupBy(*self.by, "ix", "iy")
-                .agg(*[F.expr(f"{c[:3]}({c}) AS {c}") for c in BOX])
+                .agg(
+                    *[F.expr(f"{c[:3]}({c}) AS {c}") for c in BOX],
+                    *[
+                        F.expr(f"CASE WHEN min({c}) = max({c}) THEN min({c}) END AS {c}")
+                        for c in ("leaf_ix", "leaf_iy")
+                    ],
+                )
             )
         cells = cells.selectExpr(
             *[f"`{c}`" for c in self.by],
             f"shiftright(ix, {BITS_PER_LEVEL}) AS px",
             f"shiftright(iy, {BITS_PER_LEVEL}) AS py",
-            "ix AS c_ix",
-            "iy AS c_iy",
-            *[f"{c} AS c_{c}" for c in BOX],
+            *[f"{c} AS c_{c}" for c in ("ix", "iy", "leaf_ix", "leaf_iy", *BOX)],
         )
         return F.broadcast(cells) if self.bound(level) <= BROADCAST_ROWS else cells
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -53,17 +54,16 @@ def _covered(shapes: DataFrame, pyramid: CellPyramid, level: int) -> DataFrame:
 def _descend(frontier: DataFrame, pyramid: CellPyramid, level: int) -> DataFrame:
     """Replace the cells of ``level`` by the occupied children a shape's box meets."""
     kids = pyramid.children(level + 1).withColumnsRenamed({"px": "ix", "py": "iy"})
-    bound = pyramid.bound(level + 1)
-    if bound > BROADCAST_ROWS:
-        frontier = stage(frontier, "frontier")
-    joined = lookup_join(frontier, kids, bound, [*pyramid.by, "ix", "iy"], ["_shape"]).where(
+    keys = [*pyramid.by, "ix", "iy"]
+    joined = lookup_join(frontier, kids, pyramid.bound(level + 1), keys, ["_shape"]).where(
         "c_minx < maxx AND c_maxx > minx AND c_miny < maxy AND c_maxy > miny"
     )
     if "edges" in frontier.columns:
         near = G.edges_for_box("edges", "c_minx", "c_miny", "c_maxy")
         joined = joined.withColumn("edges", F.expr(near))
+    moved = ("ix", "iy", "leaf_ix", "leaf_iy")
     return joined.select(
-        *[F.col("c_" + c).alias(c) if c in ("ix", "iy") else F.col(c) for c in frontier.columns]
+        *[F.col("c_" + c).alias(c) if c in moved else F.col(c) for c in frontier.columns]
     )
 
 
@@ -74,14 +74,23 @@ def _shape_cells(shapes: DataFrame, pyramid: CellPyramid) -> DataFrame:
     shapes = _starting_cells(shapes, pyramid).repartition(*pyramid.by, *BOX)
     shapes = stage(shapes.withColumn("_shape", F.monotonically_increasing_id()), "shapes")
     levels = {r[0] for r in shapes.select("_level").distinct().collect()}  # <= depth + 1 values
-    frontier = None
+    no_leaf = {c: F.lit(None).cast("long") for c in ("leaf_ix", "leaf_iy")}
+    done, frontier = [_covered(shapes, pyramid, pyramid.depth)], None
     for level in range(min(levels, default=pyramid.depth), pyramid.depth):
         if level in levels:
-            start = _covered(shapes, pyramid, level)
+            start = _covered(shapes, pyramid, level).withColumns(no_leaf)
             frontier = start if frontier is None else frontier.unionByName(start)
+        if pyramid.bound(level + 1) > BROADCAST_ROWS:
+            # cells with a single finest cell below need no further levels
+            frontier = stage(frontier, "frontier")
+            found = frontier.where("leaf_ix IS NOT NULL AND leaf_iy IS NOT NULL")
+            done.append(found.withColumns({"ix": F.col("leaf_ix"), "iy": F.col("leaf_iy")}))
+            frontier = frontier.where("leaf_ix IS NULL OR leaf_iy IS NULL")
         frontier = _descend(frontier, pyramid, level)
-    start = _covered(shapes, pyramid, pyramid.depth)
-    return start if frontier is None else frontier.unionByName(start)
+    if frontier is not None:
+        done.append(frontier)
+    done = [d.drop("leaf_ix", "leaf_iy") for d in done]
+    return reduce(lambda a, b: a.unionByName(b), done)
 
 
 def points_in_boxes(
