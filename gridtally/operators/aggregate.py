@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.geoid import LEVEL_LENGTHS, PARENT_LEVELS, area_prefix
+from ..functions.geoid import LEVEL_LENGTHS, PARENT_LEVELS, area_prefix, parent_codes
 from ..functions.nulls import first_present, n_rows, strict_avg
 from .grid import MAX_GROUPS, coordinate_key
 from .skew import hot_keys, spread_join
@@ -125,15 +125,9 @@ def roll_up(partial: DataFrame, levels: Sequence[str], sums: Sequence[str], grou
     ``partial`` holds one row per area of the finest level; only this small
     table is copied once per level.
     """
-    steps = F.array(
-        *[
-            F.struct(F.lit(n).alias("level"), area_prefix(F.col("geoid"), n).alias("area"))
-            for n in levels
-        ]
-    )
     return (
-        partial.withColumn("_up", F.explode(steps))
-        .groupBy(*group, "_up.level", F.col("_up.area").alias("geoid"))
+        partial.withColumn("_up", F.explode(parent_codes(F.col("geoid"), levels)))
+        .groupBy(*group, "_up.level", "_up.geoid")
         .agg(*[F.sum(c).alias(c) for c in sums])
     )
 

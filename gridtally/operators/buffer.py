@@ -19,7 +19,7 @@ from ..functions import geometry as G
 from .cells import BOX
 from .skew import lookup_join
 from .staging import stage
-from .within import points_in_boxes
+from .within import no_pairs, points_in_boxes
 
 EDGES_PER_STRIP = 16
 
@@ -125,7 +125,7 @@ def within_buffer(
     )
     near = points_in_boxes(centres, wide, "p_x", "p_y", (), polygon_id)
     if near is None:
-        return polygons.limit(0).select(*polygon_id).join(areas.limit(0).select(*area_id))
+        return no_pairs(polygons, polygon_id, areas, area_id)
     near = near.where(
         "p_minx >= minx AND p_maxx <= maxx AND p_miny >= miny AND p_maxy <= maxy"
     ).select(*pair)

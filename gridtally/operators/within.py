@@ -132,6 +132,14 @@ def points_in_boxes(
     return joined.where(inside_box).drop("ix", "iy", "_shape")
 
 
+def no_pairs(
+    left: DataFrame, left_id: Sequence[str], right: DataFrame, right_id: Sequence[str]
+) -> DataFrame:
+    """An empty table with the columns of the pairs."""
+    types = {c: F.lit(None).cast(right.schema[c].dataType) for c in right_id}
+    return left.select(*left_id).limit(0).withColumns(types)
+
+
 def points_within(
     points: DataFrame,
     polygons: DataFrame,
@@ -162,7 +170,7 @@ def points_within(
     pairs = points_in_boxes(probes, boxes, x, y, by, point_id, pyramid)
     ids = list(dict.fromkeys([*by, *point_id]))
     if pairs is None:
-        found = points.limit(0).select(*ids).join(polygons.limit(0).select(*polygon_id))
+        found = no_pairs(points, ids, polygons, polygon_id)
     else:
         found = pairs.where(G.strictly_inside("edges", x, y)).select(
             *ids, *polygon_id
