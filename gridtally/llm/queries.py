@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, packing, secrets
+from . import bpe, neardup, packing, quality, secrets, toxicity
 from .common import table
 
 #: Vocabularies of the token queries; the operators take a path.
@@ -28,6 +28,15 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.rate(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op4_cost_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(
         table(spark, sf_dir, "documents"), PACKING_TOKENIZER, public_tokenizers.PATTERN
@@ -37,6 +46,22 @@ def op4_cost_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def quality_model(docs: DataFrame, labels: DataFrame) -> quality.ordinal.Ordinal:
+    return quality.fit(docs, labels.withColumn("grade", quality.rating()))
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality_model(docs, table(spark, sf_dir, "labels"))
+    return quality.rate(docs.select("doc_id", "text"), model).select(
+        "doc_id",
+        F.col("_expected").alias("expected_grade"),
+        F.col("_p_usable").alias("p_usable"),
+        F.col("_p_good").alias("p_good"),
+        (F.col("_p_usable") >= 0.5).alias("kept"),
+    )
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find_secrets(table(spark, sf_dir, "documents"))
 
@@ -53,7 +78,10 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op2_minhash_near_dedup": op2_minhash_near_dedup,
+    "op3_toxicity": op3_toxicity,
     "op4_cost_packing": op4_cost_packing,
+    "op7_quality": op7_quality,
     "op10_secret_scan": op10_secret_scan,
 }
 
