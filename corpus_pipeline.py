@@ -7,14 +7,36 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from gridtally.llm import packing, secrets
-from gridtally.llm.queries import PACKING_TOKENIZER
+from gridtally.llm import langid, neardup, packing, quality, secrets
+from gridtally.llm.common import table
+from gridtally.llm.queries import PACKING_TOKENIZER, quality_model
 from gridtally.operators.staging import checkpoint_folder
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def select_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier finds usable; the poor ones go."""
+    return quality.select_quality(docs, quality_model(docs, table(spark, sf_dir, "labels")))
+
+
+def select_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is recognised; those without letters or clear language go."""
+    return langid.keep_languages(docs, langid.fit(docs))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates: the one with the smallest id.
+
+    Of rows that share an id one stays; rows without an id stay.
+    """
+    kept = neardup.near_duplicates(docs).where("kept AND doc_id IS NOT NULL").select("doc_id")
+    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return named.unionByName(docs.where(F.col("doc_id").isNull())).select(*docs.columns)
+
+
 def scan_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Mask every secret in the text; no document goes."""
     return secrets.redact(docs)
@@ -26,6 +48,9 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("quality", select_quality),
+    ("language_id", select_language),
+    ("near_dedup", drop_near_copies),
     ("secret_scan", scan_secrets),
     ("packing", pack),
 ]

@@ -6,12 +6,14 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, neardup, packing, quality, secrets, toxicity
+from . import ann, bpe, langid, neardup, packing, pii, quality, secrets, topk, toxicity
 from .common import table
 
 #: Vocabularies of the token queries; the operators take a path.
 MULTILINGUAL_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PACKING_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+#: Key of the registered query; real runs pass a secret one.
+SURROGATE_KEY = "example-key"
 
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,6 +48,14 @@ def op4_cost_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op6_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.replace_entities(table(spark, sf_dir, "documents"), SURROGATE_KEY)
+
+
 def quality_model(docs: DataFrame, labels: DataFrame) -> quality.ordinal.Ordinal:
     return quality.fit(docs, labels.withColumn("grade", quality.rating()))
 
@@ -62,6 +72,21 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    named = langid.with_language(docs.select("doc_id", "text"), langid.fit(docs))
+    return named.select(
+        "doc_id",
+        F.coalesce(langid.held_out(F.col("doc_id")), F.lit(False)).alias("held_out"),
+        F.col("_lang").alias("lang_pred"),
+        F.col("_score").alias("score"),
+    )
+
+
+def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find_secrets(table(spark, sf_dir, "documents"))
 
@@ -81,8 +106,30 @@ QUERIES = {
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
     "op3_toxicity": op3_toxicity,
     "op4_cost_packing": op4_cost_packing,
+    "op5_exact_top_k": op5_exact_top_k,
+    "op6_pii_surrogates": op6_pii_surrogates,
     "op7_quality": op7_quality,
+    "op8_language_id": op8_language_id,
+    "op9_nearest_neighbours": op9_nearest_neighbours,
     "op10_secret_scan": op10_secret_scan,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op5_exact_top_k": """
+        WITH weights AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS w
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id,
+                   list_sum(list_transform(list_zip(q.w, c.w), lambda p: p[1] * p[2]))::BIGINT AS score
+            FROM weights q, weights c
+            WHERE q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id
+        )
+        SELECT query_id, rank::INTEGER AS rank, vec_id, score
+        FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank
+              FROM scored)
+        WHERE rank <= 10
+    """,
+}
