@@ -51,20 +51,23 @@ def _signed_area(points: Column) -> Column:
 
 
 def rings_from_wkt(wkt: Column) -> Column:
-    """Rings of ``POLYGON`` or ``MULTIPOLYGON`` text."""
-    body = F.regexp_extract(wkt, r"(?is)POLYGON[^(]*\((.*)\)\s*$", 1)
-    body = F.when(F.trim(wkt).rlike(r"(?i)^MULTI"), body).otherwise(F.concat(F.lit("("), body, F.lit(")")))
-    parts = F.regexp_extract_all(body, F.lit(r"\(((?:\s*\([^()]+\)\s*,?)+)\)"), F.lit(1))
-
-    def parse_point(text: Column) -> Column:
-        xy = F.split(F.trim(text), r"\s+")
+    """Rings of ``POLYGON`` or ``MULTIPOLYGON`` text, cut at the borders between rings."""
+    text = F.trim(wkt)
+    body = F.regexp_extract(text, r"(?is)^[A-Z]*POLYGON[^(]*\((.*)\)$", 1)
+    body = F.regexp_replace(body, r"\s*([(),])\s*", "$1")
+    body = F.when(text.rlike(r"(?i)^MULTI"), body).otherwise(F.concat(F.lit("("), body, F.lit(")")))
+    inner = F.regexp_replace(body, r"^\(\(|\)\)$", "")
+
+    def parse_point(point_text: Column) -> Column:
+        xy = F.split(F.trim(point_text), r"\s+")
         return point(F.get(xy, F.lit(0)), F.get(xy, F.lit(1)))
 
-    def parse_part(text: Column) -> Column:
-        rings = F.regexp_extract_all(text, F.lit(r"\(([^()]+)\)"), F.lit(1))
+    def parse_part(part: Column) -> Column:
+        rings = F.split(part, r"\),\(")
         return _oriented(F.transform(rings, lambda t: F.transform(F.split(t, ","), parse_point)))
 
-    return F.when(F.size(parts) > 0, F.flatten(F.transform(parts, parse_part)))
+    parts = F.split(inner, r"\)\),\(\(")
+    return F.when(body.rlike(r"^\(\([^()]"), F.flatten(F.transform(parts, parse_part)))
 
 
 def rings_from_geojson(geometry: Column) -> Column:

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 # The file naming patterns.
 YEAR_PATTERN = r"^[0-9]{4}"
 REGION_PATTERN = r"[A-Z]+[0-9]"
-PART_PATTERN = r"(?<=part)[0-9]"
-PART_SUFFIX = r"\.part[0-9]"
+PART_PATTERN = r"(?<=part)[0-9]+"
+PART_SUFFIX = r"\.part[0-9]+"
 
 
 def base_name(path: Column) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.geoid import LEVEL_LENGTHS, PARENT_LEVELS, area_prefix, parent_codes
 from ..functions.nulls import first_present, n_rows, strict_avg
-from .grid import MAX_GROUPS, coordinate_key
+from .grid import coordinate_key, require_unique_places
 from .skew import hot_keys, spread_join
 
 
@@ -20,10 +20,8 @@ def best_prediction() -> Column:
 
 
 def _species_of(panel: DataFrame) -> list:
-    found = panel.select("species").distinct().limit(MAX_GROUPS + 1).collect()
-    if len(found) > MAX_GROUPS:
-        raise ValueError("too many species; pass them as an argument")
-    return [r[0] for r in found]
+    """The species of a panel, which are as few as its value columns were."""
+    return [r[0] for r in panel.select("species").distinct().collect()]
 
 
 def aggregate_blocks(
@@ -47,7 +45,8 @@ def aggregate_blocks(
 
     With ``grid`` the crosswalks, which are small, take the coordinates of
     their cells, and the panel is joined by coordinate: its rows are shuffled
-    once and never need a number of their own.
+    once and never need a number of their own.  A grid with two cells at one
+    place is refused then.
     """
     by, block = list(by), list(block)
     within = within.where(F.col(block[-1]) != "").select(*by, *block, "gridcell_idx")
@@ -57,6 +56,7 @@ def aggregate_blocks(
     hot = hot_keys(within.select(*cell).unionByName(nearest.select(*cell)), cell)
     keys = cell
     if grid is not None:
+        require_unique_places(grid, by)
         place = {"_kx": coordinate_key(F.col("lon")), "_ky": coordinate_key(F.col("lat"))}
         spots = grid.withColumns(place).select(*cell, "_kx", "_ky")
         keys = [*by, "_kx", "_ky"]
@@ -72,7 +72,7 @@ def aggregate_blocks(
         keys = [*keys, *extra]
         names = list(species) if species is not None else _species_of(panel)
         each = F.explode(F.array(*[F.lit(s) for s in names]))
-        within, nearest, hot = (t.withColumn("species", each) for t in (within, nearest, hot))
+        within, nearest = (t.withColumn("species", each) for t in (within, nearest))
         if species is not None:
             panel = panel.where(F.col("species").isin(names))
 

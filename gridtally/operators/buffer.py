@@ -9,7 +9,6 @@ are cut into four.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -150,25 +149,23 @@ def within_buffer(
         "edges",
     )
     square = [*polygon_id, "_q"]
-    rejected = []
-    # quartering the sides from the size of the globe down to the tolerance
-    for _ in range(max(1, math.ceil(math.log(5e7 / tolerance, 4)))):
+    rejected = None
+    # every round quarters the sides, and squares below the tolerance are settled
+    while True:
         probes = squares.select(*pair, "_q", "px_x", "px_y")
         far = _distance(probes, strips, frames, area_id, square, dist)
         state = stage(squares.join(far, [*pair, "_q"]), "squares")
         at = ("edges", "px_x", "px_y")
         in_polygon = f"({G.strictly_inside(*at)} OR {G.touches_edges(*at)})"
         bad = state.where(f"_d IS NULL AND {in_polygon}").select(*pair).distinct()
-        rejected.append(bad)
+        rejected = bad if rejected is None else rejected.unionByName(bad)
         undecided = state.where(
             f"(_d IS NULL OR _d > {dist!r}D - _h * sqrt(2D)) AND _h * sqrt(2D) > {tolerance!r}D"
         ).join(bad, pair, "left_anti")
         squares = stage(_quarter(_quarter(undecided, pair), pair), "open")
         if squares.isEmpty():
             break
-    for bad in rejected:
-        result = result.join(bad, pair, "left_anti")
-    return result
+    return result.join(rejected, pair, "left_anti")
 
 
 def _quarter(squares: DataFrame, pair: Sequence[str]) -> DataFrame:

@@ -88,6 +88,11 @@ class CellPyramid:
         return F.broadcast(cells) if self.bound(level) <= BROADCAST_ROWS else cells
 
 
+def is_place(x: str, y: str) -> str:
+    """SQL: both coordinates are finite numbers.  All other rows lie nowhere."""
+    return " AND ".join(f"(abs({c}) < double('Infinity'))" for c in (x, y))
+
+
 def build_pyramid(
     points: DataFrame,
     x: str,
@@ -103,7 +108,7 @@ def build_pyramid(
     """
     by = list(by)
     known = points.select(*by, F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
-    known = known.where("x IS NOT NULL AND y IS NOT NULL AND NOT isnan(x) AND NOT isnan(y)")
+    known = known.where(is_place("x", "y"))
     measures = ["min(x) AS minx", "max(x) AS maxx", "min(y) AS miny", "max(y) AS maxy"]
     groups = known.groupBy(*by).agg(F.expr("count(1) AS n"), *[F.expr(e) for e in measures])
     m = groups.selectExpr(
@@ -118,7 +123,7 @@ def build_pyramid(
     wanted = math.sqrt(area * points_per_cell / max(per_group, 1))
     bits = math.log2(side / wanted) if wanted < side else 0
 
-    for attempt in range(3):
+    while True:
         depth = max(1, round(bits / BITS_PER_LEVEL))
         shape = CellPyramid(
             by, m["minx"], m["miny"], side, depth, m["n"], m["groups"], leaves=known
@@ -133,7 +138,7 @@ def build_pyramid(
             leaves.where("minx < maxx OR miny < maxy").selectExpr("max(n)").first()[0]
             or 0
         )
-        if crowd <= 8 * points_per_cell or BITS_PER_LEVEL * depth >= MAX_BITS or attempt == 2:
+        if crowd <= 8 * points_per_cell or BITS_PER_LEVEL * depth >= MAX_BITS:
             break
         bits = min(
             MAX_BITS,

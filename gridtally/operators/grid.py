@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from .numbering import number_rows
 
-MAX_GROUPS = 10_000
 COORDINATE_STEPS = 1e7  # steps per degree, about a centimetre
 
 
@@ -38,31 +37,15 @@ def sample_files(
 
 
 def first_year_rows(panel: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Rows of the smallest year of each group.
-
-    The smallest years are a few values, read first, so that the filter reaches
-    the scan instead of becoming a join on a handful of keys.
-    """
-    groups = panel.groupBy(*by).agg(F.min("year").alias("_year")).limit(MAX_GROUPS + 1).collect()
-    if len(groups) > MAX_GROUPS:
-        raise ValueError(f"more than {MAX_GROUPS} grids; check the columns {list(by)}")
-    by_year: dict = {}
-    for g in groups:
-        by_year.setdefault(g["_year"], []).append(g)
-    keep = F.lit(False)
-    for year, members in by_year.items():
-        same_year = F.lit(True) if year is None else F.col("year") == F.lit(year)
-        if by:
-            same_group = reduce(
-                lambda a, b: a | b,
-                [
-                    reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(g[c])) for c in by])
-                    for g in members
-                ],
-            )
-            same_year = same_year & same_group
-        keep = keep | same_year
-    return panel.where(keep)
+    """Rows of the smallest year of each group; a group without years is kept whole."""
+    year = F.col("year").alias("_year")
+    first = panel.groupBy(*by).agg(F.min("year").alias("_year"))
+    first = first.withColumnsRenamed({c: f"_first_{c}" for c in by})
+    rows = panel.select("*", year)
+    same = rows["_year"].eqNullSafe(first["_year"])
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"_first_{c}"))
+    return rows.join(first, same, "left_semi").drop("_year")
 
 
 def extract_grid(
@@ -79,6 +62,9 @@ def extract_grid(
     if sample_species is not None and "species" in panel.columns:
         panel = panel.where(F.col("species") == sample_species)
     order = [c for c in order if c in panel.columns]
+    if "part_number" in order:
+        # parts are numbers: 10 comes after 9
+        panel = panel.withColumn("part_number", F.col("part_number").try_cast("int"))
     rows = first_year_rows(panel.select(*dict.fromkeys([*by, *order, "year"])), by)
     return number_rows(rows, by, order, idx).select(*by, idx, "lon", "lat")
 
@@ -98,7 +84,20 @@ def attach_cells(
     place = {"_kx": coordinate_key(F.col("lon")), "_ky": coordinate_key(F.col("lat"))}
     keys = [*by, "_kx", "_ky"]
     cells = grid.withColumns(place).groupBy(*keys).agg(F.min(idx).alias(idx))
-    return panel.drop(idx).withColumns(place).join(cells, keys, "left").drop("_kx", "_ky")
+    rows = panel.drop(idx).withColumns(place)
+    # rows without a place match nothing and need not meet in one task
+    placed = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    nowhere = rows.where(~placed).withColumn(idx, F.lit(None).cast(cells.schema[idx].dataType))
+    return rows.where(placed).join(cells, keys, "left").unionByName(nowhere).drop("_kx", "_ky")
+
+
+def require_unique_places(grid: DataFrame, by: Sequence[str] = ("region", "urban_rural")) -> None:
+    """Refuse a grid in which two cells share a place: joins by place would mix them up."""
+    place = [coordinate_key(F.col(c)).alias(f"_k{c}") for c in ("lon", "lat")]
+    repeated = grid.groupBy(*by, *place).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    found = repeated.count()
+    if found:
+        raise ValueError(f"{found} places of the grid hold more than one cell; see panel_check")
 
 
 def number_by_position(

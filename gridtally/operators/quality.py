@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geoid import in_regions, state_of
@@ -40,24 +40,30 @@ def frequency(df: DataFrame, column: str, out: str = "n") -> DataFrame:
 def coverage(catalog: DataFrame, keys: Sequence[str] = ("region", "year", "species")) -> DataFrame:
     """Contingency table over ``keys`` with a row for every combination.
 
-    Rows with a missing key are left out.  The domains of the keys (regions,
-    years, species) are gathered from the table of counts into one row and
-    unfolded again, which gives the combinations without a join of tables.
+    Rows with a missing key are left out.  Each value of the first key meets the
+    domains of the others (years, species), which are one short row, and unfolds
+    them: the combinations are made where the values of the first key are.
     """
     keys = list(keys)
     known = catalog.dropna(subset=keys)
     counts = known.groupBy(*keys).agg(n_rows().alias("n"))
-    frame = counts.agg(*[F.collect_set(k).alias(k) for k in keys])
-    for k in keys:
+    one = F.lit(1).alias("_one")
+    frame = counts.select(keys[0], one).distinct().repartition(keys[0])
+    if len(keys) > 1:
+        rest = counts.groupBy(one).agg(*[F.collect_set(k).alias(k) for k in keys[1:]])
+        frame = frame.join(F.broadcast(rest), "_one")
+    for k in keys[1:]:
         frame = frame.withColumn(k, F.explode(k))
-    return frame.join(counts, keys, "left").fillna({"n": 0})
+    return frame.drop("_one").join(counts, keys, "left").fillna({"n": 0})
 
 
 def coverage_wide(
     catalog: DataFrame, years: Sequence, keys: Sequence[str] = ("region", "species")
 ) -> DataFrame:
-    """The same counts with one column per year."""
-    return catalog.groupBy(*keys).pivot("year", list(years)).count().fillna(0)
+    """The same counts with one column per year, and ``other`` for all other years and none."""
+    year = F.when(F.col("year").isin(list(years)), F.col("year").cast("string")).otherwise("other")
+    named = catalog.withColumn("year", year)
+    return named.groupBy(*keys).pivot("year", [*map(str, years), "other"]).count().fillna(0)
 
 
 def missing_population(block_class: DataFrame) -> DataFrame:
@@ -100,14 +106,15 @@ def shares_with_total(df: DataFrame, column: str) -> DataFrame:
     Missing values count towards the base of the percentages only.
     """
     counts = df.groupBy(column).agg(n_rows().alias("_n"))  # one row per value
-    base = F.sum(F.when(F.col("_group") == 0, F.col("_n"))).over(Window.partitionBy())
+    base = counts.groupBy(F.lit(1).alias("_one")).agg(F.sum("_n").alias("_all"))
     totals = counts.rollup(column).agg(
         F.sum("_n").alias("_n"),
         F.sum(F.when(F.col(column).isNotNull(), F.col("_n"))).alias("_known"),
         F.grouping_id().alias("_group"),
     )
     return (
-        totals.withColumn("_all", base)
+        totals.withColumn("_one", F.lit(1))
+        .join(F.broadcast(base), "_one")
         .where((F.col("_group") == 1) | F.col(column).isNotNull())
         .select(
             column,

@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROWS_PER_SPLIT = 200_000
-MAX_HOT_KEYS = 1_000
-MAX_SPLITS = 512
+# A key is hot from this share of all rows on, so there are never more hot keys,
+# nor more pieces of one.
+MOST_PIECES = 50_000
 # Tables up to this many short rows (a few MB) are broadcast; the callers count
 # first, or know a bound.
 BROADCAST_ROWS = 100_000
@@ -21,10 +22,9 @@ def hot_keys(
 ) -> DataFrame:
     """The heaviest keys with the number of pieces to split each into.
 
-    At most ``MAX_HOT_KEYS`` rows, so the result is always small enough to
-    broadcast.  A key that does not make the list holds less than
-    1/``MAX_HOT_KEYS`` of the rows and needs no splitting; the list steers the
-    work only and never changes a result.
+    A key is heavy above ``rows_per_split`` rows or 1/``MOST_PIECES`` of all rows,
+    whichever is more.  So there are at most ``MOST_PIECES`` of them, which
+    bounds the list; it steers the work only and never changes a result.
     """
     weights = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     return hot_from_counts(weights, keys, "_n", rows_per_split)
@@ -34,22 +34,22 @@ def hot_from_counts(
     counts: DataFrame, keys: Sequence[str], n: str, rows_per_split: int = ROWS_PER_SPLIT
 ) -> DataFrame:
     """``hot_keys`` for counts that are known already."""
+    heavy = counts.where(F.col(n) > rows_per_split).withColumn("_one", F.lit(1))
+    total = counts.groupBy(F.lit(1).alias("_one")).agg(F.sum(n).alias("_total"))
+    least = F.greatest(F.lit(float(rows_per_split)), F.col("_total") / MOST_PIECES)
     return (
-        counts.where(F.col(n) > rows_per_split)
-        .orderBy(F.desc(n))
-        .limit(MAX_HOT_KEYS)
-        .select(
-            *keys,
-            F.least(F.ceil(F.col(n) / F.lit(rows_per_split)), F.lit(MAX_SPLITS))
-            .cast("int")
-            .alias("_splits"),
-        )
+        heavy.join(F.broadcast(total), "_one")
+        .where(F.col(n) > least)
+        .select(*keys, F.ceil(F.col(n) / least).cast("int").alias("_splits"))
     )
 
 
 def _pieces(df: DataFrame, hot: DataFrame, keys: Sequence[str], out: str) -> DataFrame:
-    """Add the number of pieces of each row's key, 1 for ordinary keys."""
-    found = df.join(F.broadcast(hot), list(keys), "left")
+    """Add the number of pieces of each row's key, 1 for ordinary keys.
+
+    ``hot`` may name some of the keys only.
+    """
+    found = df.join(F.broadcast(hot), [k for k in keys if k in hot.columns], "left")
     return found.withColumn(out, F.coalesce("_splits", F.lit(1))).drop("_splits")
 
 
@@ -84,7 +84,7 @@ def spread_join(
         return F.explode(F.sequence(F.lit(0), F.col(pieces) - 1))
 
     no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    pieces = F.when(no_key, F.lit(MAX_SPLITS)).otherwise(F.col("_k"))
+    pieces = F.when(no_key, F.lit(MOST_PIECES)).otherwise(F.col("_k"))
     salted = _pieces(left, hot, keys, "_k")
     salted = salted.withColumn("_salt", F.pmod(digest(spread_by), pieces).cast("int")).drop("_k")
     copied = _pieces(right, hot, keys, "_k").withColumn("_salt", copies("_k")).drop("_k")

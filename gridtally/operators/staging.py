@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -11,14 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 def checkpoint_folder(spark: SparkSession) -> str:
     """The shared folder the session names in ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a folder of its own; on a
-    cluster a missing setting is an error, since a machine's own disk is not
-    seen by the other executors.
+    Only a session within one process that has no such setting gets a folder of
+    its own; on a cluster a missing setting is an error, since a machine's own
+    disk is not seen by the other executors.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     folder = tempfile.mkdtemp(prefix="gridtally-")
     spark.sparkContext.setCheckpointDir(folder)

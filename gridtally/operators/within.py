@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G
-from .cells import BITS_PER_LEVEL, BOX, CellPyramid, build_pyramid
+from .cells import BITS_PER_LEVEL, BOX, build_pyramid, CellPyramid, is_place
 from .skew import (
     BROADCAST_ROWS,
     ROWS_PER_SPLIT,
@@ -112,7 +112,7 @@ def points_in_boxes(
         return None
     keys = [*by, "ix", "iy"]
     cells = _shape_cells(boxes, pyramid)
-    located = points.where(F.col(x).isNotNull() & F.col(y).isNotNull()).withColumns(
+    located = points.where(is_place(x, y)).withColumns(
         pyramid.leaf_index(x, y)
     )
     if pyramid.n_points <= BROADCAST_ROWS:

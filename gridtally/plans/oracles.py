@@ -195,7 +195,7 @@ names AS (
          || CASE WHEN p_partkey % 5 = 0 THEN '' ELSE (2000 + p_partkey % 5) || '.' END
          || ['NE1', 'MA2', 'NEC3', 'WNC4', 'SA5', 'ESC6', 'WSC7', 'M8', 'P9'][p_partkey % 9 + 1]
          || '.' || ['ec', 'no3', 'so4'][(p_partkey // 9) % 3 + 1]
-         || CASE WHEN p_partkey % 4 = 0 THEN '' ELSE '.part' || (p_partkey % 4) END
+         || CASE WHEN p_partkey % 4 = 0 THEN '' ELSE '.part' || (p_partkey % 12) END
          || '.rds' AS path
   FROM part
 ),
@@ -203,8 +203,8 @@ bases AS (SELECT path, split_part(path, '/', -1) AS base FROM names),
 files AS (
   SELECT path, nullif(regexp_extract(base, '^[0-9]{4}'), '') AS year,
          nullif(regexp_extract(base, '[A-Z]+[0-9]'), '') AS region,
-         nullif(regexp_extract(base, 'part([0-9])', 1), '') AS part_number,
-         nullif(regexp_extract(regexp_replace(base, '\.part[0-9]', ''), '([^.]+)\.rds', 1), '')
+         nullif(regexp_extract(base, 'part([0-9]+)', 1), '') AS part_number,
+         nullif(regexp_extract(regexp_replace(base, '\.part[0-9]+', ''), '([^.]+)\.rds', 1), '')
            AS species
   FROM bases
 )"""
@@ -242,7 +242,6 @@ def _sql(*ctes: str, select: str) -> str:
 _VALUES = (BLOCKS, GRID, PREDICTIONS, WITHIN, NEAREST, BLOCK_VALUES)
 _ROUNDED_PARENTS = "round(predicted, 6) AS predicted, round(pct_pop_predicted, 6) AS pct_pop_predicted"
 _BEST = "round(coalesce(predicted_within, predicted_nearest), 6) AS predicted"
-_YEARS = range(1992, 2003)
 
 ORACLES: dict[str, str] = {
     "block_aggregate": _sql(
@@ -333,7 +332,8 @@ ORACLES: dict[str, str] = {
     "coverage_wide": _sql(
         ORDERS,
         select="SELECT region, species, "
-        + ", ".join(f"count(*) FILTER (year = {y}) AS y{y}" for y in _YEARS)
+        + ", ".join(f"count(*) FILTER (year = {y}) AS y{y}" for y in range(1992, 1998))
+        + ", count(*) FILTER (year IS NULL OR year NOT BETWEEN 1992 AND 1997) AS other"
         + " FROM o GROUP BY region, species",
     ),
     "catalog_from_names": _sql(CATALOG, select="SELECT * FROM files"),

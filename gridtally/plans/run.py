@@ -9,7 +9,6 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,7 +17,7 @@ from ..operators.aggregate import aggregate_blocks, aggregate_parents
 from ..operators.buffer import within_buffer
 from ..operators.classify import classify_blocks, classify_parents
 from ..operators.distribute import distribute
-from ..operators.grid import extract_grid
+from ..operators.grid import extract_grid, require_unique_places
 from ..operators.quality import coverage, inconsistent_groups, yearly_counts
 from ..operators.regions import polygon_centroids, regional_subset
 from ..operators.within import points_within
@@ -32,12 +31,12 @@ from ..sources.readers import (
     read_predictions,
     union_all,
 )
-from ..sources.tasks import pending_values, restrict, write_pending
-from ..sources.writers import write_layer
+from ..sources.tasks import open_tasks, restrict, task_grid, write_tasks
 from .pipeline import crosswalks
 
 KIND = ["region", "urban_rural"]
 TASK = [*KIND, "vintage", "species"]
+Make = Callable[[DataFrame], DataFrame]
 
 
 @dataclass(frozen=True)
@@ -61,25 +60,12 @@ class Inputs:
     levels: Sequence[str] = PARENT_LEVELS
 
 
-def _layer(
-    spark: SparkSession, out: str, name: str, make: Callable[[], DataFrame],
-    partition_by: Sequence[str] = (),
-) -> DataFrame:
-    """The named layer; made and written only if it is not there."""
-    try:
-        return read_layer(spark, out, name)
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" not in (e.getCondition() or ""):
-            raise
-    write_layer(make(), out, name, partition_by)
-    return read_layer(spark, out, name)
-
-
 def run(spark: SparkSession, inputs: Inputs, out: str) -> dict[str, DataFrame]:
     """Run all stages; returns the tables that were written, by name.
 
-    A second run does only what is missing: the tasks left over are found from
-    folder names, and their values filter the scans.
+    Every table is a set of tasks (region, kind, vintage, species, level); a
+    later run does those that are not finished, also where a region, a species
+    or a vintage has come since.
     """
     # folder names are text: codes and regions must not be read as numbers
     setting = "spark.sql.sources.partitionColumnTypeInference.enabled"
@@ -92,17 +78,20 @@ def run(spark: SparkSession, inputs: Inputs, out: str) -> dict[str, DataFrame]:
 
 
 def _run(spark: SparkSession, inputs: Inputs, out: str) -> dict[str, DataFrame]:
-    panel = union_all(
-        read_predictions(spark, path, inputs.species, kind, inputs.predictions_format)
-        for kind, path in inputs.predictions.items()
-    ).where(~F.col("region").isin(list(inputs.exclude_regions)))
     tables: dict[str, DataFrame] = {}
 
-    def table(name, make, partition_by=()):
-        tables[name] = _typed(_layer(spark, out, name, make, partition_by))
+    def product(name: str, wanted: DataFrame, keys: Sequence[str], make: Make) -> DataFrame:
+        """The table ``name``, completed by the tasks that are not finished yet."""
+        todo = open_tasks(spark, wanted, f"{out}/{name}", keys)
+        if todo is not None:
+            write_tasks(make(todo), todo, f"{out}/{name}")
+        tables[name] = _typed(read_layer(spark, out, name))
         return tables[name]
 
-    # checks, grid and polygons
+    def values_of(**domains) -> DataFrame:
+        return task_grid(spark, {k: list(v) for k, v in domains.items()})
+
+    # what there is: files by region, kind and species
     extension = inputs.predictions_format
     files = union_all(
         file_catalog(list_files(spark, path, f"*.{extension}*"), extension).withColumn(
@@ -112,80 +101,101 @@ def _run(spark: SparkSession, inputs: Inputs, out: str) -> dict[str, DataFrame]:
     ).where(F.col("species").isin(list(inputs.species)))
     tables["coverage"] = coverage(files, ["urban_rural", "region", "species"])
     files = files.where(~F.col("region").isin(list(inputs.exclude_regions)))
+    panel = union_all(
+        read_predictions(spark, path, inputs.species, kind, inputs.predictions_format)
+        for kind, path in inputs.predictions.items()
+    ).where(~F.col("region").isin(list(inputs.exclude_regions)))
     group = [*KIND, "species"]
-    if todo := pending_values(spark, files, f"{out}/diagnostics", group):
+
+    todo = open_tasks(spark, files, f"{out}/diagnostics", group)
+    if todo is not None:
         counted = yearly_counts(restrict(panel, todo)).select(*group, "year", "n")
-        write_pending(
-            counted, f"{out}/diagnostics", group, "csv", {"header": "true", "sep": " "}
+        write_tasks(
+            counted, todo, f"{out}/diagnostics", "csv", {"header": "true", "sep": " "}
         )
-    counts = read_counts(spark, f"{out}/diagnostics")
-    tables["inconsistent"] = inconsistent_groups(counts)
-    grid = table("grid", lambda: extract_grid(panel, inputs.sample_species), KIND)
-    blocks = table(
-        "blocks", lambda: read_blocks(spark, inputs.blocks, inputs.polygons_format), ["vintage"]
-    )
-    urban = table(
-        "urban_areas",
-        lambda: read_polygons(
-            spark, inputs.urban_areas, dict(inputs.urban_columns), inputs.polygons_format
-        ),
+    tables["inconsistent"] = inconsistent_groups(read_counts(spark, f"{out}/diagnostics"))
+
+    # grids: one per region and kind, from the sampled species
+    sampled = files.where(F.col("species") == inputs.sample_species)
+    grid = product(
+        "grid", sampled, KIND,
+        lambda todo: extract_grid(restrict(panel, todo), inputs.sample_species),
     )
+    require_unique_places(grid, KIND)
 
-    # classification
+    # polygons and their classes: one per vintage
     block = ["vintage", "geoid"]
+    vintages = values_of(vintage=inputs.blocks)
+    blocks = product(
+        "blocks", vintages, ["vintage"],
+        lambda todo: read_blocks(
+            spark,
+            {v: p for v, p in inputs.blocks.items() if str(v) in {r[0] for r in todo.collect()}},
+            inputs.polygons_format,
+        ),
+    )
+    urban = product(
+        "urban_areas", values_of(part=["all"]), ["part"],
+        lambda todo: read_polygons(
+            spark, inputs.urban_areas, dict(inputs.urban_columns), inputs.polygons_format
+        ).withColumn("part", F.lit("all")),
+    ).drop("part")
 
-    def block_classes() -> DataFrame:
-        centres = polygon_centroids(blocks)
+    def block_classes(todo: DataFrame) -> DataFrame:
+        chosen = restrict(blocks, todo)
         in_urban = points_within(
-            centres, urban, by=(), x="cx", y="cy", point_id=block, polygon_id=["uace"]
+            polygon_centroids(chosen), urban, by=(), x="cx", y="cy", point_id=block, polygon_id=["uace"]
         )
         covered = within_buffer(
-            blocks, urban, inputs.buffer, inputs.buffer_tolerance, block, ["uace"]
+            chosen, urban, inputs.buffer, inputs.buffer_tolerance, block, ["uace"]
         )
         people = union_all(
             read_population(spark, path, vintage) for vintage, path in inputs.population.items()
         )
-        return classify_blocks(blocks, in_urban, covered, people, block)
+        return classify_blocks(chosen, in_urban, covered, people, block)
 
-    classes = table("block_classes", block_classes, ["vintage"])
-    parent_classes = table(
-        "parent_classes", lambda: classify_parents(classes, inputs.levels), ["vintage", "level"]
+    classes = product("block_classes", vintages, ["vintage"], block_classes)
+    levels = values_of(vintage=inputs.blocks, level=inputs.levels)
+    parent_classes = product(
+        "parent_classes", levels, ["vintage", "level"],
+        lambda todo: classify_parents(restrict(classes, todo.select("vintage")), inputs.levels),
     )
 
-    # crosswalks
+    # crosswalks: one per grid and vintage
+    parts = [*KIND, "vintage"]
+    each_vintage = F.explode(F.array(*[F.lit(str(v)) for v in inputs.blocks])).alias("vintage")
+    grids = grid.select(*KIND).distinct()
     kinds = F.explode(F.array(*[F.lit(k) for k in inputs.predictions]))
-    regional = regional_subset(blocks).where(~F.col("region").isin(list(inputs.exclude_regions)))
-    regional = regional.withColumn("urban_rural", kinds)
+    regional = regional_subset(blocks).withColumn("urban_rural", kinds)
     made: list[tuple[DataFrame, DataFrame]] = []
 
-    def both() -> tuple[DataFrame, DataFrame]:
+    def both(todo: DataFrame, side: int) -> DataFrame:
         if not made:
-            made.append(crosswalks(regional, grid, KIND, block))
-        return made[0]
-
-    parts = [*KIND, "vintage"]
-    within = table("crosswalk_within", lambda: both()[0], parts)
-    nearest = table("crosswalk_nearest", lambda: both()[1], parts)
-
-    # values
-    wanted = nearest.select(*parts).distinct().withColumn(
-        "species", F.explode(F.array(*[F.lit(s) for s in inputs.species]))
+            made.append(crosswalks(restrict(regional, todo), restrict(grid, todo), KIND, block))
+        return made[0][side]
+
+    wanted = grids.select(*KIND, each_vintage)
+    within = product("crosswalk_within", wanted, parts, lambda todo: both(todo, 0))
+    if made:
+        made.clear()  # the other side may have other tasks left
+    nearest = product("crosswalk_nearest", wanted, parts, lambda todo: both(todo, 1))
+
+    # values: for every species that has files
+    wanted = files.select(*group).distinct().join(grids, KIND).select("*", each_vintage)
+    values = product(
+        "block_values", wanted, TASK,
+        lambda todo: aggregate_blocks(
+            *(restrict(t, todo) for t in (panel, within, nearest)), KIND, block,
+            restrict(grid, todo), list(inputs.species),
+        ),
     )
-    names = F.explode(F.array(*[F.lit(n) for n in inputs.levels]))
-    if todo := pending_values(spark, wanted, f"{out}/block_values", TASK):
-        rows, inside, closest, cells = (
-            restrict(t, todo) for t in (panel, within, nearest, grid)
-        )
-        made_now = aggregate_blocks(rows, inside, closest, KIND, block, cells, todo["species"])
-        write_pending(made_now, f"{out}/block_values", TASK)
-    tables["block_values"] = values = _typed(read_layer(spark, out, "block_values"))
-
     per_level = [*TASK, "level"]
+    names = F.explode(F.array(*[F.lit(n) for n in inputs.levels]))
     wanted_levels = wanted.withColumn("level", names)
-    if todo := pending_values(spark, wanted_levels, f"{out}/parent_values", per_level):
-        made_now = aggregate_parents(restrict(values, todo), classes, todo["level"])
-        write_pending(made_now, f"{out}/parent_values", per_level)
-    tables["parent_values"] = parents = _typed(read_layer(spark, out, "parent_values"))
+    parents = product(
+        "parent_values", wanted_levels, per_level,
+        lambda todo: aggregate_parents(restrict(values, todo), classes, inputs.levels),
+    )
 
     # distribution: urban predictions hold for urban areas only
     area = ["vintage", "level", "geoid"]
@@ -194,9 +204,9 @@ def _run(spark: SparkSession, inputs: Inputs, out: str) -> dict[str, DataFrame]:
         (values.select("*", blocks_level), classes.select("*", blocks_level)),
         (parents, parent_classes),
     ]
-    wanted_areas = wanted_levels.unionByName(wanted.withColumn("level", F.lit("blocks")))
-    if todo := pending_values(spark, wanted_areas, f"{out}/distribution", per_level):
-        pieces = [
+
+    def distribution(todo: DataFrame) -> DataFrame:
+        return union_all(
             distribute(
                 restrict(side, todo).where(
                     (F.col("urban_rural") == "urban") == F.lit(urban_only)
@@ -205,9 +215,10 @@ def _run(spark: SparkSession, inputs: Inputs, out: str) -> dict[str, DataFrame]:
             )
             for side, labels in sides
             for urban_only in (True, False)
-        ]
-        write_pending(union_all(pieces), f"{out}/distribution", per_level)
-    tables["distribution"] = _typed(read_layer(spark, out, "distribution"))
+        )
+
+    wanted_areas = wanted_levels.unionByName(wanted.withColumn("level", F.lit("blocks")))
+    product("distribution", wanted_areas, per_level, distribution)
     return tables
 
 

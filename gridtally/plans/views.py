@@ -115,6 +115,6 @@ def paths(spark: SparkSession, folder: str) -> DataFrame:
                              CAST(p_partkey % 9 + 1 AS INT)),
                   '.',
                   element_at(array('ec', 'no3', 'so4'), CAST((p_partkey div 9) % 3 + 1 AS INT)),
-                  CASE WHEN p_partkey % 4 = 0 THEN '' ELSE concat('.part', p_partkey % 4) END,
+                  CASE WHEN p_partkey % 4 = 0 THEN '' ELSE concat('.part', p_partkey % 12) END,
                   '.rds') AS path"""
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G
@@ -71,14 +71,13 @@ def read_polygons(
     """Polygons of all files matching ``path`` with the chosen attributes.
 
     ``columns`` maps attribute names of the files to column names of the
-    result.  ``geojson`` expects one feature per line, ``wkt`` a CSV file with
-    header, ``parquet`` either ``rings`` or WKT text.
+    result.  ``geojson`` expects a feature or a collection of features on each
+    line, ``geojson_files`` one in each file; lines without a feature are left
+    out, see :func:`rejected_lines`.  ``wkt`` is a CSV file with header,
+    ``parquet`` has either ``rings`` or WKT text.
     """
-    if fmt == "geojson":
-        fields = ", ".join(f"`{c}`: STRING" for c in columns)
-        features = spark.read.text(path).select(
-            F.from_json("value", f"properties STRUCT<{fields}>, geometry STRING").alias("f")
-        ).where("f.geometry IS NOT NULL")
+    if fmt.startswith("geojson"):
+        features = _features(spark, path, list(columns), fmt).where("f.geometry IS NOT NULL")
         rings = G.rings_from_geojson(F.col("f.geometry"))
         attributes = [F.col(f"f.properties.`{c}`").alias(n) for c, n in columns.items()]
         out = features.select(*attributes, rings.alias("rings"))
@@ -96,6 +95,24 @@ def read_polygons(
     return polygon_centroids(out) if centroids_only else out
 
 
+def _features(
+    spark: SparkSession, path: str, attributes: Sequence[str], fmt: str = "geojson"
+) -> DataFrame:
+    """One row ``f`` per feature; a line without any has one NULL."""
+    fields = ", ".join(f"`{c}`: STRING" for c in attributes) or "`_`: STRING"
+    feature = f"STRUCT<properties: STRUCT<{fields}>, geometry: STRING>"
+    lines = spark.read.text(path, wholetext=fmt == "geojson_files").where(F.trim("value") != "")
+    shape = f"type STRING, properties STRUCT<{fields}>, geometry STRING, features ARRAY<{feature}>"
+    parsed = lines.select(F.from_json("value", shape).alias("j"))
+    own = F.array(F.struct("j.properties", "j.geometry"))
+    return parsed.select(F.explode_outer(F.coalesce("j.features", own)).alias("f"))
+
+
+def rejected_lines(spark: SparkSession, path: str, fmt: str = "geojson") -> int:
+    """Number of lines and features without a geometry, which ``read_polygons`` leaves out."""
+    return _features(spark, path, [], fmt).where("f.geometry IS NULL").count()
+
+
 def read_blocks(
     spark: SparkSession, paths: dict[int, str], fmt: str = "geojson", **options
 ) -> DataFrame:
@@ -108,12 +125,19 @@ def read_blocks(
     )
 
 
+def whole_number(text: Column) -> Column:
+    """A number written as ``12``, ``12.0`` or ``1e3``; NULL if it is no whole number."""
+    value = text.try_cast("double")
+    whole = (value == F.floor(value)) & (F.abs(value) < F.lit(2.0**53))
+    return F.coalesce(text.try_cast("bigint"), F.when(whole, value.cast("bigint")))
+
+
 def read_population(spark: SparkSession, path: str, vintage: int | None = None) -> DataFrame:
     """Block populations; codes that were written as numbers are padded."""
     rows = spark.read.option("header", True).option("nullValue", "NA").csv(path)
     out = rows.select(
         pad_code(F.col("GEOID")).alias("geoid"),
-        F.col("population").try_cast("bigint").alias("population"),
+        whole_number(F.col("population")).alias("population"),
     )
     return out if vintage is None else out.withColumn("vintage", F.lit(int(vintage)))
 

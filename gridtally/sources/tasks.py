@@ -9,11 +9,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.staging import stage
 from .writers import gathered
 
-MAX_TASKS = 50_000
-
-
 def task_grid(spark: SparkSession, domains: Mapping[str, Sequence]) -> DataFrame:
     """Every combination of the given parameter values."""
     tasks = spark.range(1).select()
@@ -23,8 +21,10 @@ def task_grid(spark: SparkSession, domains: Mapping[str, Sequence]) -> DataFrame
 
 
 def pending(wanted: DataFrame, done: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Wanted tasks without a result."""
-    return wanted.join(done.select(*keys), list(keys), "left_anti")
+    """Wanted tasks without a result; missing values are equal."""
+    there = done.select(*[F.col(k).alias(f"_done_{k}") for k in keys])
+    same = [F.col(k).eqNullSafe(F.col(f"_done_{k}")) for k in keys]
+    return wanted.join(there, reduce(lambda a, b: a & b, same), "left_anti")
 
 
 def preferred_first(tasks: DataFrame, column: str, value) -> DataFrame:
@@ -32,72 +32,59 @@ def preferred_first(tasks: DataFrame, column: str, value) -> DataFrame:
     return tasks.orderBy(F.col(column) != value, column)
 
 
-def finished(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame | None:
-    """Partitions present below ``path`` as text; None if there is no such folder.
-
-    Only folder names are used, no data is read.
-    """
+def _read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
     try:
-        files = spark.read.format("binaryFile").load(path).select("path")
+        return spark.read.parquet(path)
     except AnalysisException as e:
-        if "PATH_NOT_FOUND" in (e.getCondition() or ""):
+        # a write that broke off leaves no folder, or one without a file
+        if (e.getCondition() or "").split(".")[0] in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
         raise
 
-    def value(key: str):
-        raw = F.regexp_extract("path", rf"/{key}=([^/]+)/", 1)
-        text = F.url_decode(F.replace(raw, F.lit("+"), F.lit("%2B")))
-        return F.when(raw != "__HIVE_DEFAULT_PARTITION__", text)
 
-    return files.select(*[value(k).alias(k) for k in keys]).distinct()
+def finished(spark: SparkSession, path: str) -> DataFrame | None:
+    """The tasks whose results below ``path`` are complete; None if there are none.
 
+    They are kept in a table of their own beside it, so that a task without any
+    row counts too and one that broke off does not.
+    """
+    return _read_if_there(spark, f"{path}-finished")
 
-def pending_values(
-    spark: SparkSession, wanted: DataFrame, path: str, keys: Sequence[str]
-) -> dict[str, list[str]] | None:
-    """Values of each key among the tasks that are still to be done.
 
-    None if every wanted task has its partition below ``path``.
-    """
+def open_tasks(
+    spark: SparkSession, wanted: DataFrame, path: str, keys: Sequence[str]
+) -> DataFrame | None:
+    """Wanted tasks (keys as text) that are not finished; None if all are."""
     wanted = wanted.select(*[F.col(k).cast("string").alias(k) for k in keys]).distinct()
-    done = finished(spark, path, keys)
-    if done is not None:
-        wanted = pending(wanted, done, keys)
-    left = wanted.limit(MAX_TASKS + 1).collect()
-    if len(left) > MAX_TASKS:
-        raise ValueError(f"more than {MAX_TASKS} tasks for {path}")
-    return {k: sorted({r[k] for r in left}) for k in keys} if left else None
+    done = finished(spark, path)
+    left = stage(wanted if done is None else pending(wanted, done, keys), "open-tasks")
+    return None if left.isEmpty() else left
 
 
-def restrict(df: DataFrame, values: Mapping[str, Sequence[str]]) -> DataFrame:
-    """Rows whose keys occur in ``values``; on partition columns a scan filter."""
-    for key in values:
-        if key in df.columns:
-            df = df.where(F.col(key).cast("string").isin(list(values[key])))
-    return df
+def restrict(df: DataFrame, tasks: DataFrame) -> DataFrame:
+    """Rows that belong to one of the tasks, by the keys that ``df`` has."""
+    keys = [k for k in tasks.columns if k in df.columns]
+    if not keys:
+        return df
+    wanted = tasks.select(*[F.col(k).alias(f"_task_{k}") for k in keys]).distinct()
+    same = [F.col(k).cast("string").eqNullSafe(F.col(f"_task_{k}")) for k in keys]
+    return df.join(wanted, reduce(lambda a, b: a & b, same), "left_semi")
 
 
-def write_pending(
+def write_tasks(
     df: DataFrame,
+    tasks: DataFrame,
     path: str,
-    keys: Sequence[str],
     fmt: str = "parquet",
     options: Mapping[str, str] | None = None,
 ) -> None:
-    """Write the partitions of ``df`` that ``path`` does not hold yet.
+    """Write the rows of the open tasks, one folder each, and mark the tasks as finished.
 
-    Partitions that are present stay untouched.  The list of them is as long as
-    the list of tasks; it is checked and broadcast.
+    Folders of these tasks that an interrupted run left are replaced; those of
+    other tasks stay untouched.
     """
-    spark = df.sparkSession
-    done = finished(spark, path, keys)
-    present = done.limit(MAX_TASKS + 1).collect() if done is not None else []
-    if len(present) > MAX_TASKS:
-        raise ValueError(f"more than {MAX_TASKS} partitions in {path}")
-    if present:
-        fields = ", ".join(f"`_done_{k}` STRING" for k in keys)
-        table = F.broadcast(spark.createDataFrame([tuple(r) for r in present], fields))
-        same = [F.col(k).cast("string").eqNullSafe(F.col(f"_done_{k}")) for k in keys]
-        df = df.join(table, reduce(lambda a, b: a & b, same), "left_anti")
-    writer = gathered(df, keys).write.mode("append").format(fmt).partitionBy(*keys)
-    writer.options(**(options or {})).save(path)
+    keys = tasks.columns
+    rows = restrict(df, tasks)
+    writer = gathered(rows, keys).write.mode("overwrite").format(fmt).partitionBy(*keys)
+    writer.option("partitionOverwriteMode", "dynamic").options(**(options or {})).save(path)
+    tasks.coalesce(1).write.mode("append").parquet(f"{path}-finished")

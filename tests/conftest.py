@@ -18,6 +18,7 @@ def make_session():
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", f"{scratch}/checkpoints")
         .config("spark.sql.warehouse.dir", f"{scratch}/warehouse")
         .getOrCreate()
     )

@@ -1,6 +1,7 @@
 """The whole run from files, on the hand-worked fixture in real coordinates."""
 
 import json
+from dataclasses import replace
 
 import pytest
 
@@ -76,3 +77,42 @@ def test_run_and_second_run(spark, inputs):
     run(spark, given, out)
     assert sorted(p for p in (root / "out").rglob("*.parquet")) == files
     assert [p.stat().st_mtime_ns for p in files] == stamps
+
+
+def rows(df):
+    return sorted(map(str, df.collect()))
+
+
+def test_what_comes_later_is_completed(spark, inputs, tmp_path):
+    root, given = inputs
+    work = tmp_path / "in"
+    for kind in ("urban", "rural"):
+        (work / kind).mkdir(parents=True)
+    for kind in ("urban", "rural"):
+        (work / kind / "NE1.no3.csv").write_text((root / kind / "NE1.no3.csv").read_text())
+    folders = {k: str(work / k) for k in ("urban", "rural")}
+    early = replace(given, predictions=folders, species=["no3"])
+    out = str(tmp_path / "out")
+    run(spark, early, out)
+    # a species, then a region, then a vintage
+    late = replace(early, species=["ec", "no3"])
+    for kind in ("urban", "rural"):
+        (work / kind / "NE1.ec.csv").write_text((root / kind / "NE1.ec.csv").read_text())
+    run(spark, late, out)
+    for species in ("ec", "no3"):
+        (work / "rural" / f"MA2.{species}.csv").write_text((root / "rural" / f"NE1.{species}.csv").read_text())
+    moved = (root / "blocks.json").read_text().replace("BLKIDFP00", "GEOID10")
+    (work / "blocks10.json").write_text(moved)
+    late = replace(
+        late,
+        blocks={**given.blocks, 2010: str(work / "blocks10.json")},
+        population={**given.population, 2010: given.population[2000]},
+    )
+    found = run(spark, late, out)
+    fresh = run(spark, late, str(tmp_path / "fresh"))
+    assert found["grid"].select("region").distinct().count() == 2
+    assert set(found) == set(fresh)
+    for name in found:
+        assert rows(found[name].select(*sorted(found[name].columns))) == rows(
+            fresh[name].select(*sorted(fresh[name].columns))
+        ), name

@@ -7,8 +7,10 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from gridtally.functions.geometry import rings_from_wkt
 from gridtally.functions.geoid import code_column, pad_code, region_of
 from gridtally.functions.names import base_name, strip_extension
+from gridtally.operators.grid import extract_grid
 from gridtally.operators.quality import inconsistent_groups, yearly_counts
 from gridtally.sources import catalog, readers, tasks, writers
 
@@ -166,16 +168,73 @@ def test_second_run_writes_only_what_is_missing(spark, tmp_path):
     rows = [("NE1", "ec", 1), ("NE1", "no3", 2), ("a b+c", "ec", 3), (None, "ec", 4)]
     df = spark.createDataFrame(rows, "region STRING, species STRING, v INT")
     keys = ["region", "species"]
-    tasks.write_pending(df.where("species = 'ec'"), path, keys)
-    before = sorted(str(p) for p in (tmp_path / "out").rglob("part*"))
-    tasks.write_pending(df, path, keys)
-    after = sorted(str(p) for p in (tmp_path / "out").rglob("part*"))
-    assert set(before) < set(after) and len(after) == 4
-    tasks.write_pending(df, path, keys)
-    assert sorted(str(p) for p in (tmp_path / "out").rglob("part*")) == after
+    files = lambda: sorted(str(p) for p in (tmp_path / "out").rglob("part*"))
+    todo = tasks.open_tasks(spark, df.where("species = 'ec'"), path, keys)
+    tasks.write_tasks(df, todo, path)
+    before = files()
+    assert len(before) == 3
+    # a task without rows is finished too, one that is left over comes alone
+    empty = spark.createDataFrame([("M8", "ec")], "region STRING, species STRING")
+    todo = tasks.open_tasks(spark, df.select(*keys).unionByName(empty), path, keys)
+    assert {tuple(r) for r in todo.collect()} == {("NE1", "no3"), ("M8", "ec")}
+    tasks.write_tasks(df, todo, path)
+    assert set(before) < set(files()) and len(files()) == 4
+    assert tasks.open_tasks(spark, df.select(*keys).unionByName(empty), path, keys) is None
     assert spark.read.parquet(path).agg(F.sum("v")).first()[0] == 10
 
 
+def test_folders_of_a_broken_run_are_replaced(spark, tmp_path):
+    path = str(tmp_path / "out")
+    df = spark.createDataFrame([("a", 1), ("b", 2)], "k STRING, v INT")
+    df.where("k = 'a'").write.partitionBy("k").parquet(path)  # written, but not marked
+    (tmp_path / "out-finished").mkdir()
+    tasks.write_tasks(df, tasks.open_tasks(spark, df, path, ["k"]), path)
+    assert sorted(r.v for r in spark.read.parquet(path).collect()) == [1, 2]
+
+
+def test_parts_are_numbers(spark, tmp_path):
+    for part in range(1, 13):
+        df = spark.createDataFrame([(2000, float(part), 1.0, float(part))],
+                                   "year INT, lon DOUBLE, lat DOUBLE, `final.predicted.ec` DOUBLE")
+        df.coalesce(1).write.parquet(str(tmp_path / "tmp" / str(part)))
+        file = next((tmp_path / "tmp" / str(part)).glob("part-*.parquet"))
+        write(tmp_path / "in" / f"2000.NE1.ec.part{part}.parquet", "")
+        (tmp_path / "in" / f"2000.NE1.ec.part{part}.parquet").write_bytes(file.read_bytes())
+    panel = readers.read_predictions(spark, str(tmp_path / "in"), ["ec"], "urban")
+    assert sorted(r.predicted for r in panel.collect()) == [float(p) for p in range(1, 13)]
+    cells = extract_grid(panel, "ec").collect()
+    assert [r.lon for r in sorted(cells, key=lambda r: r.gridcell_idx)] == [float(p) for p in range(1, 13)]
+
+
+def test_feature_collections_and_rejected_lines(spark, tmp_path):
+    ring = [[0, 0], [1, 0], [1, 1], [0, 0]]
+    one = {"type": "Feature", "properties": {"GEOID10": "01"},
+           "geometry": {"type": "Polygon", "coordinates": [ring]}}
+    both = {"type": "FeatureCollection", "features": [one, {**one, "properties": {"GEOID10": "02"}}]}
+    write(tmp_path / "a.json", json.dumps(both) + "\n" + json.dumps(one) + "\nbroken\n\n")
+    path = str(tmp_path / "a.json")
+    rows = readers.read_polygons(spark, path, {"GEOID10": "geoid"}).collect()
+    assert sorted(r.geoid for r in rows) == ["01", "01", "02"] and all(r.rings for r in rows)
+    assert readers.rejected_lines(spark, path) == 1
+    write(tmp_path / "b.json", json.dumps(both, indent=2))
+    rows = readers.read_polygons(spark, str(tmp_path / "b.json"), {"GEOID10": "geoid"}, "geojson_files")
+    assert rows.count() == 2
+
+
+def test_wkt_with_many_rings(spark):
+    rings = ", ".join(f"(({i} 0, {i + 1} 0, {i + 1} 1, {i} 0))" for i in range(20_000))
+    df = spark.createDataFrame([(f"MULTIPOLYGON ({rings})",), ("POLYGON EMPTY",), (None,),
+                                ("polygon((0 0,4 0,4 4,0 0) , (1 1, 2 1, 2 2, 1 1))",)], "w STRING")
+    sizes = [r[0] for r in df.select(F.size(rings_from_wkt(F.col("w")))).collect()]
+    assert sizes[0] == 20_000 and sizes[1] in (-1, None) and sizes[3] == 2
+
+
+def test_populations_are_numbers(spark, tmp_path):
+    path = write(tmp_path / "p.csv", "GEOID,population\n1,12\n2,12.0\n3,1e3\n4,NA\n5,1.5\n6,x\n")
+    found = {r.geoid[-1]: r.population for r in readers.read_population(spark, path).collect()}
+    assert found == {"1": 12, "2": 12, "3": 1000, "4": None, "5": None, "6": None}
+
+
 def test_task_grid(spark):
     grid = tasks.task_grid(spark, {"region": ["NE1", "P9"], "species": ["no3", "ec", "bc"]})
     assert grid.count() == 6
