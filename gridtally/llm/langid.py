@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from .common import raw_texts, runs
+from .common import free_names, raw_texts, runs
 
 HIDDEN = 8
 #: Bytes that the network reads in one go.
@@ -249,14 +249,15 @@ def fit(
 
 
 def with_language(
-    docs: DataFrame, net: Network, text_col: str = "text", names: tuple[str, str] = ("_lang", "_score")
+    docs: DataFrame, net: Network, text_col: str = "text"
 ) -> DataFrame:
-    """All columns of ``docs``, the predicted language and its probability under ``names``.
+    """All columns of ``docs``, the predicted language ``_lang`` and its probability ``_score``.
 
-    Only the text is read.  A NULL text or one without a letter is ``und`` with
+    The names get further underscores where ``docs`` has them.  Only the text is read.  A NULL text or one without a letter is ``und`` with
     score 0; repeated rows are read each; an empty table gives an empty result.
     """
     at = docs.columns.index(text_col)
+    names = free_names(docs, "_lang", "_score")
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
@@ -284,7 +285,6 @@ def keep_languages(
 ) -> DataFrame:
     """The rows in a wanted language (default: any learned one) with a score of ``least`` or more."""
     named = with_language(docs, net, text_col)
+    lang, score = map(F.col, free_names(docs, "_lang", "_score"))
     chosen = wanted if wanted is not None else net.languages
-    return named.where(
-        F.col("_lang").isin(*chosen) & (F.col("_lang") != UNKNOWN) & (F.col("_score") >= least)
-    ).select(*docs.columns)
+    return named.where(lang.isin(*chosen) & (lang != UNKNOWN) & (score >= least)).select(*docs.columns)

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import ordinal
+from .common import free_names
 from .graded import labelled_sample, sparse_rows, with_scores
 
 FEATURES = 1 << 18
@@ -111,11 +112,13 @@ def fit(
 def rate(docs: DataFrame, model: ordinal.Ordinal, text_col: str = "text") -> DataFrame:
     """All columns of ``docs`` and ``_expected``, ``_p_usable``, ``_p_good``.
 
-    The expected grade from 0 to 2, P(grade >= 1) and P(grade = 2).  A NULL text
-    counts as empty: no feature, the model's base rate.  Repeated rows are rated
-    each; an empty table gives an empty result.
+    The expected grade from 0 to 2, P(grade >= 1) and P(grade = 2); the names get
+    further underscores where ``docs`` has them.  A NULL text counts as empty: no
+    feature, the model's base rate.  Repeated rows are rated each; an empty table
+    gives an empty result.
     """
-    return with_scores(docs, model, make_featurizer, text_col, ["_expected", "_p_usable", "_p_good"])
+    names = free_names(docs, "_expected", "_p_usable", "_p_good")
+    return with_scores(docs, model, make_featurizer, text_col, names)
 
 
 def select_quality(
@@ -125,5 +128,8 @@ def select_quality(
 
     Rows without a word go: nothing can be said for them.
     """
+    usable = free_names(docs, "_p_usable")[0]
     rated = rate(docs, model, text_col)
-    return rated.where((F.col("_p_usable") >= least) & F.col(text_col).rlike(r"\w")).select(*docs.columns)
+    return rated.where((F.col(usable) >= least) & F.col(text_col).rlike(r"[\p{L}\p{N}]")).select(
+        *docs.columns
+    )

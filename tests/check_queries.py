@@ -60,7 +60,7 @@ if __name__ == "__main__":
     session = make_session()
     oracle = open_oracle(folder)
     failed = 0
-    for query in sys.argv[2:] or entry.queries():
+    for query in sys.argv[2:] or entry.oracle_sql():
         start = time.time()
         try:
             problem = compare(session, oracle, folder, query)
