@@ -19,7 +19,7 @@ from ..operators.nearest import nearest_points
 from ..operators.regions import polygon_centroids, polygon_validity, regional_subset
 from ..operators.within import points_within
 from ..sources.catalog import file_catalog, in_order
-from ..sources.readers import union_all
+from ..sources.readers import union_all, whole_number
 from ..sources.tasks import pending, preferred_first
 from . import views
 from .pipeline import block_values
@@ -149,6 +149,56 @@ def nearest_points_query(spark, folder):
     return nearest_points(_centres(spark, folder), views.grid(spark, folder), by=())
 
 
+def _regional(areas):
+    """Areas of the regions, once for each kind of grid."""
+    kinds = F.explode(F.array(F.lit("rural"), F.lit("urban")))
+    return regional_subset(areas).withColumn("urban_rural", kinds)
+
+
+def points_within_by_region(spark, folder):
+    areas = _regional(views.blocks(spark, folder).select("geoid", "rings"))
+    return points_within(views.regional_grid(spark, folder), areas, by=KIND)
+
+
+def nearest_by_region(spark, folder):
+    found = nearest_points(
+        _regional(_centres(spark, folder)), views.regional_grid(spark, folder), by=KIND
+    )
+    return _round(found, "distance", digits=9)
+
+
+def _ring_report(areas):
+    return polygon_centroids(
+        areas.withColumns(
+            {
+                "n_rings": F.size("rings"),
+                "area": F.expr(f"aggregate(rings, 0D, (a, r) -> a + {G.ring_area('r')})"),
+            }
+        )
+    )
+
+
+def wkt_rings(spark, folder):
+    """Polygons, polygons with a hole and multipolygons from text."""
+    areas = views.polygon_texts(spark, folder)
+    return _ring_report(areas.select("geoid", G.rings_from_wkt(F.col("wkt")).alias("rings")))
+
+
+def geojson_rings(spark, folder):
+    areas = views.polygon_texts(spark, folder)
+    return _ring_report(areas.select("geoid", G.rings_from_geojson(F.col("geojson")).alias("rings")))
+
+
+def population_text(spark, folder):
+    """Populations written in several ways."""
+    text = F.expr(
+        """CASE q % 7 WHEN 1 THEN concat(population, '.0') WHEN 2 THEN concat(' ', population)
+             WHEN 3 THEN concat(q % 9 + 1, 'e2') WHEN 4 THEN 'n/a' WHEN 5 THEN '1.5'
+             ELSE CAST(population AS STRING) END"""
+    )
+    return views.blocks(spark, folder).select("q", whole_number(text).alias("population"))
+
+
 def polygon_centroids_query(spark, folder):
     areas = views.blocks(spark, folder).select("geoid", "rings")
     return polygon_centroids(regional_subset(areas))
@@ -304,6 +354,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "points_within": points_within_query,
     "centroids_urban": centroids_urban,
     "nearest_points": nearest_points_query,
+    "points_within_by_region": points_within_by_region,
+    "nearest_by_region": nearest_by_region,
+    "wkt_rings": wkt_rings,
+    "geojson_rings": geojson_rings,
+    "population_text": population_text,
     "polygon_centroids": polygon_centroids_query,
     "conic_projection": conic_projection,
     "within_buffer": within_buffer_query,

@@ -69,6 +69,49 @@ def grid(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def regional_grid(spark: SparkSession, folder: str) -> DataFrame:
+    """The grid points with their region and kind."""
+    return (
+        predictions(spark, folder)
+        .where("year = 2000 AND species = 'ec'")
+        .select("region", "urban_rural", "gridcell_idx", "lon", "lat")
+    )
+
+
+def polygon_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """Blocks as text: diamonds, diamonds with a hole, and pairs of diamonds."""
+
+    def ring(x: str, scale: str, between: str, left: str, right: str) -> str:
+        corners = [
+            (f"{x} + hx * {scale}", "y"), (x, f"y + hy * {scale}"),
+            (f"{x} - hx * {scale}", "y"), (x, f"y - hy * {scale}"),
+        ]
+        points = [
+            f"'{left}', CAST({a} AS STRING), '{between}', CAST({b} AS STRING), '{right}'"
+            for a, b in [*corners, corners[0]]
+        ]
+        return "concat(" + ", ', ', ".join(points) + ")"
+
+    def texts(opening: str, closing: str, between: str, left: str, right: str) -> list[str]:
+        one, hole, far = (
+            f"concat('{opening}', {ring(x, scale, between, left, right)}, '{closing}')"
+            for x, scale in (("x", "1"), ("x", "0.5D"), ("(x + 4 * hx)", "1"))
+        )
+        return [one, f"concat({one}, ' , ', {hole})", one, far]
+
+    w, j = texts("(", ")", " ", "", ""), texts("[", "]", ",", "[", "]")
+    return blocks(spark, folder).selectExpr(
+        "geoid",
+        f"""CASE q % 3 WHEN 0 THEN concat('POLYGON (', {w[0]}, ')')
+              WHEN 1 THEN concat('POLYGON(', {w[1]}, ')')
+              ELSE concat('MULTIPOLYGON ((', {w[2]}, '), (', {w[3]}, '))') END AS wkt""",
+        f"""CASE q % 3 WHEN 0 THEN concat('{{"type":"Polygon","coordinates":[', {j[0]}, ']}}')
+              WHEN 1 THEN concat('{{"type":"Polygon","coordinates":[', {j[1]}, ']}}')
+              ELSE concat('{{"type":"MultiPolygon","coordinates":[[', {j[2]}, '],[', {j[3]}, ']]}}')
+            END AS geojson""",
+    )
+
+
 def predictions(spark: SparkSession, folder: str) -> DataFrame:
     """Two species in five years on every grid point."""
     cells = table(spark, folder, "part").selectExpr(
