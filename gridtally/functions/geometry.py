@@ -149,9 +149,15 @@ def touches_edges(edge_list: str, x: str, y: str) -> str:
 
 
 def strictly_inside(edge_list: str, x: str, y: str) -> str:
-    """Even-odd test; a point on the boundary is not inside."""
-    crossed = f"size(filter({edge_list}, e -> {crosses_ray('e', x, y)}))"
-    return f"({crossed} % 2 = 1 AND NOT {touches_edges(edge_list, x, y)})"
+    """Even-odd test in one pass; a point on the boundary is not inside.
+
+    The state counts the crossed edges and stays at -1 from a touched edge on.
+    """
+    crossed = (
+        f"aggregate({edge_list}, 0, (s, e) -> CASE WHEN s < 0 OR {on_edge('e', x, y)} THEN -1"
+        f" WHEN {crosses_ray('e', x, y)} THEN s + 1 ELSE s END)"
+    )
+    return f"(pmod(greatest({crossed}, 0), 2) = 1)"
 
 
 def edges_for_box(edge_list: str, minx: str, miny: str, maxy: str) -> str:

@@ -41,20 +41,16 @@ def coverage(catalog: DataFrame, keys: Sequence[str] = ("region", "year", "speci
     """Contingency table over ``keys`` with a row for every combination.
 
     Rows with a missing key are left out.  Each value of the first key meets the
-    domains of the others (years, species), which are one short row, and unfolds
+    domains of the others (years, species), which are short lists, and unfolds
     them: the combinations are made where the values of the first key are.
     """
     keys = list(keys)
     known = catalog.dropna(subset=keys)
     counts = known.groupBy(*keys).agg(n_rows().alias("n"))
-    one = F.lit(1).alias("_one")
-    frame = counts.select(keys[0], one).distinct().repartition(keys[0])
-    if len(keys) > 1:
-        rest = counts.groupBy(one).agg(*[F.collect_set(k).alias(k) for k in keys[1:]])
-        frame = frame.join(F.broadcast(rest), "_one")
+    frame = counts.select(keys[0]).distinct().repartition(keys[0])
     for k in keys[1:]:
-        frame = frame.withColumn(k, F.explode(k))
-    return frame.drop("_one").join(counts, keys, "left").fillna({"n": 0})
+        frame = frame.withColumn(k, F.explode(counts.select(F.collect_set(k)).scalar()))
+    return frame.join(counts, keys, "left").fillna({"n": 0})
 
 
 def coverage_wide(
@@ -106,15 +102,14 @@ def shares_with_total(df: DataFrame, column: str) -> DataFrame:
     Missing values count towards the base of the percentages only.
     """
     counts = df.groupBy(column).agg(n_rows().alias("_n"))  # one row per value
-    base = counts.groupBy(F.lit(1).alias("_one")).agg(F.sum("_n").alias("_all"))
+    base = counts.select(F.sum("_n")).scalar()
     totals = counts.rollup(column).agg(
         F.sum("_n").alias("_n"),
         F.sum(F.when(F.col(column).isNotNull(), F.col("_n"))).alias("_known"),
         F.grouping_id().alias("_group"),
     )
     return (
-        totals.withColumn("_one", F.lit(1))
-        .join(F.broadcast(base), "_one")
+        totals.withColumn("_all", base)
         .where((F.col("_group") == 1) | F.col(column).isNotNull())
         .select(
             column,

@@ -34,13 +34,10 @@ def hot_from_counts(
     counts: DataFrame, keys: Sequence[str], n: str, rows_per_split: int = ROWS_PER_SPLIT
 ) -> DataFrame:
     """``hot_keys`` for counts that are known already."""
-    heavy = counts.where(F.col(n) > rows_per_split).withColumn("_one", F.lit(1))
-    total = counts.groupBy(F.lit(1).alias("_one")).agg(F.sum(n).alias("_total"))
-    least = F.greatest(F.lit(float(rows_per_split)), F.col("_total") / MOST_PIECES)
-    return (
-        heavy.join(F.broadcast(total), "_one")
-        .where(F.col(n) > least)
-        .select(*keys, F.ceil(F.col(n) / least).cast("int").alias("_splits"))
+    share = counts.select((F.sum(n) / MOST_PIECES).alias("_share")).scalar()
+    least = F.greatest(F.lit(float(rows_per_split)), share)
+    return counts.where(F.col(n) > least).select(
+        *keys, F.ceil(F.col(n) / least).cast("int").alias("_splits")
     )
 
 

@@ -21,6 +21,7 @@ from ..operators.grid import extract_grid, require_unique_places
 from ..operators.quality import coverage, inconsistent_groups, yearly_counts
 from ..operators.regions import polygon_centroids, regional_subset
 from ..operators.within import points_within
+from ..operators.staging import staging_scope
 from ..sources.catalog import file_catalog, list_files
 from ..sources.readers import (
     read_blocks,
@@ -72,7 +73,8 @@ def run(spark: SparkSession, inputs: Inputs, out: str) -> dict[str, DataFrame]:
     before = spark.conf.get(setting)
     spark.conf.set(setting, "false")
     try:
-        return _run(spark, inputs, out)
+        with staging_scope(spark):
+            return _run(spark, inputs, out)
     finally:
         spark.conf.set(setting, before)
 
