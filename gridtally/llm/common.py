@@ -7,13 +7,52 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: Bits of the filter of :func:`likely`: 8 MB at most, whatever the size of the data.
+FILTER_BITS = 1 << 26
+_ROW_BITS = 1 << 15
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """The wanted column names, with underscores in front where ``df`` has them already."""
+    taken = {c.lower() for c in df.columns}
+    names = []
+    for name in wanted:
+        while name.lower() in taken:
+            name = f"_{name}"
+        names.append(name)
+    return names
+
+
+def likely(df: DataFrame, column: str, values: DataFrame) -> DataFrame:
+    """The rows whose integer ``column`` may be in the only column of ``values``; none of those is lost.
+
+    A bitmap of fixed size is broadcast.  It saves shuffling rows that a join
+    with ``values`` would drop; with ever more values it only lets more pass.
+    """
+
+    def place(name: str) -> Column:
+        return F.pmod(F.xxhash64(F.col(name).cast("long")), F.lit(FILTER_BITS))
+
+    bits = (
+        values.select(place(values.columns[0]).alias("_bit"))
+        .groupBy(F.floor(F.col("_bit") / _ROW_BITS).alias("_row"))
+        .agg(F.bitmap_construct_agg(F.col("_bit") % _ROW_BITS).alias("_bitmap"))
+    )
+    bit = place(column) % _ROW_BITS
+    byte = F.substring("_bitmap", (F.floor(bit / 8) + 1).cast("int"), F.lit(1))
+    is_set = F.getbit(F.conv(F.hex(byte), 16, 10).cast("long"), (bit % 8).cast("int")) == 1
+    return df.join(
+        F.broadcast(bits), (F.floor(place(column) / _ROW_BITS) == F.col("_row")) & is_set, "left_semi"
+    )
+
+
 def batch(schema: pa.Schema, columns: list) -> pa.RecordBatch:
     arrays = [
         c if isinstance(c, pa.Array) else pa.array(c, field.type)

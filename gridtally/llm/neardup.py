@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.staging import stage
-from .common import batch, raw_texts
+from .common import batch, likely, raw_texts
 from .components import components
 
 WORDS = 5
@@ -256,9 +256,13 @@ def class_components(
         F.ceil(F.col("n") / block).alias("blocks"),
         F.pmod(F.xxhash64("rep"), F.ceil(F.col("n") / block)).alias("place"),
     )
-    sets = docs.join(placed.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").mapInArrow(
-        _sets, "rep long, shingles binary"
-    ).dropDuplicates(["rep"])
+    named = placed.select(F.col("rep").alias("doc_id"))
+    sets = (
+        likely(docs, "doc_id", named)
+        .join(named, "doc_id", "left_semi")
+        .mapInArrow(_sets, "rep long, shingles binary")
+        .dropDuplicates(["rep"])
+    )
     members = stage(
         placed.join(sets, "rep").withColumn("label", F.col("rep")), "members"
     )
