@@ -1,5 +1,9 @@
 """Every registered query equals its SQL oracle."""
 
+import os
+import subprocess
+import sys
+
 import pytest
 
 import __spark_entry__ as entry
@@ -24,5 +28,14 @@ def test_query(spark, oracle, name):
     assert compare(spark, oracle, FOLDER, name) is None
 
 
+def test_the_rest_works_without_the_training_data_operators():
+    code = (
+        "import sys; sys.modules['gridtally.llm'] = sys.modules['corpus_pipeline'] = None\n"
+        "import __spark_entry__ as e; from gridtally.plans.queries import QUERIES\n"
+        "assert set(e.queries()) == set(QUERIES) == set(e.oracle_sql())"
+    )
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=os.path.dirname(entry.__file__))
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
