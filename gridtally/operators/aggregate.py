@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geoid import LEVEL_LENGTHS, PARENT_LEVELS, area_prefix, parent_codes
-from ..functions.nulls import first_present, n_rows, strict_avg
+from ..functions.nulls import first_present, n_rows
 from .grid import coordinate_key, require_unique_places
 from .skew import hot_keys, spread_join
 
@@ -49,21 +48,24 @@ def aggregate_blocks(
     place is refused then.
     """
     by, block = list(by), list(block)
-    within = within.where(F.col(block[-1]) != "").select(*by, *block, "gridcell_idx")
-    nearest = nearest.select(*by, *block, "gridcell_idx", "distance")
     cell = [*by, "gridcell_idx"]
-    # one list of hot cells for all joins, so that the panel's shuffle is shared
-    hot = hot_keys(within.select(*cell).unionByName(nearest.select(*cell)), cell)
+    # both crosswalks in one table, so that the panel is joined once
+    links = (
+        within.where(F.col(block[-1]) != "")
+        .select(*cell, *block, F.lit(None).cast("double").alias("distance"))
+        .withColumn("_near", F.lit(False))
+        .unionByName(
+            nearest.select(*cell, *block, "distance").withColumn("_near", F.lit(True))
+        )
+    )
+    hot = hot_keys(links.select(*cell), cell)
     keys = cell
     if grid is not None:
         require_unique_places(grid, by)
         place = {"_kx": coordinate_key(F.col("lon")), "_ky": coordinate_key(F.col("lat"))}
         spots = grid.withColumns(place).select(*cell, "_kx", "_ky")
         keys = [*by, "_kx", "_ky"]
-        within, nearest = (
-            spread_join(t, spots, cell, spread_by=block, how="left", hot=hot)
-            for t in (within, nearest)
-        )
+        links = spread_join(links, spots, cell, spread_by=block, how="left", hot=hot)
         hot = spots.join(F.broadcast(hot), cell).groupBy(*keys).agg(F.max("_splits").alias("_splits"))
         panel = panel.withColumns(place)
     extra = []
@@ -71,47 +73,31 @@ def aggregate_blocks(
         extra = ["species"]
         keys = [*keys, *extra]
         names = list(species) if species is not None else _species_of(panel)
-        each = F.explode(F.array(*[F.lit(s) for s in names]))
-        within, nearest = (t.withColumn("species", each) for t in (within, nearest))
+        links = links.withColumn("species", F.explode(F.array(*[F.lit(s) for s in names])))
         if species is not None:
             panel = panel.where(F.col("species").isin(names))
+    values = panel.select(*keys, "year", F.col("predicted").cast("double").alias("predicted"))
+    found = spread_join(links, values, keys, spread_by=block, how="left", hot=hot)
 
-    # the year is split into a value and a mark for NULL, which makes a plain
-    # key of it for grouping and merging alike
-    values = panel.select(
-        *keys,
-        F.coalesce("year", F.lit(0)).alias("_year"),
-        F.col("year").isNotNull().alias("_dated"),
-        F.col("predicted").cast("double").alias("predicted"),
-    )
-
-    def joined(crosswalk: DataFrame) -> DataFrame:
-        found = spread_join(crosswalk, values, keys, spread_by=block, how="left", hot=hot)
-        return found.withColumns(
-            {"_year": F.coalesce("_year", F.lit(0)), "_dated": F.coalesce("_dated", F.lit(False))}
-        )
-
-    group = [*by, *extra, *block, "_year", "_dated"]
-    inside = (
-        joined(within)
-        .groupBy(*group)
+    group = [*by, *extra, *block, "year"]
+    inside = F.when(~F.col("_near"), F.col("predicted"))
+    n_inside = F.count_if(~F.col("_near"))
+    closest = F.when(F.col("_near"), F.struct("predicted", "distance"))
+    return (
+        found.groupBy(*group)
         .agg(
-            strict_avg(F.col("predicted")).alias("predicted_within"),
-            n_rows().alias("n_gridcells_within"),
+            F.when(F.count(inside) == n_inside, F.avg(inside)).alias("predicted_within"),
+            F.when(n_inside > 0, n_inside).alias("n_gridcells_within"),
+            F.collect_list(closest).alias("_closest"),
+        )
+        .withColumn("_closest", F.explode("_closest"))
+        .select(
+            *group,
+            "predicted_within",
+            "n_gridcells_within",
+            F.col("_closest.predicted").alias("predicted_nearest"),
+            F.col("_closest.distance").alias("distance_nearest"),
         )
-        .withColumnsRenamed({c: f"_i_{c}" for c in group})
-    )
-    closest = joined(nearest).select(
-        *group,
-        F.col("predicted").alias("predicted_nearest"),
-        F.col("distance").alias("distance_nearest"),
-    )
-    same = reduce(lambda a, b: a & b, [F.col(c) == F.col(f"_i_{c}") for c in group])
-    merged = closest.join(inside, same, "left").withColumn(
-        "year", F.when(F.col("_dated"), F.col("_year"))
-    )
-    return merged.select(
-        *by, *extra, *block, "year", "predicted_within", "n_gridcells_within", "predicted_nearest", "distance_nearest"
     )
 
 
