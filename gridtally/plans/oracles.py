@@ -305,6 +305,21 @@ ORACLES: dict[str, str] = {
         BLOCKS, URBAN,
         select="SELECT geoid, uace FROM b, u WHERE abs(b.x - u.x) / 2 + abs(b.y - u.y) < 1",
     ),
+    "csv_round_trip": _sql(
+        BLOCKS, CLASSES,
+        select="SELECT geoid, fully_predicted, population, urban FROM k",
+    ),
+    "counts_round_trip": """
+        SELECT l_returnflag AS region, l_linestatus AS urban_rural, 'all' AS species,
+               year(l_shipdate)::INTEGER AS year, count(*) AS n
+        FROM lineitem WHERE l_shipdate IS NOT NULL GROUP BY ALL
+    """,
+    "layer_round_trip": _sql(
+        BLOCKS,
+        select=f"SELECT geoid, population, {_REGION} AS region FROM b "
+        f"WHERE left(geoid, 2) IN ({_KNOWN})",
+    ),
+    "query_export": _sql(BLOCKS, CLASSES, select="SELECT geoid, population FROM k WHERE population > 100"),
     "points_within_by_region": _sql(
         BLOCKS, GRID,
         select=f"""SELECT g.region, urban_rural, gridcell_idx, geoid

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +18,9 @@ from ..operators.distribute import distribute
 from ..operators.grid import attach_cells, extract_grid, number_by_position, sample_files
 from ..operators.nearest import nearest_points
 from ..operators.regions import polygon_centroids, polygon_validity, regional_subset
+from ..operators.staging import checkpoint_folder
 from ..operators.within import points_within
+from ..sources import readers, writers
 from ..sources.catalog import file_catalog, in_order
 from ..sources.readers import union_all, whole_number
 from ..sources.tasks import pending, preferred_first
@@ -155,6 +158,42 @@ def _regional(areas):
     return regional_subset(areas).withColumn("urban_rural", kinds)
 
 
+def _scratch(spark) -> str:
+    return f"{checkpoint_folder(spark).rstrip('/')}/round-trip-{uuid.uuid4().hex}"
+
+
+def csv_round_trip(spark, folder):
+    """Compressed CSV by folders with the codes of a vintage, written and read."""
+    path = _scratch(spark)
+    rows = writers.with_file_codes(views.block_classes(spark, folder), 2000)
+    writers.write_csv(rows, path, ["urban"], "NA", sort_by=["BLKIDFP00"])
+    schema = "BLKIDFP00 STRING, fully_predicted INT, population BIGINT, urban INT"
+    return readers.read_table(spark, path, schema, "NA", "BLKIDFP00")
+
+
+def counts_round_trip(spark, folder):
+    path = _scratch(spark)
+    counts = quality.yearly_counts(views.panel_rows(spark, folder))
+    writers.write_counts(counts, path, quality.PANEL_GROUP)
+    return readers.read_counts(spark, path)
+
+
+def layer_round_trip(spark, folder):
+    path = _scratch(spark)
+    areas = regional_subset(views.blocks(spark, folder).select("geoid", "population"))
+    writers.write_layer(areas, path, "areas", ["region"])
+    return readers.read_layer(spark, path, "areas")
+
+
+def query_export(spark, folder):
+    """The result of a SQL query as CSV."""
+    path = _scratch(spark)
+    views.block_classes(spark, folder).createOrReplaceTempView("gridtally_block_classes")
+    query = "SELECT geoid, population FROM gridtally_block_classes WHERE population > :least"
+    writers.export_query(spark, query, path, {"least": 100})
+    return readers.read_table(spark, path, "geoid STRING, population BIGINT")
+
+
 def points_within_by_region(spark, folder):
     areas = _regional(views.blocks(spark, folder).select("geoid", "rings"))
     return points_within(views.regional_grid(spark, folder), areas, by=KIND)
@@ -354,6 +393,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "points_within": points_within_query,
     "centroids_urban": centroids_urban,
     "nearest_points": nearest_points_query,
+    "csv_round_trip": csv_round_trip,
+    "counts_round_trip": counts_round_trip,
+    "layer_round_trip": layer_round_trip,
+    "query_export": query_export,
     "points_within_by_region": points_within_by_region,
     "nearest_by_region": nearest_by_region,
     "wkt_rings": wkt_rings,

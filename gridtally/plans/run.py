@@ -18,7 +18,7 @@ from ..operators.buffer import within_buffer
 from ..operators.classify import classify_blocks, classify_parents
 from ..operators.distribute import distribute
 from ..operators.grid import extract_grid, require_unique_places
-from ..operators.quality import coverage, inconsistent_groups, yearly_counts
+from ..operators.quality import coverage, inconsistent_groups, panel_check, yearly_counts
 from ..operators.regions import polygon_centroids, regional_subset
 from ..operators.within import points_within
 from ..operators.staging import staging_scope
@@ -27,12 +27,14 @@ from ..sources.readers import (
     read_blocks,
     read_counts,
     read_layer,
+    read_panel,
     read_polygons,
     read_population,
     read_predictions,
     union_all,
 )
 from ..sources.tasks import open_tasks, restrict, task_grid, write_tasks
+from ..sources.writers import with_file_codes
 from .pipeline import crosswalks
 
 KIND = ["region", "urban_rural"]
@@ -59,6 +61,8 @@ class Inputs:
     buffer_tolerance: float = 1.0
     exclude_regions: Sequence[str] = ()
     levels: Sequence[str] = PARENT_LEVELS
+    panel: str | None = None  # a partitioned panel instead of prediction files
+    csv: bool = False  # also write the values as CSV.gz with the code columns of the vintage
 
 
 def run(spark: SparkSession, inputs: Inputs, out: str) -> dict[str, DataFrame]:
@@ -95,18 +99,23 @@ def _run(spark: SparkSession, inputs: Inputs, out: str) -> dict[str, DataFrame]:
 
     # what there is: files by region, kind and species
     extension = inputs.predictions_format
-    files = union_all(
-        file_catalog(list_files(spark, path, f"*.{extension}*"), extension).withColumn(
-            "urban_rural", F.lit(kind)
+    if inputs.panel is not None:
+        panel = read_panel(spark, inputs.panel).where(F.col("species").isin(list(inputs.species)))
+        files = panel.select(*KIND, "species").distinct()
+    else:
+        panel = union_all(
+            read_predictions(spark, path, inputs.species, kind, inputs.predictions_format)
+            for kind, path in inputs.predictions.items()
         )
-        for kind, path in inputs.predictions.items()
-    ).where(F.col("species").isin(list(inputs.species)))
+        files = union_all(
+            file_catalog(list_files(spark, path, f"*.{extension}*"), extension).withColumn(
+                "urban_rural", F.lit(kind)
+            )
+            for kind, path in inputs.predictions.items()
+        ).where(F.col("species").isin(list(inputs.species)))
     tables["coverage"] = coverage(files, ["urban_rural", "region", "species"])
-    files = files.where(~F.col("region").isin(list(inputs.exclude_regions)))
-    panel = union_all(
-        read_predictions(spark, path, inputs.species, kind, inputs.predictions_format)
-        for kind, path in inputs.predictions.items()
-    ).where(~F.col("region").isin(list(inputs.exclude_regions)))
+    kept = ~F.col("region").isin(list(inputs.exclude_regions))
+    files, panel = files.where(kept), panel.where(kept)
     group = [*KIND, "species"]
 
     todo = open_tasks(spark, files, f"{out}/diagnostics", group)
@@ -117,6 +126,8 @@ def _run(spark: SparkSession, inputs: Inputs, out: str) -> dict[str, DataFrame]:
         )
     tables["inconsistent"] = inconsistent_groups(read_counts(spark, f"{out}/diagnostics"))
 
+    tables["panel_check"] = panel_check(panel)
+
     # grids: one per region and kind, from the sampled species
     sampled = files.where(F.col("species") == inputs.sample_species)
     grid = product(
@@ -167,8 +178,7 @@ def _run(spark: SparkSession, inputs: Inputs, out: str) -> dict[str, DataFrame]:
     parts = [*KIND, "vintage"]
     each_vintage = F.explode(F.array(*[F.lit(str(v)) for v in inputs.blocks])).alias("vintage")
     grids = grid.select(*KIND).distinct()
-    kinds = F.explode(F.array(*[F.lit(k) for k in inputs.predictions]))
-    regional = regional_subset(blocks).withColumn("urban_rural", kinds)
+    regional = regional_subset(blocks).join(F.broadcast(grids), "region")  # few rows
     made: list[tuple[DataFrame, DataFrame]] = []
 
     def both(todo: DataFrame, side: int) -> DataFrame:
@@ -221,8 +231,34 @@ def _run(spark: SparkSession, inputs: Inputs, out: str) -> dict[str, DataFrame]:
 
     wanted_areas = wanted_levels.unionByName(wanted.withColumn("level", F.lit("blocks")))
     product("distribution", wanted_areas, per_level, distribution)
+    if inputs.csv:
+        _write_csv(spark, inputs, tables, out)
     return tables
 
 
+def _write_csv(
+    spark: SparkSession, inputs: Inputs, tables: Mapping[str, DataFrame], out: str
+) -> None:
+    """The values as CSV.gz: below ``csv/table/vintage/level``, one folder per task."""
+    for name in ("block_values", "parent_values", "distribution"):
+        values = tables[name]
+        levels = {"block_values": ["blocks"], "parent_values": list(inputs.levels)}.get(
+            name, ["blocks", *inputs.levels]
+        )
+        for vintage in inputs.blocks:
+            for level in levels:
+                rows = values.where(F.col("vintage") == int(vintage))
+                if "level" in values.columns:
+                    rows = rows.where(F.col("level") == level).drop("level")
+                keys = [*KIND, "species"]
+                path = f"{out}/csv/{name}/{vintage}/{level}"
+                todo = open_tasks(spark, rows, path, keys)
+                if todo is not None:
+                    write_tasks(
+                        with_file_codes(rows.drop("vintage"), vintage, level), todo, path, "csv",
+                        {"header": "true", "compression": "gzip", "nullValue": "NA"},
+                    )
+
+
 def _typed(df: DataFrame) -> DataFrame:
     return df.withColumn("vintage", F.col("vintage").cast("int")) if "vintage" in df.columns else df

@@ -60,6 +60,16 @@ def read_predictions(
     return panel if urban_rural is None else panel.withColumn("urban_rural", F.lit(urban_rural))
 
 
+def read_panel(spark: SparkSession, path: str) -> DataFrame:
+    """A panel in folders ``region=, urban_rural=, species=``, values in ``predicted``.
+
+    Filters on these columns read only their folders.
+    """
+    columns = "year INT, lon DOUBLE, lat DOUBLE, predicted DOUBLE, part_number STRING"
+    folders = "region STRING, urban_rural STRING, species STRING"
+    return nan_to_null(spark.read.schema(f"{columns}, {folders}").parquet(path))
+
+
 def read_polygons(
     spark: SparkSession,
     path: str,
