@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,6 +36,7 @@ class CellPyramid:
     n_points: int
     n_groups: int
     leaves: DataFrame  # by, ix, iy, n, minx, maxx, miny, maxy at the finest level
+    _built: dict[int, DataFrame] = field(default_factory=dict, compare=False, repr=False)
 
     def cell_size(self, level: int) -> float:
         return self.side / (1 << (BITS_PER_LEVEL * level))
@@ -57,29 +58,48 @@ class CellPyramid:
         """Proven upper bound of the number of occupied cells of a level."""
         return min(self.n_points, self.n_groups << (2 * BITS_PER_LEVEL * level))
 
+    def _coarser(self, finer: DataFrame, levels: int) -> DataFrame:
+        """Cells that many levels up, from the cells of a finer level."""
+        if not levels:
+            return finer
+        up = BITS_PER_LEVEL * levels
+        return (
+            finer.withColumns(
+                {"ix": F.expr(f"shiftright(ix, {up})"), "iy": F.expr(f"shiftright(iy, {up})")}
+            )
+            .groupBy(*self.by, "ix", "iy")
+            .agg(
+                *[F.expr(f"{c[:3]}({c}) AS {c}") for c in BOX],
+                *[
+                    F.expr(f"CASE WHEN count({c}) = count(1) AND min({c}) = max({c}) THEN min({c}) END AS {c}")
+                    for c in ("leaf_ix", "leaf_iy")
+                ],
+            )
+        )
+
+    def _cells(self, level: int) -> DataFrame:
+        """The cells of a level.
+
+        Each level comes from the next finer one and is written once, up to the
+        first that is small; coarser ones are cheap from there.
+        """
+        if self.depth not in self._built:
+            both = {"leaf_ix": F.col("ix"), "leaf_iy": F.col("iy")}
+            self._built[self.depth] = self.leaves.withColumns(both)
+        finest = min(self._built)
+        while finest > level and self.bound(finest) > BROADCAST_ROWS:
+            coarser = self._coarser(self._built[finest], 1)
+            finest -= 1
+            self._built[finest] = stage(coarser, "cells")
+        source = min(k for k in self._built if k >= level)
+        return self._coarser(self._built[source], source - level)
+
     def children(self, level: int) -> DataFrame:
         """Cells of ``level`` keyed by their parent, with columns ``c_*``.
 
         ``c_leaf_ix, c_leaf_iy`` name the finest cell if there is but one below.
         """
-        up = BITS_PER_LEVEL * (self.depth - level)
-        leaves = self.leaves.withColumns({"leaf_ix": F.col("ix"), "leaf_iy": F.col("iy")})
-        cells = leaves
-        if up:
-            cells = (
-                leaves.withColumns(
-                    {"ix": F.expr(f"shiftright(ix, {up})"), "iy": F.expr(f"shiftright(iy, {up})")}
-                )
-                .groupBy(*self.by, "ix", "iy")
-                .agg(
-                    *[F.expr(f"{c[:3]}({c}) AS {c}") for c in BOX],
-                    *[
-                        F.expr(f"CASE WHEN min({c}) = max({c}) THEN min({c}) END AS {c}")
-                        for c in ("leaf_ix", "leaf_iy")
-                    ],
-                )
-            )
-        cells = cells.selectExpr(
+        cells = self._cells(level).selectExpr(
             *[f"`{c}`" for c in self.by],
             f"shiftright(ix, {BITS_PER_LEVEL}) AS px",
             f"shiftright(iy, {BITS_PER_LEVEL}) AS py",
