@@ -53,6 +53,16 @@ def likely(df: DataFrame, column: str, values: DataFrame) -> DataFrame:
     )
 
 
+def share_of_hash(hashed: Column, wanted: Column | int, total: Column | int) -> Column:
+    """Whether a row is in a share of the hash values that holds ``wanted`` of ``total`` rows four times over.
+
+    It leaves few rows to sort for a sample of ``wanted`` rows, however many there are.
+    """
+    steps = 1 << 40
+    part = F.pmod(hashed, F.lit(steps)) / steps
+    return part * total < 4.0 * wanted + 100.0
+
+
 def batch(schema: pa.Schema, columns: list) -> pa.RecordBatch:
     arrays = [
         c if isinstance(c, pa.Array) else pa.array(c, field.type)

@@ -19,7 +19,9 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
         both = both.unionByName(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
     else:
         both = both.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    lowest = both.groupBy("u").agg(F.min("v").alias("m"))
+    # written, so that the join has a shuffle on both sides and can split the rows of
+    # a node with very many neighbours
+    lowest = stage(both.groupBy("u").agg(F.min("v").alias("m")), "lowest")
     lowest = lowest.select("u", F.least("u", "m").alias("m"))
     joined = both.join(lowest, "u")
     if large:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import texts
+from .common import share_of_hash, texts
 from .ordinal import Ordinal
 
 #: A text to (distinct features, their values).
@@ -30,8 +30,11 @@ def labelled_sample(
     ).dropna()
     rated = rated.groupBy("_id").agg(F.min("_grade").alias("_grade"))
     chosen = None
-    for grade in sorted(r[0] for r in rated.select("_grade").distinct().collect()):
-        part = rated.where(F.col("_grade") == grade).orderBy(F.xxhash64("_id"), "_id").limit(per_grade)
+    mix = F.xxhash64("_id")
+    counts = rated.groupBy("_grade").agg(F.count(F.lit(1)).alias("n"))
+    for grade, n in sorted(map(tuple, counts.collect())):
+        few = rated.where((F.col("_grade") == grade) & share_of_hash(mix, per_grade, n))
+        part = few.orderBy(mix, "_id").limit(per_grade)
         chosen = part if chosen is None else chosen.unionByName(part)
     if chosen is None:
         chosen = rated
@@ -44,8 +47,15 @@ def labelled_sample(
     )
 
 
-def sparse_rows(sample: DataFrame, make: Callable[[], Featurizer]) -> tuple[np.ndarray, ...]:
-    """(row, feature, value) triples and grades of the bounded sample, on the driver."""
+#: (row, feature, value) triples and a grade per row to a model.
+Trainer = Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray], Ordinal]
+
+
+def fit_sample(sample: DataFrame, make: Callable[[], Featurizer], train: Trainer) -> Ordinal:
+    """The model of a bounded sample: one task gathers its features and trains.
+
+    The driver receives the model alone.
+    """
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         featurize = make()
@@ -61,18 +71,34 @@ def sparse_rows(sample: DataFrame, make: Callable[[], Featurizer]) -> tuple[np.n
                 names=["id", "grade", "features", "values"],
             )
 
-    found = sorted(
-        sample.mapInArrow(features, "id long, grade int, features binary, values binary").collect()
-    )
-    columns = [np.frombuffer(r["features"], "<i4") for r in found]
-    values = [np.frombuffer(r["values"], "<f4") for r in found]
+    def fit_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = sorted(
+            (row for rows in batches for row in rows.to_pylist()), key=lambda r: (r["id"], r["grade"])
+        )
+        columns = [np.frombuffer(r["features"], "<i4") for r in found]
+        values = [np.frombuffer(r["values"], "<f4") for r in found]
+        if found:
+            model = train(
+                np.repeat(np.arange(len(found)), [len(c) for c in columns]),
+                np.concatenate(columns),
+                np.concatenate(values).astype(float),
+                np.array([r["grade"] for r in found]),
+            )
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([model.weights.astype("<f8").tobytes()], pa.binary()),
+                    pa.array([model.thresholds.astype("<f8").tobytes()], pa.binary()),
+                ],
+                names=["weights", "thresholds"],
+            )
+
+    rows = sample.mapInArrow(features, "id long, grade int, features binary, values binary")
+    found = rows.repartition(1).mapInArrow(fit_rows, "weights binary, thresholds binary").collect()
     if not found:
-        return np.empty(0, int), np.empty(0, int), np.empty(0), np.empty(0, int)
-    return (
-        np.repeat(np.arange(len(found)), [len(c) for c in columns]),
-        np.concatenate(columns),
-        np.concatenate(values).astype(float),
-        np.array([r["grade"] for r in found]),
+        none = np.empty(0, int)
+        return train(none, none, np.empty(0), none)
+    return Ordinal(
+        np.frombuffer(found[0]["weights"], "<f8"), np.frombuffer(found[0]["thresholds"], "<f8")
     )
 
 

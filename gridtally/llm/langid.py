@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from .common import free_names, raw_texts, runs
+from .common import free_names, raw_texts, runs, share_of_hash
 
 HIDDEN = 8
 #: Bytes that the network reads in one go.
@@ -111,28 +111,31 @@ def _log_softmax(logits: np.ndarray, axis: int) -> np.ndarray:
     return logits - np.log(np.exp(logits).sum(axis=axis, keepdims=True))
 
 
+def untrained(languages: list[str]) -> Network:
+    rng = np.random.default_rng(3)
+
+    def weights(*shape: int) -> np.ndarray:
+        return rng.normal(0, 0.3, shape).astype(np.float32)
+
+    def layer() -> Direction:
+        return Direction(weights(256, 3 * HIDDEN), weights(3 * HIDDEN, HIDDEN))
+
+    n = len(languages)
+    return Network(languages, layer(), layer(), weights(n, 2 * HIDDEN), np.zeros(n, np.float32))
+
+
+def parameters(net: Network) -> list[np.ndarray]:
+    """All weights, to be changed in place."""
+    layers = [a for d in (net.forwards, net.backwards) for a in (d.table, d.recurrent)]
+    return [*layers, net.out, net.bias]
+
+
 def train(windows: np.ndarray, labels: np.ndarray, languages: list[str], steps: int = STEPS) -> Network:
     """Fit on windows (n, bytes) and the index of each one's language."""
     rng = np.random.default_rng(7)
     n_out = len(languages)
-
-    def layer() -> Direction:
-        return Direction(
-            rng.normal(0, 0.3, (256, 3 * HIDDEN)).astype(np.float32),
-            rng.normal(0, 0.3, (3 * HIDDEN, HIDDEN)).astype(np.float32),
-        )
-
-    net = Network(
-        languages,
-        layer(),
-        layer(),
-        rng.normal(0, 0.3, (n_out, 2 * HIDDEN)).astype(np.float32),
-        np.zeros(n_out, np.float32),
-    )
-    params = [
-        net.forwards.table, net.forwards.recurrent, net.backwards.table, net.backwards.recurrent,
-        net.out, net.bias,
-    ]
+    net = untrained(languages)
+    params = parameters(net)
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in params]
     by_language = [np.flatnonzero(labels == k) for k in range(n_out)]
     by_language = [rows for rows in by_language if len(rows)]
@@ -229,23 +232,43 @@ def fit(
     places = F.greatest(F.length("_text") - SAMPLE_BYTES + 1, F.lit(1))
     place = F.pmod(F.xxhash64(mix), places).cast("int") + 1
     cut = rows.select("_id", "_lang", F.substring("_text", place, SAMPLE_BYTES).alias("_bytes"))
+    counts = cut.groupBy("_lang").agg(F.count(F.lit(1)).alias("_n"))
+    cut = cut.join(counts, "_lang").where(share_of_hash(mix, per_language, F.col("_n")))
     ranked = cut.withColumn(
         "_rank", F.row_number().over(Window.partitionBy("_lang").orderBy(mix, "_id", "_bytes"))
     )
-    sample = sorted(
-        (r["_lang"], r["_rank"], (bytes(r["_bytes"]) * SAMPLE_BYTES)[:SAMPLE_BYTES])
-        for r in ranked.where(F.col("_rank") <= per_language).collect()
-    )
-    languages = sorted({s[0] for s in sample})
-    if not languages:
+    sample = ranked.where(F.col("_rank") <= per_language).select("_lang", "_rank", "_bytes")
+
+    def train_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = sorted(
+            (r["_lang"], r["_rank"], r["_bytes"]) for part in batches for r in part.to_pylist()
+        )
+        if not rows:
+            return
+        languages = sorted({lang for lang, _, _ in rows})
+        halves = [
+            ((data * SAMPLE_BYTES)[at : at + TRAIN_WINDOW], languages.index(lang))
+            for lang, _, data in rows
+            for at in range(0, SAMPLE_BYTES, TRAIN_WINDOW)
+        ]
+        windows = np.frombuffer(b"".join(h[0] for h in halves), np.uint8).reshape(-1, TRAIN_WINDOW)
+        net = train(windows, np.array([h[1] for h in halves]), languages)
+        weights = [p.astype("<f4").tobytes() for p in parameters(net)]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([languages], pa.list_(pa.string())), pa.array([weights], pa.list_(pa.binary()))],
+            names=["languages", "weights"],
+        )
+
+    # the sample is bounded, so one task holds it; the driver gets the network alone
+    found = sample.repartition(1).mapInArrow(
+        train_rows, "languages array<string>, weights array<binary>"
+    ).collect()
+    if not found:
         return train(np.zeros((0, TRAIN_WINDOW), np.uint8), np.zeros(0, int), [UNKNOWN], steps=0)
-    halves = [
-        (b[at : at + TRAIN_WINDOW], languages.index(lang))
-        for lang, _, b in sample
-        for at in range(0, SAMPLE_BYTES, TRAIN_WINDOW)
-    ]
-    windows = np.frombuffer(b"".join(h[0] for h in halves), np.uint8).reshape(-1, TRAIN_WINDOW)
-    return train(windows, np.array([h[1] for h in halves]), languages)
+    net = untrained(found[0]["languages"])
+    for place, data in zip(parameters(net), found[0]["weights"], strict=True):
+        place[...] = np.frombuffer(data, "<f4").reshape(place.shape)
+    return net
 
 
 def with_language(

@@ -245,7 +245,8 @@ def class_components(
         .where(F.col("hub") < F.col("_last"))
         .select("key", "hub")
     )
-    shared = stage(keys.join(hubs, "key"), "shared-keys")
+    # staged, so that the join has a shuffle on both sides and hot keys are split
+    shared = stage(keys.join(stage(hubs, "hubs"), "key"), "shared-keys")
     regions = components(shared, "rep", "hub").withColumnsRenamed(
         {"node": "rep", "component": "region"}
     )

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from . import ordinal
 from .common import free_names
-from .graded import labelled_sample, sparse_rows, with_scores
+from .graded import fit_sample, labelled_sample, with_scores
 
 FEATURES = 1 << 18
 GRADES = 3
@@ -101,12 +101,23 @@ def fit(
 ) -> ordinal.Ordinal:
     """Fit on at most ``per_grade`` rated documents of each grade."""
     sample = labelled_sample(docs, ratings, per_grade, id_col, text_col, grade_col)
-    rows, features, values, grades = sparse_rows(sample, make_featurizer)
-    spread = np.bincount(features, minlength=FEATURES) if len(features) else np.empty(0)
-    kept = spread[features] >= 5 if len(features) else np.empty(0, bool)
-    return ordinal.fit(
-        rows[kept], features[kept], values[kept], grades, FEATURES, GRADES, steps=150, rate=0.1, ridge=1e-4
-    )
+
+    def train(rows, features, values, grades) -> ordinal.Ordinal:
+        spread = np.bincount(features, minlength=FEATURES)
+        kept = spread[features] >= 5
+        return ordinal.fit(
+            rows[kept],
+            features[kept],
+            values[kept],
+            grades,
+            FEATURES,
+            GRADES,
+            steps=150,
+            rate=0.1,
+            ridge=1e-4,
+        )
+
+    return fit_sample(sample, make_featurizer, train)
 
 
 def rate(docs: DataFrame, model: ordinal.Ordinal, text_col: str = "text") -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import ordinal
-from .graded import labelled_sample, sparse_rows, with_scores
+from .graded import fit_sample, labelled_sample, with_scores
 
 FEATURES = 1 << 18
 GRADES = 4
@@ -109,20 +109,23 @@ def fit(
 ) -> ordinal.Ordinal:
     """Fit on at most ``per_class`` toxic and as many other labelled documents."""
     sample = labelled_sample(docs, labels, per_class, id_col, text_col, label_col)
-    rows, features, values, toxic = sparse_rows(sample, make_featurizer)
-    grades = severity(rows, features, toxic)
-    kept = telling(rows, features, toxic)[features]
-    return ordinal.fit(
-        rows[kept],
-        features[kept],
-        values[kept],
-        grades,
-        FEATURES,
-        GRADES,
-        steps=200,
-        rate=0.05,
-        balanced=False,
-    )
+
+    def train(rows, features, values, toxic) -> ordinal.Ordinal:
+        grades = severity(rows, features, toxic)
+        kept = telling(rows, features, toxic)[features]
+        return ordinal.fit(
+            rows[kept],
+            features[kept],
+            values[kept],
+            grades,
+            FEATURES,
+            GRADES,
+            steps=200,
+            rate=0.05,
+            balanced=False,
+        )
+
+    return fit_sample(sample, make_featurizer, train)
 
 
 def rate(
