@@ -232,8 +232,11 @@ def fit(
     places = F.greatest(F.length("_text") - SAMPLE_BYTES + 1, F.lit(1))
     place = F.pmod(F.xxhash64(mix), places).cast("int") + 1
     cut = rows.select("_id", "_lang", F.substring("_text", place, SAMPLE_BYTES).alias("_bytes"))
-    counts = cut.groupBy("_lang").agg(F.count(F.lit(1)).alias("_n"))
-    cut = cut.join(counts, "_lang").where(share_of_hash(mix, per_language, F.col("_n")))
+    # languages are few; their counts thin the rows out before they are shuffled
+    few = F.lit(False)
+    for lang, n in sorted(map(tuple, cut.groupBy("_lang").count().collect())):
+        few = few | ((F.col("_lang") == lang) & share_of_hash(mix, per_language, n))
+    cut = cut.where(few)
     ranked = cut.withColumn(
         "_rank", F.row_number().over(Window.partitionBy("_lang").orderBy(mix, "_id", "_bytes"))
     )
