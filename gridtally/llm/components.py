@@ -43,14 +43,18 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     current = stage(
         edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a <> b").distinct(), "edges"
     )
-    digest = None
-    while True:
+    while not _all_stars(current):
         current = stage(_star(_star(current, large=True), large=False), "edges")
-        found = current.agg(
-            F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
-        ).first()
-        if not found[0] or tuple(found) == digest:
-            return current.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
-                current.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
-            )
-        digest = tuple(found)
+    return current.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
+        current.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
+    )
+
+
+def _all_stars(edges: DataFrame) -> bool:
+    """Whether every node ``a`` hangs on one smaller ``b`` that hangs on nothing."""
+    down = edges.agg(F.count(F.lit(1)), F.count_distinct("a"), F.count_if(F.col("a") < F.col("b")))
+    n, n_hanging, n_wrong = down.first()
+    if n != n_hanging or n_wrong:
+        return False
+    middle = edges.select(F.col("b").alias("a")).distinct()
+    return edges.join(middle, "a", "left_semi").limit(1).count() == 0

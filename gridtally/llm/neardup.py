@@ -250,7 +250,8 @@ def class_components(
     regions = components(shared, "rep", "hub").withColumnsRenamed(
         {"node": "rep", "component": "region"}
     )
-    sizes = regions.groupBy("region").agg(F.count(F.lit(1)).alias("n"))
+    # staged like the keys: a large region is split by the join
+    sizes = stage(regions.groupBy("region").agg(F.count(F.lit(1)).alias("n")), "region-sizes")
     placed = regions.join(sizes, "region").select(
         "rep",
         "region",
@@ -281,7 +282,8 @@ def class_components(
 
     # one class of every label and block first: most labels of a region meet here
     first = wide.groupBy("region", "place", "label").agg(F.min("rep").alias("rep"))
-    counts = first.groupBy("region").agg(F.count(F.lit(1)).alias("n"))
+    first = stage(first, "firsts")
+    counts = stage(first.groupBy("region").agg(F.count(F.lit(1)).alias("n")), "first-sizes")
     first = first.join(counts, "region").select(
         "region",
         F.pmod(F.xxhash64("rep"), F.ceil(F.col("n") / block)).alias("piece"),
