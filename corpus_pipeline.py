@@ -44,7 +44,7 @@ def scan_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences of 1024 tokens."""
-    return packing.pack(docs, PACKING_TOKENIZER, public_tokenizers.PATTERN)
+    return packing.pack(docs, PACKING_TOKENIZER, public_tokenizers.PATTERN, added=True)
 
 
 STAGES: list[tuple[str, Stage]] = [

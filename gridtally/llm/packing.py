@@ -10,8 +10,9 @@ are powers of two, which need no padding.
 from __future__ import annotations
 
 import json
+import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +45,38 @@ def json_ranks(path: str) -> dict[bytes, int]:
     return {bytes(letter[c] for c in t): i for t, i in vocab.items() if t not in special}
 
 
+def added_tokens(path: str) -> dict[str, int]:
+    """The added tokens of a tokenizer file with their ids."""
+    with open(path, encoding="utf-8") as file:
+        tokens = json.load(file).get("added_tokens", [])
+    if any(t.get(flag) for t in tokens for flag in ("single_word", "lstrip", "rstrip")):
+        raise ValueError("added tokens that depend on their surroundings are not supported")
+    return {t["content"]: t["id"] for t in tokens}
+
+
+def encoder(path: str, pattern: str, added: bool) -> Callable[[str], list[int]]:
+    """Text to ids; with ``added``, an added token of the file in a text is that token."""
+    encode = tiktoken.Encoding(
+        "own", pat_str=pattern, mergeable_ranks=json_ranks(path), special_tokens={}
+    ).encode_ordinary
+    tokens = added_tokens(path) if added else {}
+    if not tokens:
+        return encode
+    # the longest of those that begin at the same place
+    split = re.compile(f"({'|'.join(map(re.escape, sorted(tokens, key=len, reverse=True)))})").split
+
+    def with_added(text: str) -> list[int]:
+        ids = []
+        for i, part in enumerate(split(text)):
+            if i % 2:
+                ids.append(tokens[part])
+            else:
+                ids += encode(part)
+        return ids
+
+    return with_added
+
+
 def deal(lengths: list[int], capacity: int, quadratic: int = QUADRATIC) -> list[tuple]:
     """Pack documents of the given token counts: (document, start, length, sequence, offset).
 
@@ -81,7 +114,9 @@ def deal(lengths: list[int], capacity: int, quadratic: int = QUADRATIC) -> list[
     return pieces
 
 
-def _packer(tokenizer_path: str, pattern: str, capacity: int, end_id: int, block_chars: int):
+def _packer(
+    tokenizer_path: str, pattern: str, capacity: int, end_id: int, block_chars: int, added: bool
+):
     schema = pa.schema(
         [
             ("doc_id", pa.int64()),
@@ -115,9 +150,7 @@ def _packer(tokenizer_path: str, pattern: str, capacity: int, end_id: int, block
             )
 
     def pack_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = tiktoken.Encoding(
-            "own", pat_str=pattern, mergeable_ranks=json_ranks(tokenizer_path), special_tokens={}
-        ).encode_ordinary
+        encode = encoder(tokenizer_path, pattern, added)
         first = TaskContext.get().partitionId() << 40
         keys, docs, chars = [], [], 0
         for rows in batches:
@@ -145,11 +178,14 @@ def pack(
     id_col: str = "doc_id",
     text_col: str = "text",
     block_chars: int = BLOCK_CHARS,
+    added: bool = False,
 ) -> DataFrame:
     """One row per piece: doc_id, start, length, ids, doc_tokens, sequence_id, offset.
 
-    Tokens follow the given byte-level tokenizer without special tokens; every
-    document ends with ``end_id``, so that a NULL or empty text is one token.
+    Tokens follow the given byte-level tokenizer, to which no special tokens are
+    added; every document ends with ``end_id``, so that a NULL or empty text is
+    one token.  With ``added``, the added tokens of the file that a text holds
+    get their own ids, as by the tokenizer as loaded; else they are ordinary text.
     ``capacity`` is a power of two.  Repeated rows are packed each; a NULL id
     stays NULL; an empty table gives no piece.  Blocks of documents are packed
     where they are read, without a shuffle; sequence ids are unique, not dense.
@@ -157,7 +193,7 @@ def pack(
     if capacity < 1 or capacity & (capacity - 1):
         raise ValueError("the capacity is a power of two")
     return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(
-        _packer(tokenizer_path, pattern, capacity, end_id, block_chars),
+        _packer(tokenizer_path, pattern, capacity, end_id, block_chars, added),
         "doc_id long, start long, length long, ids array<int>, doc_tokens long, "
         "sequence_id long, offset long",
     )

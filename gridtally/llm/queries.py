@@ -41,7 +41,7 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_cost_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(
-        table(spark, sf_dir, "documents"), PACKING_TOKENIZER, public_tokenizers.PATTERN
+        table(spark, sf_dir, "documents"), PACKING_TOKENIZER, public_tokenizers.PATTERN, added=True
     )
     return packing.with_crc32(pieces).select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"

@@ -1,6 +1,7 @@
 """Tokens, packing, secrets: against plain versions, with odd rows."""
 
 import hashlib
+import json
 import re
 import zlib
 
@@ -12,6 +13,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from gridtally.llm import bpe, packing, queries, secrets
 
 RANKS = queries.MULTILINGUAL_RANKS
@@ -91,6 +93,37 @@ def checked_packing(rows, wanted, capacity):
     return padding
 
 
+def test_added_tokens_get_the_ids_of_the_tokenizer_as_loaded(spark, tmp_path):
+    tokenizer = Tokenizer.from_file(queries.PACKING_TOKENIZER)
+    texts = ["a<|endoftext|>b", "<|endoftext|>", "x <|endoftext|> \n<|endoftext|><|endoftext|>y  ", "<|endoftext|", *(t or "" for _, t in ODD)]
+    wanted = {i: tokenizer.encode(t, add_special_tokens=False).ids for i, t in enumerate(texts)}
+    assert wanted[0] == [64, 50256, 65]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    crc = lambda ids: zlib.crc32(np.array(ids, "<u4").tobytes())
+    rows = queries.op4_cost_packing(spark, str(tmp_path)).collect()
+    assert {r.doc_id: r.doc_tokens for r in rows} == {i: len(ids) + 1 for i, ids in wanted.items()}
+    for r in rows:
+        assert r.ids_crc32 == crc([*wanted[r.doc_id], 0][r.start : r.start + r.length])
+    for r in corpus_pipeline.pack(spark, docs, str(tmp_path)).collect():
+        assert r.ids == [*wanted[r.doc_id], 0][r.start : r.start + r.length]
+
+
+def test_the_longest_added_token_is_taken(tmp_path):
+    content = json.loads(open(queries.PACKING_TOKENIZER, encoding="utf-8").read())
+    token = content["added_tokens"][0]
+    content["added_tokens"] += [token | {"id": 50257, "content": "<|end"}, token | {"id": 50258, "content": "of <|"}]
+    path = tmp_path / "own.json"
+    path.write_text(json.dumps(content), encoding="utf-8")
+    text = "a <|endoftext|> <|end of <|endoftext|>"
+    found = packing.encoder(str(path), public_tokenizers.PATTERN, added=True)(text)
+    assert found == Tokenizer.from_file(str(path)).encode(text, add_special_tokens=False).ids
+    content["added_tokens"][0]["lstrip"] = True
+    path.write_text(json.dumps(content), encoding="utf-8")
+    with pytest.raises(ValueError):
+        packing.encoder(str(path), public_tokenizers.PATTERN, added=True)
+
+
 @pytest.mark.parametrize(("capacity", "block_chars"), [(64, 100), (1024, 8_000_000)])
 def test_packing_of_odd_rows(odd, capacity, block_chars):
     tokenizer = Tokenizer.from_file(queries.PACKING_TOKENIZER)
