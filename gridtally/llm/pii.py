@@ -2,7 +2,9 @@
 
 Only DataFrame and SQL functions run on the rows.  One pattern finds e-mail
 addresses, card numbers, IP addresses, phone numbers, and names after a form of
-address.  A surrogate is derived from a keyed hash of kind and value: digits
+address.  Sixteen digits in fours are a card number; those of other lengths (13
+to 19 digits) have to have a valid check digit.  A name is all that follows the
+form of address on its line: given names, initials, particles, compounds.  A surrogate is derived from a keyed hash of kind and value: digits
 stay digits, letters keep case and script, card numbers keep a valid check digit,
 given names keep the gender that the form of address tells.  The same value gets
 the same surrogate everywhere; surrogates that collide with one another or with
@@ -11,19 +13,29 @@ a value of the corpus are derived anew until none does.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.staging import stage
 
 # Forms of address by gender, and given names by script and gender.
-ADDRESS_MALE = ["Mr", "Herr", "Monsieur", "Señor", "Sr", "Господин", "Κύριος"]
-ADDRESS_FEMALE = ["Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "Госпожа", "Κυρία"]
+ADDRESS_MALE = ["Mr", "Herr", "Monsieur", "Señor", "Sr", "Господин", "Κύριος", "Mister", "Herrn", "Sir", "Lord"]
+ADDRESS_FEMALE = ["Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "Госпожа", "Κυρία", "Mlle", "Mademoiselle", "Señorita", "Srta", "Lady", "Madam"]
+ADDRESS_ANY = ["Dr", "Doctor", "Doktor", "Prof", "Professor", "Доктор", "Профессор", "Δρ"]
+#: Words of a name that are no name themselves.
+PARTICLES = ["von", "van", "der", "den", "de", "del", "della", "di", "da", "dos", "du", "la", "le",
+             "zu", "zum", "zur", "ten", "ter", "bin", "ibn", "al", "el", "af", "av"]
 GIVEN = {
     ("latin", "male"): ["Adrian", "Bruno", "Conrad", "Daniel", "Emil", "Felix", "Gustav", "Hugo",
                         "Ivan", "Jonas", "Karl", "Leon", "Martin", "Nils", "Oscar", "Paul"],
     ("latin", "female"): ["Alma", "Berta", "Clara", "Diana", "Elena", "Flora", "Greta", "Helena",
                           "Irene", "Julia", "Karla", "Laura", "Maria", "Nora", "Olga", "Paula"],
+    ("latin", "any"): ["Alexis", "Casey", "Charlie", "Dominique", "Jamie", "Jessie", "Kim", "Luca",
+                       "Morgan", "Noel", "Quinn", "Robin", "Rowan", "Sascha", "Taylor", "Toni"],
+    ("cyrillic", "any"): ["Валя", "Женя", "Саша", "Слава"],
+    ("greek", "any"): ["Άλεξ", "Κάρολ", "Νίκι", "Ρένο"],
     ("cyrillic", "male"): ["Алексей", "Борис", "Виктор", "Глеб", "Денис", "Егор", "Игорь", "Кирилл"],
     ("cyrillic", "female"): ["Алина", "Вера", "Галина", "Дарья", "Елена", "Инна", "Ксения", "Лидия"],
     ("greek", "male"): ["Ανδρέας", "Γιώργος", "Δημήτρης", "Κώστας", "Λουκάς", "Νίκος", "Πέτρος", "Στέφανος"],
@@ -35,14 +47,44 @@ ALPHABET = {
     "greek": "βγδζκλμνπρσταειου",
 }
 
-_ADDRESS = "|".join(sorted(ADDRESS_MALE + ADDRESS_FEMALE, key=len, reverse=True))
+#: Capital letters among which an initial gets another one.
+CAPITALS = [
+    [chr(c) for c in range(first, last) if chr(c).isupper()]
+    for first, last in ((0x41, 0x5B), (0xC0, 0x250), (0x386, 0x3AC), (0x400, 0x430))
+]
+
+_ADDRESS = "|".join(sorted(ADDRESS_MALE + ADDRESS_FEMALE + ADDRESS_ANY, key=len, reverse=True))
+_BLANK = "[ \t  ]"
+_HEAD = rf"(?:(?:{_ADDRESS})(?:\.{_BLANK}{{0,3}}|{_BLANK}{{1,3}}))++"
+_PARTICLES = rf"(?:(?:{'|'.join(PARTICLES)}){_BLANK}{{1,3}})*+"
+# a word of two letters or more with hyphens and apostrophes (not that of a genitive), or initials
+_NAME = (
+    rf"(?!(?:{_ADDRESS})(?:\.|{_BLANK}))(?:(?:[dl]['’](?=\p{{Lu}}))?"
+    r"\p{Lu}(?:[\p{L}\p{M}]|['’](?=\p{Lu}|\p{L}{3})|[-‐](?=\p{L}))++"
+    rf"|\p{{Lu}}\.(?:-?\p{{Lu}}\.)*+|\p{{Lu}}(?={_BLANK}{{1,3}}\p{{Lu}}))"
+)
+_CARD = (
+    # the digits after four fours may begin another entity
+    r"(?<![0-9A-Za-z])(?:(?:[0-9]{4}[ -]){4}[0-9]{1,3}(?![ .-]?[0-9])(?![A-Za-z0-9._%+-]*+@)"
+    r"|(?:[0-9]{4}[ -]?){3}[0-9]{4}"
+    r"|[0-9]{4}[ -][0-9]{6}[ -][0-9]{4,5}|[0-9]{4}(?:[ -][0-9]{3}){3}|[0-9]{4}[ -][0-9]{4}[ -][0-9]{5}"
+    r"|[0-9]{6}[ -][0-9]{13}|[0-9]{13,19})(?![0-9A-Za-z])"
+)
+# digits of a phone number one by one, with what may stand before each; a card number is none
+_DIGIT = rf"(?:[ .-]| ?\(|\)[ .-]?| ?/ ?| - )?(?!{_CARD})[0-9]"
+_END = "(?![0-9A-Za-z])"
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+",
     "ip": r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])\.){3}"
     r"(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])(?![0-9]|\.[0-9])",
-    "card": r"(?<![0-9A-Za-z])(?:[0-9]{4}[ -]?){3}[0-9]{4}(?![0-9A-Za-z])",
-    "phone": r"(?<![0-9A-Za-z+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-][0-9]{4}(?![0-9A-Za-z])",
-    "person": rf"(?<![\p{{L}}])(?:{_ADDRESS})\.? \p{{Lu}}\p{{Ll}}++(?: \p{{Lu}}\p{{Ll}}++)?",
+    "card": _CARD,
+    "phone": r"(?<![0-9A-Za-z+])(?:"
+    rf"\+1[ .-]?(?:\([0-9]{{3}}\)|[0-9]{{3}})[ .-]?[0-9]{{3}}[ .-]?[0-9]{{4}}{_END}"
+    rf"|\+[1-9](?:{_DIGIT}){{6,14}}{_END}|00[1-9][0-9]{{0,2}}(?=[ .-])(?:{_DIGIT}){{6,12}}{_END}"
+    rf"|(?:\+[0-9]{{1,3}}[ .-]?)?(?:\([0-9]{{2,4}}\)|[0-9]{{3}})[ .-]?[0-9]{{3}}[ .-][0-9]{{4}}{_END}"
+    rf"|\([0-9]{{2,4}}\)[ .-]?[0-9]{{7}}{_END}|\(0[0-9]{{1,4}}\)(?:[ .-]?[0-9]){{5,9}}{_END})",
+    "person": rf"(?<!\p{{L}})(?=[{''.join(sorted({a[0] for a in _ADDRESS.split('|')}))}])"
+    rf"{_HEAD}{_PARTICLES}{_NAME}(?:(?:{_BLANK}{{1,3}}|(?<=\.)){_PARTICLES}{_NAME})*+",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 
@@ -65,24 +107,80 @@ def _script(value: Column) -> Column:
     )
 
 
-def _units(value: Column, kind: Column) -> Column:
-    """An entity as units to replace: names word by word, all else whole."""
-    words = F.split(value, " ")
-    title = F.regexp_replace(words[0], r"\.$", "")
-    gender = F.when(title.isin(*ADDRESS_MALE), "male").otherwise("female")
+def _tokens(text: Column) -> Column:
+    """Runs of letters and what lies between them; together the text."""
+    return F.regexp_extract_all(text, F.lit(r"[\p{L}\p{M}]++|[^\p{L}\p{M}]++"), F.lit(0))
+
+
+def _name_units(value: Column) -> Column:
+    """The last word of a name is the family's, those before it are given names."""
+    head = F.regexp_extract(value, f"^{_HEAD}", 0)
+    name = F.substring(value, F.length(head) + 1, F.length(value))
+    gender = F.lit("any")
+    for each, titles in (("female", ADDRESS_FEMALE), ("male", ADDRESS_MALE)):
+        told = head.rlike(rf"(?<!\p{{L}})(?:{'|'.join(titles)})(?!\p{{L}})")
+        gender = F.when(told, F.lit(each)).otherwise(gender)
+    tokens = _tokens(name)
+    family = F.size(tokens) - F.size(_tokens(F.regexp_extract(name, r"[^ \t\x{00A0}\x{202F}]+$", 0)))
 
     def unit(word: Column, i: Column) -> Column:
-        given = (i == 1) & (F.size(words) == 3)
-        name = F.concat_ws("-", F.when(given, F.concat(F.lit("given-"), gender)).otherwise("family"), _script(word))
-        return F.struct(
-            F.when(i == 0, F.lit("keep")).otherwise(name).alias("kind"), word.alias("value")
+        short = F.length(word) == 1
+        # the O of O'Brien stays like a particle
+        prefix = short & F.coalesce(F.get(tokens, i + 1).rlike("^['’]"), F.lit(False))
+        form = F.concat_ws(
+            "-", F.when(i < family, F.concat(F.lit("given-"), gender)).otherwise("family"), _script(word)
+        )
+        kind = (
+            F.when(~word.rlike(r"^\p{L}") | prefix | word.isin(*PARTICLES), "keep")
+            .when(short, "initial")
+            .otherwise(form)
+        )
+        return F.struct(kind.alias("kind"), word.alias("value"))
+
+    first = F.array(F.struct(F.lit("keep").alias("kind"), head.alias("value")))
+    return F.concat(first, F.transform(tokens, unit))
+
+
+def _card_units(value: Column) -> Column:
+    """Sixteen digits in fours, or any length with a valid check digit; other numbers stay."""
+
+    def units(*parts: tuple[str, Column]) -> Column:
+        return F.array(*[F.struct(F.lit(k).alias("kind"), v.alias("value")) for k, v in parts])
+
+    fours = value.rlike("^(?:[0-9]{4}[ -]?){3}[0-9]{4}$")
+    return (
+        F.when(fours | (_with_check_digit(value) == value), units(("card", value)))
+        # a card number in fours, and a number after it
+        .when(
+            value.rlike("^(?:[0-9]{4}[ -]){4}"),
+            units(
+                ("card", F.substring(value, F.lit(1), F.lit(19))),
+                ("keep", F.substring(value, F.lit(20), F.length(value))),
+            ),
         )
+        .otherwise(units(("keep", value)))
+    )
 
-    return F.when(kind == "person", F.transform(words, unit)).otherwise(
-        F.array(F.struct(kind.alias("kind"), value.alias("value")))
+
+def _units(value: Column, kind: Column) -> Column:
+    """An entity as units to replace or to keep: names and card numbers in parts, all else whole."""
+    return (
+        F.when(kind == "person", _name_units(value))
+        .when(kind == "card", _card_units(value))
+        .otherwise(F.array(F.struct(kind.alias("kind"), value.alias("value"))))
     )
 
 
+def _initial(key: str, value: Column) -> Column:
+    """Another capital letter; different ones stay different."""
+    old, new = [], []
+    for letters in CAPITALS:
+        order = sorted(letters, key=lambda c: hashlib.sha256(f"{key}\u0001initial\u0001{c}".encode()).digest())
+        old += order
+        new += order[1:] + order[:1]
+    return F.translate(value, "".join(old), "".join(new))
+
+
 def _draws(key: str, length: Column) -> Column:
     """An array of at least ``length`` numbers from 0 to 65535, keyed by kind, value and attempt."""
     seed = F.concat_ws("\u0001", F.lit(key), F.col("kind"), F.col("value"), F.col("attempt").cast("string"))
@@ -165,7 +263,7 @@ def _surrogate() -> Column:
     for script, letters in ALPHABET.items():
         family = F.initcap(_spell(letters, F.slice(draws, 1, F.greatest(F.length(value), F.lit(6)))))
         out = out.when(kind == f"family-{script}", family)
-        for gender in ("male", "female"):
+        for gender in ("male", "female", "any"):
             names = GIVEN[script, gender]
             first = F.get(F.array(*map(F.lit, names)), F.get(draws, F.lit(0)) % len(names))
             more = _spell(letters, F.slice(draws, 2, 4))
@@ -232,26 +330,33 @@ def replace_entities(
         .select("_row", "_at", F.posexplode("_units").alias("_part", "_unit"))
         .select("_row", "_at", "_part", F.col("_unit.kind").alias("kind"), F.col("_unit.value").alias("value"))
     )
-    known = surrogates(units.where("kind <> 'keep'"), key)
-    kept = units.where("kind = 'keep'").withColumn("surrogate", F.col("value"))
+    fixed = F.col("kind").isin("keep", "initial")
+    known = surrogates(units.where(~fixed), key)
+    kept = units.where(fixed).withColumn(
+        "surrogate", F.when(F.col("kind") == "initial", _initial(key, F.col("value"))).otherwise(F.col("value"))
+    )
     replaced = (
-        units.where("kind <> 'keep'")
+        units.where(~fixed)
         .join(known, ["kind", "value"])
         .unionByName(kept)
         .groupBy("_row")
-        .agg(F.sort_array(F.collect_set(F.struct("_at", "_part", "surrogate"))).alias("_new"))
+        .agg(
+            F.sort_array(F.collect_set(F.struct("_at", "_part", "surrogate"))).alias("_new"),
+            # a number that turned out to be no card number is no entity
+            F.size(F.collect_set(F.when(F.col("kind") != "keep", F.col("_at")))).alias("_n"),
+        )
     )
     joined = hit.join(replaced, "_row")
     between = F.split("text", ANY, -1)
     new = F.transform(
         F.sequence(F.lit(0), F.size("_found") - 1),
         lambda i: F.array_join(
-            F.transform(F.filter("_new", lambda n: n["_at"] == i), lambda n: n["surrogate"]), " "
+            F.transform(F.filter("_new", lambda n: n["_at"] == i), lambda n: n["surrogate"]), ""
         ),
     )
     text = F.array_join(
         F.zip_with(between, new, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), ""
     )
     return plain.unionByName(
-        joined.select("doc_id", text.alias("text"), F.size("_found").cast("long").alias("n_entities"))
+        joined.select("doc_id", text.alias("text"), F.col("_n").cast("long").alias("n_entities"))
     )

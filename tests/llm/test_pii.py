@@ -76,3 +76,55 @@ def test_main_path_is_native(spark):
     docs = spark.createDataFrame(ROWS, "doc_id long, text string")
     plan = pii.replace_entities(docs, "key")._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def replace_all(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = sorted(pii.replace_entities(docs, "key").collect())
+    return [(r.text, r.n_entities) for r in rows]
+
+
+NAMES = [
+    ("Mr McDonald said", r"Mr (\w+) said", "McDonald"),
+    ("Frau Müller-Lüdenscheidt kam", r"Frau (\w+-\w+) kam", "Müller Lüdenscheidt"),
+    ("Mr John Paul Smith and", r"Mr (\w+ \w+ \w+) and", "John Smith"),
+    ("Mr J. Smith, Mr J.R. Smith", r"Mr ([A-Z]\. \w+), Mr ([A-Z]\.[A-Z]\. \w+)", "J. Smith"),
+    ("Mrs O'Brien's house", r"Mrs (O'\w+)'s house", "Brien"),
+    ("Dr Smith. He", r"Dr (\w+)\. He", "Smith"),
+    ("Herr Prof. Dr. Max von Stein ging", r"Herr Prof\. Dr\. (\w+ von \w+) ging", "Max Stein"),
+    ("Mr Smith Mrs Jones", r"Mr (\w+) Mrs (\w+)", "Smith Jones"),
+    ("Doctor Κώστα Παπαδόπουλος", r"Doctor (\w+ \w+)", "Κώστα Παπαδόπουλος"),
+]
+
+
+def test_names_are_replaced_whole(spark):
+    found = replace_all(spark, [text for text, _, _ in NAMES])
+    for (text, form, gone), (new, n) in zip(NAMES, found, strict=True):
+        match = re.fullmatch(form, new)
+        assert match and n == len(match.groups()), (text, new)
+        assert not any(word in new for word in gone.split()), (text, new)
+
+
+def luhn(digits):
+    digits = [int(d) for d in digits if d.isdigit()][::-1]
+    return (sum(digits[::2]) + sum(sum(divmod(2 * d, 10)) for d in digits[1::2])) % 10 == 0
+
+
+def test_cards_of_other_lengths_and_international_phones(spark):
+    cards = ["378282246310005", "3782 822463 10005", "30569309025904", "4222222222222", "6304000000000000000",
+             "6304 0000 0000 0000 000", "4111 1111 1111 1112"]
+    phones = ["+44 20 7946 0958", "+49 (0)30 901820", "+33 1 23 45 67 89", "+442079460958", "0044 20 7946 0958",
+              "(974) 5551257", "+19745551257", "+1 974 5551257"]
+    others = ["378282246310006", "12345678901234", "2024-01-02 12:30", "1234567"]
+    found = replace_all(spark, [f"a {v}, b" for v in cards + phones + others])
+    for value, (new, n) in zip(cards + phones, found, strict=False):
+        shape = lambda t: re.sub("[0-9]", "9", t)
+        assert n == 1 and new != f"a {value}, b" and shape(new) == shape(f"a {value}, b"), (value, new)
+        assert value not in cards or luhn(new)
+    assert found[len(cards + phones) :] == [(f"a {v}, b", 0) for v in others]
+    mixed = replace_all(
+        spark, ["4111 1111 1111 1111 12 men", "4111 1111 1111 1111 974-555-1257", "+49 30 901820 4111 1111 1111 1111",
+                "4111 1111 1111 1111 12.a@x.org"],
+    )
+    assert [n for _, n in mixed] == [1, 2, 2, 2] and mixed[0][0].endswith(" 12 men")
+    assert not any("1111" in t or "555" in t or "901820" in t or "12.a" in t for t, _ in mixed)
