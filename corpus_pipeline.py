@@ -23,7 +23,10 @@ def select_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def select_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is recognised; those without letters or clear language go."""
+    """Documents whose language is recognised; those without letters or clear language go.
+
+    If no document has a usable ``lang`` to learn from, all with letters stay.
+    """
     return langid.keep_languages(docs, langid.fit(docs))
 
 

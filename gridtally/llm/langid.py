@@ -216,7 +216,8 @@ def fit(
     From each, ``SAMPLE_BYTES`` bytes at a place that the hash names; a shorter
     text is repeated up to that length.  Held-out
     documents and NULL ids, texts and languages are left out.  The number of
-    languages is small, so the sample is bounded.
+    languages is small, so the sample is bounded. Where no row is left the network
+    knows :data:`UNKNOWN` only.
     """
     mix = F.xxhash64("_id")
     rows = docs.select(
@@ -309,8 +310,17 @@ def keep_languages(
     wanted: list[str] | None = None,
     least: float = 0.4,
 ) -> DataFrame:
-    """The rows in a wanted language (default: any learned one) with a score of ``least`` or more."""
+    """The rows in a wanted language (default: any learned one) with a score of ``least`` or more.
+
+    Where :func:`fit` found no language to learn, no row can be told from another:
+    all that have a letter stay, and asking for languages is an error.
+    """
+    learned = [lang for lang in net.languages if lang != UNKNOWN]
+    if wanted is not None and not learned:
+        raise ValueError("no language was learned, so none can be selected")
     named = with_language(docs, net, text_col)
     lang, score = map(F.col, free_names(docs, "_lang", "_score"))
-    chosen = wanted if wanted is not None else net.languages
+    if not learned:
+        return named.where(score > 0).select(*docs.columns)
+    chosen = wanted if wanted is not None else learned
     return named.where(lang.isin(*chosen) & (lang != UNKNOWN) & (score >= least)).select(*docs.columns)

@@ -240,3 +240,18 @@ def test_gradients_through_time():
             moved[place] += step
             sides.append((langid.read(langid.Direction(layer.table, moved), data) * above).sum())
         assert abs((sides[0] - sides[1]) / 2e-2 - d_recurrent[place]) < 2e-2 * max(1, abs(d_recurrent[place]))
+
+
+def test_no_language_to_learn_keeps_what_has_letters(spark):
+    rows = [(i, f"The old house number {i} stood by the river.", None) for i in range(8)]
+    rows += [(90, "12 34", None), (91, None, None), (92, "", None), (None, "A house.", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    held = spark.range(300).where(langid.held_out(F.col("id")))
+    held = held.selectExpr("id AS doc_id", "'The old house stood by the river.' AS text", "'en' AS lang")
+    kept = {r.doc_id for r in held.collect()}
+    assert kept
+    for frame, ids in ((docs, {*range(8), None}), (held, kept)):
+        left = langid.keep_languages(frame, langid.fit(frame))
+        assert left.columns == frame.columns and {r.doc_id for r in left.collect()} == ids
+    with pytest.raises(ValueError):
+        langid.keep_languages(docs, langid.fit(docs), wanted=["en"])
