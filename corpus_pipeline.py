@@ -14,6 +14,9 @@ from gridtally.llm.common import table
 from gridtally.llm.queries import PACKING_TOKENIZER, quality_model
 from gridtally.operators.staging import checkpoint_folder
 
+#: Documents that share so many per cent of their shingles of five words are near-duplicates.
+NEAR_PERCENT = 80
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -33,9 +36,10 @@ def select_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: the one with the smallest id.
 
+    Near-duplicates have a Jaccard similarity of 0.8 or more over shingles of five words.
     Of rows that share an id one stays; rows without an id stay.
     """
-    kept = neardup.near_duplicates(docs).where("kept AND doc_id IS NOT NULL").select("doc_id")
+    kept = neardup.near_duplicates(docs, percent=NEAR_PERCENT).where("kept AND doc_id IS NOT NULL").select("doc_id")
     named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return named.unionByName(docs.where(F.col("doc_id").isNull())).select(*docs.columns)
 

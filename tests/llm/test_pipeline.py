@@ -1,7 +1,7 @@
 """The pipeline against what each stage promises, by brute force."""
 
 import pytest
-from test_models import brute_force
+from test_models import brute_force, shingles
 from test_text import checked_packing
 from tokenizers import Tokenizer
 
@@ -74,3 +74,23 @@ def test_stages_keep_columns_and_take_odd_rows(spark, tables):
         spark, spark.createDataFrame([(1, "x password=4c8f8006a3af39d897 y", "en", "s", 1, "a", "b")], schema), FOLDER
     )
     assert masked.first().text == "x [SECRET] y"
+
+
+def test_near_copies_from_four_fifths_on_go(spark):
+    words = [f"w{i}" for i in range(104)]
+    near = [*words[:-11], *[f"x{i}" for i in range(11)]]  # 89 of 111 shingles are common
+    far = [*words[:-12], *[f"y{i}" for i in range(12)]]  # 88 of 112
+    rows = [(2, words), (4, near), (3, far)]
+    sets = {i: shingles(" ".join(w)) for i, w in rows}
+    share = {i: len(sets[2] & sets[i]) / len(sets[2] | sets[i]) for i in (3, 4)}
+    assert share[3] < 0.8 < share[4] < 0.85
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")
+    left = corpus_pipeline.drop_near_copies(spark, docs, FOLDER).collect()
+    assert sorted(r.doc_id for r in left) == [2, 3]
+
+
+def test_near_dedup_equals_brute_force_at_four_fifths(spark, tables):
+    rows = sorted((r.doc_id, r.text) for r in tables[0].collect())
+    left = corpus_pipeline.drop_near_copies(spark, tables[0], FOLDER).collect()
+    wanted = {i for i, (_, top) in brute_force(rows, 80).items() if i == top}
+    assert {r.doc_id for r in left} == wanted != {i for i, (_, top) in brute_force(rows).items() if i == top}
