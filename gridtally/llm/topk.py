@@ -15,19 +15,42 @@ from pyspark.sql import Column, DataFrame
 
 from .vectors import best_of, search
 
-#: Largest weight that is kept; weights beyond it become this one.
-LARGEST = float(1 << 52)
+#: Weights and scores are longs.
+LIMIT = float(1 << 63)
 
 
 def weights(matrix: np.ndarray, scale: float) -> np.ndarray:
-    return np.clip(np.floor(matrix * scale), -LARGEST, LARGEST).astype(np.int64)
+    """Whole weights; one that is no long is an error."""
+    with np.errstate(over="ignore"):
+        found = np.floor(matrix * scale)
+    if not (np.abs(found) < LIMIT).all():
+        raise OverflowError("a weight leaves the range of a long")
+    return found.astype(np.int64)
+
+
+def _check_scores(asked: np.ndarray, given: np.ndarray, q_ids: np.ndarray, c_ids: np.ndarray) -> None:
+    """Whether the terms of every score stay longs, however they are summed."""
+    if not asked.size or not given.size:
+        return
+    top = [np.abs(side.astype(np.float64)).max(axis=0) for side in (asked, given)]
+    if (top[0] * top[1]).sum() < LIMIT / 2:
+        return
+    # whole numbers without a limit, for the rare vectors near it
+    largest = np.abs(given.astype(object)).max(axis=0)
+    for own, query in zip(q_ids, np.abs(asked.astype(object)), strict=True):
+        if (query * largest).sum() >= 1 << 63:
+            for candidate in np.abs(given[c_ids != own].astype(object)):
+                if (query * candidate).sum() >= 1 << 63:
+                    raise OverflowError("a score may leave the range of a long")
 
 
 def _finder(k: int, scale: float):
     def find(q_ids, q_matrix, c_ids, c_matrix) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         asked = weights(q_matrix, scale)
+        given = weights(c_matrix, scale)
+        _check_scores(asked, given, q_ids, c_ids)
         postings = []
-        for column in weights(c_matrix, scale).T:
+        for column in given.T:
             rows = np.flatnonzero(column)
             # a term that every candidate has needs no list of rows
             whole = len(rows) == len(column)
@@ -54,8 +77,8 @@ def top_k(
 ) -> DataFrame:
     """(query_id, rank, vec_id, score) by the inner product of ``floor(scale * x)``.
 
-    Exact while a score stays below 2**63; weights are held within 2**52.  For
-    nulls, ties, repeated rows, vectors of different lengths and empty tables
+    Exact: where a weight, or the sum of a score's terms without their signs,
+    leaves the range of a long, the query fails.  For nulls, ties, repeated rows, vectors of different lengths and empty tables
     see :func:`vectors.search`; an empty vector scores 0 with everything.
     """
     return search(vectors, is_query, _finder(k, scale), k, "long", id_col, vector_col)

@@ -90,3 +90,17 @@ def test_recall_of_the_registered_query(spark):
         assert all(abs(scores[ids == v][0] - s) < 1e-9 for _, v, s in got)
     assert len(found) == (ids % 50 == 0).sum()
     assert hits >= 0.9 * 5 * len(found)
+
+
+@pytest.mark.parametrize("value", [1e13, 1e300])
+def test_top_k_is_exact_or_fails(spark, value):
+    def best(rows):
+        vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+        return [(r.vec_id, r.score) for r in topk.top_k(vectors, F.col("vec_id") == 0).collect()]
+
+    # beyond the old limit of a weight, but a long
+    assert best([(0, [1.0, 0.0]), (1, [5e12, 1.0])]) == [(1, 1024 * 5 * 10**12 * 1024)]
+    # the product with itself is no score
+    assert best([(0, [5e12]), (1, [1e-3])]) == [(1, 1024 * 5 * 10**12)]
+    with pytest.raises(Exception, match="range of a long"):
+        best([(0, [value, 1.0]), (1, [value, 1.0])])
