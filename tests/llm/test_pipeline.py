@@ -17,7 +17,7 @@ def test_stages_and_registration():
         "quality", "language_id", "near_dedup", "secret_scan", "packing",
     ]
     numbers = sorted(int(n[2:].split("_")[0]) for n in entry.queries() if n.startswith("op"))
-    assert numbers == list(range(1, 11)) and entry.queries()["pipeline"] is corpus_pipeline.run
+    assert numbers == list(range(1, 14)) and entry.queries()["pipeline"] is corpus_pipeline.run
     assert not any("localCheckpoint" in open(m.__file__).read() for m in (langid, quality, corpus_pipeline))
 
 
@@ -31,10 +31,9 @@ def test_run_equals_plain_stages(spark, tables):
     usable = quality.select_quality(docs, queries.quality_model(docs, labels))
     named = langid.keep_languages(usable, langid.fit(usable))
     rows = sorted((r.doc_id, r.text) for r in named.collect())
-    groups = brute_force(rows)
+    groups = brute_force(rows, corpus_pipeline.NEAR_PERCENT)
     automaton = secrets.keyword_automaton()
     tokenizer = Tokenizer.from_file(queries.PACKING_TOKENIZER)
-    tokenizer.encode_special_tokens = True
     wanted = {}
     for key, text in rows:
         if groups[key][1] == key:
