@@ -15,6 +15,8 @@ from .ordinal import Ordinal
 
 #: A text to (distinct features, their values).
 Featurizer = Callable[[str], tuple[np.ndarray, np.ndarray]]
+#: The most frequent grades are learned, at most so many.
+MOST_GRADES = 16
 
 
 def labelled_sample(
@@ -22,8 +24,9 @@ def labelled_sample(
 ) -> DataFrame:
     """(grade, text) of at most ``per_grade`` documents of each grade, chosen by a hash of the id.
 
-    The number of grades is small, so the sample is bounded.  NULL ids, texts
-    and grades are left out; an id that repeats counts once.
+    At most ``MOST_GRADES`` grades are sampled, the most frequent ones, so the sample
+    is bounded.  NULL ids, texts and grades are left out; an id that repeats counts
+    once, with its smallest grade and its smallest text.
     """
     rated = grades.select(
         F.col(id_col).cast("long").alias("_id"), F.col(grade_col).cast("int").alias("_grade")
@@ -32,6 +35,7 @@ def labelled_sample(
     chosen = None
     mix = F.xxhash64("_id")
     counts = rated.groupBy("_grade").agg(F.count(F.lit(1)).alias("n"))
+    counts = counts.orderBy(F.desc("n"), "_grade").limit(MOST_GRADES)
     for grade, n in sorted(map(tuple, counts.collect())):
         few = rated.where((F.col("_grade") == grade) & share_of_hash(mix, per_grade, n))
         part = few.orderBy(mix, "_id").limit(per_grade)
@@ -42,8 +46,8 @@ def labelled_sample(
     return (
         found.where("_text IS NOT NULL")
         .join(F.broadcast(chosen), "_id")
-        .dropDuplicates(["_id"])
-        .select("_id", "_grade", "_text")
+        .groupBy("_id", "_grade")
+        .agg(F.min("_text").alias("_text"))
     )
 
 

@@ -25,10 +25,11 @@ HIDDEN = 8
 WINDOW = 256
 #: Windows that are read side by side; bounds the memory of a task.
 SIDE_BY_SIDE = 2048
-#: Bounds of the sample: documents of each language, and bytes of each.
-PER_LANGUAGE = 600
-SAMPLE_BYTES = 96
+#: Bytes of a window to learn from; every text is cut into such windows as a whole.
 TRAIN_WINDOW = 48
+#: Bounds of the sample: languages, the most frequent ones, and windows of each.
+MOST_LANGUAGES = 64
+PER_LANGUAGE = 1200
 STEPS = 400
 UNKNOWN = "und"
 
@@ -211,15 +212,15 @@ def fit(
     lang_col: str = "lang",
     per_language: int = PER_LANGUAGE,
 ) -> Network:
-    """Train on at most ``per_language`` documents of each language, chosen by a hash of the id.
-
-    From each, ``SAMPLE_BYTES`` bytes at a place that the hash names; a shorter
-    text is repeated up to that length.  Held-out
-    documents and NULL ids, texts and languages are left out.  The number of
-    languages is small, so the sample is bounded. Where no row is left the network
-    knows :data:`UNKNOWN` only.
+    """Train on at most ``per_language`` windows of each language, chosen by a hash of id and place.
+
+    All windows of ``TRAIN_WINDOW`` bytes of the whole texts are chosen from; the
+    last one of a text, or a short text, is repeated up to that length.  Held-out
+    documents and NULL ids, texts and languages are left out; repeated rows count
+    once each.  At most ``MOST_LANGUAGES`` languages are learned, those with most
+    windows, so the sample is bounded.  Where no row is left the network knows
+    :data:`UNKNOWN` only.
     """
-    mix = F.xxhash64("_id")
     rows = docs.select(
         F.col(id_col).cast("long").alias("_id"),
         F.col(text_col).cast("binary").alias("_text"),
@@ -230,16 +231,22 @@ def fit(
         & ~held_out(F.col("_id"))
         & (F.length("_text") > 0)
     )
-    places = F.greatest(F.length("_text") - SAMPLE_BYTES + 1, F.lit(1))
-    place = F.pmod(F.xxhash64(mix), places).cast("int") + 1
-    cut = rows.select("_id", "_lang", F.substring("_text", place, SAMPLE_BYTES).alias("_bytes"))
-    # languages are few; their counts thin the rows out before they are shuffled
+    last = F.floor((F.length("_text") - 1) / TRAIN_WINDOW).cast("int")
+    sizes = rows.groupBy("_lang").agg(F.sum(last + 1).alias("n"))
+    sizes = sizes.orderBy(F.desc("n"), "_lang").limit(MOST_LANGUAGES).collect()
+    windows = rows.where(F.col("_lang").isin([lang for lang, _ in sizes])).select(
+        "_id", "_lang", "_text", F.explode(F.sequence(F.lit(0), last)).alias("_at")
+    )
+    # their numbers thin the windows out before they are cut and shuffled
+    mix = F.xxhash64("_id", "_at")
     few = F.lit(False)
-    for lang, n in sorted(map(tuple, cut.groupBy("_lang").count().collect())):
+    for lang, n in sizes:
         few = few | ((F.col("_lang") == lang) & share_of_hash(mix, per_language, n))
-    cut = cut.where(few)
+    cut = windows.where(few).select(
+        "_id", "_lang", mix.alias("_mix"), F.substring("_text", F.col("_at") * TRAIN_WINDOW + 1, F.lit(TRAIN_WINDOW)).alias("_bytes")
+    )
     ranked = cut.withColumn(
-        "_rank", F.row_number().over(Window.partitionBy("_lang").orderBy(mix, "_id", "_bytes"))
+        "_rank", F.row_number().over(Window.partitionBy("_lang").orderBy("_mix", "_id", "_bytes"))
     )
     sample = ranked.where(F.col("_rank") <= per_language).select("_lang", "_rank", "_bytes")
 
@@ -250,13 +257,9 @@ def fit(
         if not rows:
             return
         languages = sorted({lang for lang, _, _ in rows})
-        halves = [
-            ((data * SAMPLE_BYTES)[at : at + TRAIN_WINDOW], languages.index(lang))
-            for lang, _, data in rows
-            for at in range(0, SAMPLE_BYTES, TRAIN_WINDOW)
-        ]
-        windows = np.frombuffer(b"".join(h[0] for h in halves), np.uint8).reshape(-1, TRAIN_WINDOW)
-        net = train(windows, np.array([h[1] for h in halves]), languages)
+        filled = b"".join((data * TRAIN_WINDOW)[:TRAIN_WINDOW] for _, _, data in rows)
+        windows = np.frombuffer(filled, np.uint8).reshape(-1, TRAIN_WINDOW)
+        net = train(windows, np.array([languages.index(lang) for lang, _, _ in rows]), languages)
         weights = [p.astype("<f4").tobytes() for p in parameters(net)]
         yield pa.RecordBatch.from_arrays(
             [pa.array([languages], pa.list_(pa.string())), pa.array([weights], pa.list_(pa.binary()))],

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.staging import stage
-from .common import batch, likely, raw_texts
+from .common import batch, free_names, likely, raw_texts
 from .components import components
 
 WORDS = 5
@@ -85,6 +85,7 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = pa.schema(
         [
             ("doc_id", pa.int64()),
+            ("text_key", pa.int64()),
             ("n_shingles", pa.int64()),
             ("set_key", pa.binary()),
             ("signature", pa.binary()),
@@ -93,20 +94,20 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     shingler = Shingler()
     for rows in batches:
         counts, keys, signatures = [], [], []
-        for text in raw_texts(rows.column(1)):
+        for text in raw_texts(rows.column(2)):
             shingles = shingler(text)
             counts.append(len(shingles))
             keys.append(xxhash.xxh3_128_digest(shingles.tobytes()))
             signatures.append(signature(shingles) if len(shingles) else b"")
-        yield batch(schema, [rows.column(0), counts, keys, signatures])
+        yield batch(schema, [rows.column(0), rows.column(1), counts, keys, signatures])
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("rep", pa.int64()), ("shingles", pa.binary())])
+    schema = pa.schema([("set_key", pa.binary()), ("shingles", pa.binary())])
     shingler = Shingler()
     for rows in batches:
-        found = [shingler(text).tobytes() for text in raw_texts(rows.column(1))]
-        yield batch(schema, [rows.column(0), found])
+        found = [shingler(text).tobytes() for text in raw_texts(rows.column(0))]
+        yield batch(schema, [[xxhash.xxh3_128_digest(f) for f in found], found])
 
 
 def chunk_keys() -> Column:
@@ -235,8 +236,8 @@ def class_components(
 ) -> DataFrame:
     """(rep, label) of the classes that share a key with another class.
 
-    ``classes`` has rep and signature, ``docs`` (doc_id, text) of which a class
-    is named by the smallest id.
+    ``classes`` has rep, set_key, first_id and signature: a number, what tells equal
+    sets, and the smallest id among the ``docs`` (doc_id, text) with this set.
     """
     keys = classes.select("rep", F.explode(chunk_keys()).alias("key"))
     hubs = (
@@ -252,21 +253,26 @@ def class_components(
     )
     # staged like the keys: a large region is split by the join
     sizes = stage(regions.groupBy("region").agg(F.count(F.lit(1)).alias("n")), "region-sizes")
-    placed = regions.join(sizes, "region").select(
+    placed = regions.join(sizes, "region").join(classes.select("rep", "set_key", "first_id"), "rep").select(
         "rep",
+        "set_key",
+        "first_id",
         "region",
         F.ceil(F.col("n") / block).alias("blocks"),
         F.pmod(F.xxhash64("rep"), F.ceil(F.col("n") / block)).alias("place"),
     )
-    named = placed.select(F.col("rep").alias("doc_id"))
+    placed = stage(placed, "placed")
+    named = placed.select(F.col("first_id").alias("doc_id"))
+    # an id may have several texts, and equal sets have one key: both are told by it
     sets = (
         likely(docs, "doc_id", named)
         .join(named, "doc_id", "left_semi")
-        .mapInArrow(_sets, "rep long, shingles binary")
-        .dropDuplicates(["rep"])
+        .select("text")
+        .mapInArrow(_sets, "set_key binary, shingles binary")
+        .dropDuplicates(["set_key"])
     )
     members = stage(
-        placed.join(sets, "rep").withColumn("label", F.col("rep")), "members"
+        placed.join(sets, "set_key").drop("set_key", "first_id").withColumn("label", F.col("rep")), "members"
     )
     inner = _compare(members.withColumn("piece", F.col("place")), percent)
     labels = stage(
@@ -324,6 +330,59 @@ def class_components(
     return labels.where("blocks = 1").select("rep", "label").unionByName(wide.select("rep", "label"))
 
 
+def _grouped(docs: DataFrame, percent: int, block: int) -> DataFrame:
+    """Every row of (doc_id, text): doc_id, n_shingles, component_id, set_key, text_key, first.
+
+    ``first`` tells the rows of the set that stands for its group: of the sets with
+    the smallest id of the group, the one with the smallest key.
+    """
+    found = stage(
+        docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text").mapInArrow(
+            _signatures, "doc_id long, text_key long, n_shingles long, set_key binary, signature binary"
+        ),
+        "signatures",
+    )
+    linked = found.where("doc_id IS NOT NULL AND n_shingles > 0")
+    # numbered, since an id may name several texts; staged, so that the numbers stay
+    classes = stage(
+        linked.groupBy("set_key")
+        .agg(F.min("doc_id").alias("first_id"), F.first("signature").alias("signature"))
+        .withColumn("rep", F.monotonically_increasing_id()),
+        "classes",
+    )
+    labels = stage(class_components(classes, docs, percent, block), "class-labels")
+    named = stage(
+        classes.join(labels, "rep", "left").select(
+            "set_key", "first_id", F.coalesce("label", "rep").alias("label")
+        ),
+        "named-classes",
+    )
+    # staged: the label of a large group is split by the join
+    heads = stage(
+        named.groupBy("label").agg(F.min(F.struct("first_id", "set_key")).alias("head")), "group-heads"
+    )
+    groups = stage(
+        named.join(heads, "label").select(
+            "set_key",
+            F.col("head.first_id").alias("component_id"),
+            (F.col("set_key") == F.col("head.set_key")).alias("first"),
+        ),
+        "groups",
+    )
+    alone = F.when(F.col("n_shingles") == 0, F.col("doc_id"))
+    return found.join(groups, "set_key", "left").select(
+        "doc_id",
+        "n_shingles",
+        F.when(F.col("doc_id").isNotNull(), F.coalesce(alone, "component_id")).alias("component_id"),
+        "set_key",
+        "text_key",
+        F.coalesce(
+            F.when(F.col("n_shingles") > 0, F.col("first") & (F.col("doc_id") == F.col("component_id"))),
+            F.lit(True),
+        ).alias("first"),
+    )
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -338,36 +397,55 @@ def near_duplicates(
     text of fewer than five words is one shingle; a NULL text or one without
     words is empty and linked with nothing, as is a row without an id (its
     component is NULL, and it is kept).  Repeated rows give repeated results.
-    An empty table gives an empty result; other columns are not read.
+    Where an id has several texts, each row has the component of its own text,
+    and links of one text do not connect the other.  An empty table gives an
+    empty result; other columns are not read.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    found = stage(
-        docs.mapInArrow(
-            _signatures, "doc_id long, n_shingles long, set_key binary, signature binary"
-        ),
-        "signatures",
-    )
-    linked = found.where("doc_id IS NOT NULL AND n_shingles > 0")
-    classes = stage(
-        linked.groupBy("set_key").agg(
-            F.min("doc_id").alias("rep"), F.first("signature").alias("signature")
-        ),
-        "classes",
-    )
-    labels = class_components(classes.select("rep", "signature"), docs, percent, block)
-    labels = labels.groupBy("label").agg(F.min("rep").alias("component_id")).join(
-        labels, "label"
-    ).select("rep", "component_id")
-    named = classes.select("set_key", "rep").join(labels, "rep", "left").select(
-        "set_key", F.coalesce("component_id", "rep").alias("_component")
-    )
-    return found.join(named, "set_key", "left").select(
-        "doc_id",
-        "n_shingles",
-        F.when(F.col("n_shingles") > 0, F.col("_component")).otherwise(F.col("doc_id")).alias("component_id"),
-    ).select(
+    return _grouped(docs, percent, block).select(
         "doc_id",
         "n_shingles",
-        F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"),
+        "component_id",
         F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"),
     )
+
+
+def drop_near_duplicates(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    percent: int = 85,
+    block: int = BLOCK,
+) -> DataFrame:
+    """The rows of ``docs`` that stay: one of each group of near-duplicates.
+
+    It has the smallest id of its group; where that id has several texts in the
+    group, or rows are repeated, the smallest row by text, then by the other columns
+    from left to right.  Different texts of one id that are no near-duplicates stay
+    each.  Texts without words stay, one of each id; rows without an id all stay.
+    """
+    own_id, own_set, own_text, whole = free_names(docs, "_doc_id", "_set_key", "_text_key", "_row")
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    first = _grouped(texts, percent, block).where("first AND doc_id IS NOT NULL")
+    rows = first.select(
+        F.col("doc_id").alias(own_id), F.col("set_key").alias(own_set), F.col("text_key").alias(own_text)
+    )
+    counts = stage(
+        rows.groupBy(own_id, own_set).agg(F.min(own_text).alias(own_text), F.count(F.lit(1)).alias("_n")), "kept"
+    )
+    same = (F.col(id_col).cast("long") == F.col(own_id)) & (F.xxhash64(F.col(text_col)) == F.col(own_text))
+    kept = docs.join(counts.where("_n = 1").select(own_id, own_text), same, "left_semi")
+    kept = kept.unionByName(docs.where(F.col(id_col).cast("long").isNull()))
+    many = counts.where("_n > 1").select(own_id, own_set)
+    if many.isEmpty():
+        return kept
+    # of the rows of one id and set the smallest stays; partial minima are formed before the shuffle
+    members = stage(rows.distinct().join(many, [own_id, own_set], "left_semi"), "repeated")
+    order = [text_col, *[c for c in docs.columns if c != text_col]]
+    picked = (
+        docs.join(members, same)
+        .groupBy(own_id, own_set)
+        .agg(F.min(F.struct(*[F.col(c) for c in order])).alias(whole))
+        .select(*[F.col(whole)[c].alias(c) for c in docs.columns])
+    )
+    return kept.unionByName(picked)

@@ -37,7 +37,6 @@ _LETTERS = bytes(b if 97 <= b <= 122 or b > 127 else 32 for b in range(256))
 def make_featurizer():
     """A function from a text to its hashed words and their weights."""
     known: dict[bytes, tuple[int, ...]] = {}
-    logs = np.log1p(np.arange(1 << 16)).astype(np.float32)
 
     def numbers(word: bytes) -> tuple[int, ...]:
         starts = [word[:n] + b"*" for n in BEGINNINGS if len(word) > n]
@@ -53,8 +52,7 @@ def make_featurizer():
                 columns = known[word] = numbers(word)
             for column in columns:
                 counts[column] = counts.get(column, 0) + n
-        n = np.fromiter(counts.values(), np.int64, len(counts))
-        values = logs[np.minimum(n, len(logs) - 1)]
+        values = np.log1p(np.fromiter(counts.values(), np.float32, len(counts)))
         return np.fromiter(counts, np.int32, len(counts)), values
 
     return featurize

@@ -77,6 +77,37 @@ def test_odd_rows_of_near_duplicates(spark):
     assert neardup.near_duplicates(docs.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("parts", [1, 4])
+@pytest.mark.parametrize("turned", [False, True])
+def test_an_id_with_two_texts(spark, parts, turned):
+    rng = random.Random(9)
+    a, b, c = (" ".join(str(rng.random()) for _ in range(120)) for _ in range(3))
+    rows = [(1, a), (1, b), (2, a + " x"), (3, b + " y"), (4, c), (4, c + " z"), (4, c), (5, c + " w")]
+    docs = spark.createDataFrame(rows[::-1] if turned else rows, "doc_id long, text string").repartition(parts)
+    found = sorted((r.doc_id, r.component_id, r.kept) for r in neardup.near_duplicates(docs).collect())
+    # a row has the component of its own text; the two texts of 1 are not connected by it
+    assert found == [(1, 1, True)] * 2 + [(2, 1, False), (3, 1, False)] + [(4, 4, True)] * 3 + [(5, 4, False)]
+    left = sorted((r.doc_id, r.text) for r in neardup.drop_near_duplicates(docs).collect())
+    assert len(left) == 3 and left[:2] == sorted([(1, a), (1, b)])
+    assert left[2][0] == 4 and left[2][1] in (c, c + " z")
+    again = sorted((r.doc_id, r.text) for r in neardup.drop_near_duplicates(docs.repartition(2)).collect())
+    assert again == left
+
+
+def test_rows_that_stay(spark):
+    text = "The house and the garden of the old man."
+    rows = [(7, text, "b"), (7, text, "a"), (7, text.upper(), "c"), (8, text, "a"), (9, None, "x"), (9, "", "y"),
+            (None, text, "n"), (None, text, "n")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, set_key string").repartition(3)
+    left = neardup.drop_near_duplicates(docs)
+    assert left.columns == docs.columns
+    # 7 has three rows of one set: the smallest by text, then by the other columns, stays
+    assert sorted(map(str, left.collect())) == sorted(
+        map(str, spark.createDataFrame([(7, text.upper(), "c"), (9, None, "x"), (None, text, "n"), (None, text, "n")],
+                                       docs.schema).collect()))
+    assert neardup.drop_near_duplicates(docs.limit(0)).collect() == []
+
+
 def test_close_signatures_share_a_key(spark):
     rng = np.random.default_rng(3)
     places = neardup.CHUNKS * neardup.CHUNK
