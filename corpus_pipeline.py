@@ -7,7 +7,6 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from gridtally.llm import langid, neardup, packing, quality, secrets
 from gridtally.llm.common import table
@@ -37,11 +36,9 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """One document of each group of near-duplicates: the one with the smallest id.
 
     Near-duplicates have a Jaccard similarity of 0.8 or more over shingles of five words.
-    Of rows that share an id one stays; rows without an id stay.
+    Of repeated rows one stays; rows without an id stay.
     """
-    kept = neardup.near_duplicates(docs, percent=NEAR_PERCENT).where("kept AND doc_id IS NOT NULL").select("doc_id")
-    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where(F.col("doc_id").isNull())).select(*docs.columns)
+    return neardup.drop_near_duplicates(docs, percent=NEAR_PERCENT)
 
 
 def scan_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -23,6 +23,18 @@ def _species_of(panel: DataFrame) -> list:
     return [r[0] for r in panel.select("species").distinct().collect()]
 
 
+def link_table(
+    within: DataFrame, nearest: DataFrame, cell: Sequence[str], block: Sequence[str]
+) -> DataFrame:
+    """Both crosswalks in one table, so that the panel is joined once."""
+    return (
+        within.where(F.col(block[-1]) != "")
+        .select(*cell, *block, F.lit(None).cast("double").alias("distance"))
+        .withColumn("_near", F.lit(False))
+        .unionByName(nearest.select(*cell, *block, "distance").withColumn("_near", F.lit(True)))
+    )
+
+
 def aggregate_blocks(
     panel: DataFrame,
     within: DataFrame,
@@ -49,15 +61,7 @@ def aggregate_blocks(
     """
     by, block = list(by), list(block)
     cell = [*by, "gridcell_idx"]
-    # both crosswalks in one table, so that the panel is joined once
-    links = (
-        within.where(F.col(block[-1]) != "")
-        .select(*cell, *block, F.lit(None).cast("double").alias("distance"))
-        .withColumn("_near", F.lit(False))
-        .unionByName(
-            nearest.select(*cell, *block, "distance").withColumn("_near", F.lit(True))
-        )
-    )
+    links = link_table(within, nearest, cell, block)
     hot = hot_keys(links.select(*cell), cell)
     keys = cell
     if grid is not None:
@@ -79,7 +83,11 @@ def aggregate_blocks(
     values = panel.select(*keys, "year", F.col("predicted").cast("double").alias("predicted"))
     found = spread_join(links, values, keys, spread_by=block, how="left", hot=hot)
 
-    group = [*by, *extra, *block, "year"]
+    return summarise_links(found, [*by, *extra, *block, "year"])
+
+
+def summarise_links(found: DataFrame, group: Sequence[str]) -> DataFrame:
+    """Block values from links with predictions: ``group, _near, predicted, distance``."""
     inside = F.when(~F.col("_near"), F.col("predicted"))
     n_inside = F.count_if(~F.col("_near"))
     closest = F.when(F.col("_near"), F.struct("predicted", "distance"))
@@ -101,7 +109,7 @@ def aggregate_blocks(
     )
 
 
-def _finest(levels: Sequence[str]) -> str:
+def finest(levels: Sequence[str]) -> str:
     return max(levels, key=LEVEL_LENGTHS.__getitem__)
 
 
@@ -144,7 +152,7 @@ def aggregate_parents(
         "_n": n_rows(),
     }
     group = [*by, "year"]
-    partial = rows.groupBy(*group, area_prefix(F.col("geoid"), _finest(levels)).alias("geoid")).agg(
+    partial = rows.groupBy(*group, area_prefix(F.col("geoid"), finest(levels)).alias("geoid")).agg(
         *[v.alias(k) for k, v in sums.items()]
     )
     total = roll_up(partial, levels, list(sums), group)

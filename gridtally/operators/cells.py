@@ -69,6 +69,7 @@ class CellPyramid:
             )
             .groupBy(*self.by, "ix", "iy")
             .agg(
+                F.expr("sum(n) AS n"),
                 *[F.expr(f"{c[:3]}({c}) AS {c}") for c in BOX],
                 *[
                     F.expr(f"CASE WHEN count({c}) = count(1) AND min({c}) = max({c}) THEN min({c}) END AS {c}")
@@ -103,7 +104,7 @@ class CellPyramid:
             *[f"`{c}`" for c in self.by],
             f"shiftright(ix, {BITS_PER_LEVEL}) AS px",
             f"shiftright(iy, {BITS_PER_LEVEL}) AS py",
-            *[f"{c} AS c_{c}" for c in ("ix", "iy", "leaf_ix", "leaf_iy", *BOX)],
+            *[f"{c} AS c_{c}" for c in ("ix", "iy", "n", "leaf_ix", "leaf_iy", *BOX)],
         )
         return F.broadcast(cells) if self.bound(level) <= BROADCAST_ROWS else cells
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.geoid import PARENT_LEVELS, area_prefix, state_of
 from ..functions.nulls import n_rows
-from .aggregate import _finest, roll_up
+from .aggregate import finest, roll_up
 
 URBAN_CUTOFF = 0.75  # fixed value
 
@@ -67,7 +67,7 @@ def classify_parents(
         "_n": n_rows(),
     }
     partial = block_class.groupBy(
-        *by, area_prefix(F.col("geoid"), _finest(levels)).alias("geoid")
+        *by, area_prefix(F.col("geoid"), finest(levels)).alias("geoid")
     ).agg(*[v.alias(k) for k, v in sums.items()])
     total = roll_up(partial, levels, list(sums), by).select(
         *by,

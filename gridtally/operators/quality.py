@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geoid import in_regions, state_of
@@ -118,6 +118,79 @@ def shares_with_total(df: DataFrame, column: str) -> DataFrame:
     )
 
 
+#: Bits of a piece of a fingerprint: sums of pieces are exact up to 2 ** 39 rows.
+_PIECE_BITS = 24
+
+
+def _fingerprint(*columns: str) -> Column:
+    """A hash of a multiset of rows: the same whatever their order, others if one row is not the same.
+
+    Sums of four independent pieces of 24 bits, so that partial sums of any rows add
+    up; repeated rows count as often as they occur.
+    """
+    values = [F.col(c) for c in columns]
+    # a NULL adds nothing to a hash, so its place is hashed too
+    known = F.concat(*[F.when(v.isNull(), F.lit("0")).otherwise(F.lit("1")) for v in values])
+    sums = []
+    for seed in (1, 2):
+        mixed = F.xxhash64(F.lit(seed), known, *values)
+        for shift in (0, _PIECE_BITS):
+            piece = F.shiftrightunsigned(mixed, shift).bitwiseAND(F.lit((1 << _PIECE_BITS) - 1))
+            sums.append(F.sum(piece))
+    return F.concat_ws("-", *[F.hex(s) for s in sums])
+
+
+def panel_fingerprints(
+    panel: DataFrame,
+    by: Sequence[str] = PANEL_GROUP,
+    position: str | None = None,
+    cell: Sequence[str] = ("lon", "lat"),
+) -> DataFrame:
+    """Do all years of a group have the same cells, in the same order?
+
+    One row per ``by, year``: ``n`` rows, ``cells`` and ``ordered`` fingerprints, and
+    whether the number of rows, the cells and their order are those of most years of
+    the group (of equally many, those of the earliest year).  ``cell`` columns of type
+    double are compared as coordinates.  ``position`` names the place of a row within
+    its year; without it the order is NULL.  A missing year is a year of its own.
+
+    Rows are hashed where they are and only sums per group and year are shuffled, so
+    this sees cells that were swapped, moved or exchanged between years without
+    sorting or gathering them.
+    """
+    by = list(by)
+    keys = []
+    for i, c in enumerate(cell):
+        value = coordinate_key(F.col(c)) if dict(panel.dtypes)[c] == "double" else F.col(c)
+        keys.append(value.alias(f"_c{i}"))
+    names = [f"_c{i}" for i in range(len(keys))]
+    place = F.col(position) if position is not None else F.lit(None).cast("long")
+    years = (
+        panel.select(*by, "year", *keys, place.alias("_at"))
+        .groupBy(*by, "year")
+        .agg(
+            n_rows().alias("n"),
+            _fingerprint(*names).alias("cells"),
+            (_fingerprint("_at", *names) if position is not None else F.lit(None).cast("string")).alias("ordered"),
+        )
+    )
+    # one row per group and year from here on
+    out = years
+    for name in ("n", "cells", "ordered"):
+        same = Window.partitionBy(*by, name)
+        usual = Window.partitionBy(*by).orderBy(F.desc("_votes"), F.asc_nulls_last("_first"))
+        out = (
+            out.withColumns({"_votes": F.count(F.lit(1)).over(same), "_first": F.min("year").over(same)})
+            .withColumn("_usual", F.first(name).over(usual))
+            .withColumn(f"same_{name}", F.col(name) == F.col("_usual"))
+            .drop("_votes", "_first", "_usual")
+        )
+    return out.select(
+        *by, "year", "n", "cells", "ordered", F.col("same_n").alias("same_count"), "same_cells",
+        F.col("same_ordered").alias("same_order"),
+    )
+
+
 def panel_check(panel: DataFrame, by: Sequence[str] = PANEL_GROUP) -> DataFrame:
     """Is the panel rectangular: every cell exactly once in every year?
 

@@ -205,6 +205,15 @@ _REGION = (
 )
 _KNOWN = ", ".join(repr(s) for states in STATES.values() for s in states.split())
 
+REGIONAL = f"r AS (SELECT *, {_REGION} AS region FROM b WHERE left(geoid, 2) IN ({_KNOWN}))"
+REGIONAL_DISTANCES = """
+d AS (
+  SELECT r.region, kind AS urban_rural, geoid, gridcell_idx,
+         sqrt(pow(g.lon - r.x, 2) + pow(g.lat - r.y, 2)) AS distance
+  FROM r CROSS JOIN (SELECT unnest(['rural', 'urban']) AS kind)
+  LEFT JOIN g ON g.region = r.region AND g.urban_rural = kind
+)"""
+
 CATALOG = r"""
 names AS (
   SELECT '/d/' || p_partkey || '/'
@@ -260,15 +269,29 @@ _ROUNDED_PARENTS = "round(predicted, 6) AS predicted, round(pct_pop_predicted, 6
 _BEST = "round(coalesce(predicted_within, predicted_nearest), 6) AS predicted"
 
 ORACLES: dict[str, str] = {
-    "block_aggregate": _sql(
-        *_VALUES,
-        select="SELECT geoid, species, year, round(predicted_within, 6) AS predicted_within, "
-        "n_gridcells_within, predicted_nearest, distance_nearest FROM a",
-    ),
+    **{
+        name: _sql(
+            *_VALUES,
+            select="SELECT geoid, species, year, round(predicted_within, 6) AS predicted_within, "
+            "n_gridcells_within, predicted_nearest, distance_nearest FROM a",
+        )
+        for name in ("block_aggregate", "bucketed_block_aggregate")
+    },
     "parent_aggregate_all_levels": _sql(
         *_VALUES, CLASSES, PARENTS,
         select=f"SELECT species, level, year, geoid, {_ROUNDED_PARENTS} FROM pa",
     ),
+    "parent_update": _sql(
+        *_VALUES,
+        """changed AS (
+          SELECT geoid, species, year,
+                 CASE WHEN q % 23 <> 4 THEN predicted_within + (q % 13 = 1)::INT END AS predicted_within,
+                 CASE WHEN q % 23 <> 4 THEN predicted_nearest + (q % 13 = 1)::INT END AS predicted_nearest
+          FROM a JOIN b USING (geoid) WHERE q % 17 <> 2
+        )""",
+        CLASSES, PARENTS.replace("FROM a JOIN k", "FROM changed JOIN k"),
+        select=f"SELECT species, level, year, geoid, {_ROUNDED_PARENTS} FROM pa",
+    ),
     "county_means": _sql(
         *_VALUES, CLASSES, PARENTS,
         select=f"SELECT species, level, year, geoid, {_ROUNDED_PARENTS} FROM pa "
@@ -297,10 +320,13 @@ ORACLES: dict[str, str] = {
         select="SELECT species, level, geoid, year, round(predicted, 6) AS predicted FROM pa "
         "WHERE (level, geoid) IN (SELECT (level, geoid) FROM pcu WHERE urban = 1)",
     ),
-    "points_within": _sql(
-        BLOCKS, GRID, WITHIN,
-        select="SELECT g.gridcell_idx, w.geoid FROM g LEFT JOIN w USING (gridcell_idx)",
-    ),
+    **{
+        name: _sql(
+            BLOCKS, GRID, WITHIN,
+            select="SELECT g.gridcell_idx, w.geoid FROM g LEFT JOIN w USING (gridcell_idx)",
+        )
+        for name in ("points_within", "indexed_points_within")
+    },
     "centroids_urban": _sql(
         BLOCKS, URBAN,
         select="SELECT geoid, uace FROM b, u WHERE abs(b.x - u.x) / 2 + abs(b.y - u.y) < 1",
@@ -326,15 +352,16 @@ ORACLES: dict[str, str] = {
           FROM g JOIN (SELECT *, {_REGION} AS region FROM b WHERE left(geoid, 2) IN ({_KNOWN})) r
           ON g.region = r.region AND abs(g.lon - r.x) / r.hx + abs(g.lat - r.y) / r.hy < 1""",
     ),
+    "nearest_k": _sql(
+        BLOCKS, GRID, REGIONAL, REGIONAL_DISTANCES,
+        select="""SELECT region, urban_rural, geoid, CASE WHEN gridcell_idx IS NOT NULL THEN place::INTEGER END
+                 AS rank, gridcell_idx, round(distance, 9) AS distance
+          FROM (SELECT *, row_number() OVER (PARTITION BY region, urban_rural, geoid
+                                             ORDER BY distance, gridcell_idx) AS place FROM d)
+          WHERE place <= 5""",
+    ),
     "nearest_by_region": _sql(
-        BLOCKS, GRID,
-        f"r AS (SELECT *, {_REGION} AS region FROM b WHERE left(geoid, 2) IN ({_KNOWN}))",
-        """d AS (
-          SELECT r.region, kind AS urban_rural, geoid, gridcell_idx,
-                 sqrt(pow(g.lon - r.x, 2) + pow(g.lat - r.y, 2)) AS distance
-          FROM r CROSS JOIN (SELECT unnest(['rural', 'urban']) AS kind)
-          LEFT JOIN g ON g.region = r.region AND g.urban_rural = kind
-        )""",
+        BLOCKS, GRID, REGIONAL, REGIONAL_DISTANCES,
         select="""SELECT region, urban_rural, geoid, gridcell_idx, round(distance, 9) AS distance
           FROM (SELECT *, row_number() OVER (PARTITION BY region, urban_rural, geoid
                                              ORDER BY distance, gridcell_idx) AS place FROM d)
@@ -448,14 +475,19 @@ ORACLES: dict[str, str] = {
         SELECT c_custkey AS id, c_name AS name, c_mktsegment AS segment, NULL::DOUBLE AS balance
         FROM customer
         UNION ALL SELECT s_suppkey, s_name, NULL, s_acctbal FROM supplier""",
-    "pending_tasks": """
-        SELECT r_name AS region, urban_rural, species
-        FROM region, (SELECT unnest(['rural', 'urban']) AS urban_rural),
-             (SELECT unnest(['ec', 'no3', 'so4']) AS species)
-        WHERE (r_name, urban_rural, species) NOT IN (
-          SELECT (r_name, CASE n_nationkey % 2 WHEN 0 THEN 'rural' ELSE 'urban' END,
-                  CASE n_nationkey % 3 WHEN 0 THEN 'ec' WHEN 1 THEN 'no3' ELSE 'so4' END)
-          FROM nation JOIN region ON n_regionkey = r_regionkey)""",
+    "pending_tasks": _sql(
+        CATALOG,
+        """tasks AS (
+          SELECT split_part(path, '/', 3)::BIGINT AS number, region, species FROM files
+        )""",
+        select="""SELECT number, region, species FROM tasks t WHERE NOT EXISTS (
+          SELECT 1 FROM orders WHERE o_custkey = number AND ['ec', 'no3', 'so4'][o_orderkey % 3 + 1] = species)""",
+    ),
+    "restarted_counts": _sql(
+        GRID, PREDICTIONS,
+        select="""SELECT region, urban_rural, species, year, count(*) AS n FROM pr
+          WHERE region <> 'MA2' AND NOT (region = 'NE1' AND species = 'ec') GROUP BY ALL""",
+    ),
     "panel_check": _sql(
         GRID, PREDICTIONS,
         select="""SELECT region, urban_rural, species, count(*) AS n_rows,
@@ -466,6 +498,34 @@ ORACLES: dict[str, str] = {
               AND count(*) = count(DISTINCT (lon, lat, year)) AS rectangular
           FROM pr GROUP BY region, urban_rural, species""",
     ),
+    "panel_fingerprints": _sql(
+        GRID, PREDICTIONS,
+        """planted AS (
+          SELECT region, urban_rural, species, year, lat,
+                 CASE WHEN year = 2003 AND region = 'P9' AND p % 100 = 40 THEN lon + 0.5 ELSE lon END AS lon,
+                 CASE WHEN year = 2002 AND region = 'NE1' AND p % 2 = 0 AND p % 50 < 16 THEN p + 1
+                      WHEN year = 2002 AND region = 'NE1' AND p % 2 = 1 AND p % 50 < 17 THEN p - 1 ELSE p END AS place
+          FROM pr WHERE NOT (year = 2004 AND region = 'MA2' AND p % 500 = 20)
+        ), years AS (
+          SELECT region, urban_rural, species, year, count(*) AS n, list((lon, lat) ORDER BY lon, lat) AS cells,
+                 list((place, lon, lat) ORDER BY place) AS ordered
+          FROM planted GROUP BY ALL
+        ), votes AS (
+          SELECT *, count(*) OVER (PARTITION BY region, urban_rural, species, n) AS vn,
+                 min(year) OVER (PARTITION BY region, urban_rural, species, n) AS fn,
+                 count(*) OVER (PARTITION BY region, urban_rural, species, cells) AS vc,
+                 min(year) OVER (PARTITION BY region, urban_rural, species, cells) AS fc,
+                 count(*) OVER (PARTITION BY region, urban_rural, species, ordered) AS vo,
+                 min(year) OVER (PARTITION BY region, urban_rural, species, ordered) AS fo
+          FROM years
+        )""",
+        select="""SELECT region, urban_rural, species, year, n,
+            n = first_value(n) OVER (PARTITION BY region, urban_rural, species ORDER BY vn DESC, fn) AS same_count,
+            cells = first_value(cells) OVER (PARTITION BY region, urban_rural, species ORDER BY vc DESC, fc)
+              AS same_cells,
+            ordered = first_value(ordered) OVER (PARTITION BY region, urban_rural, species ORDER BY vo DESC, fo)
+              AS same_order FROM votes""",
+    ),
     "polygon_validity": _sql(
         BLOCKS,
         select="""SELECT geoid, 1 AS n_rings,

@@ -14,18 +14,21 @@ from ..operators import quality
 from ..operators.aggregate import aggregate_parents
 from ..operators.buffer import within_buffer
 from ..operators.classify import classify_blocks, classify_parents, clean_population
+from ..operators.colocated import aggregate_stored, store_links, store_panel
 from ..operators.distribute import distribute
 from ..operators.grid import attach_cells, extract_grid, number_by_position, sample_files
-from ..operators.nearest import nearest_points
+from ..operators.maintained import change_sums, parent_sums, parents_of_sums, read_sums, write_sums
+from ..operators.nearest import nearest_k, nearest_points
 from ..operators.regions import polygon_centroids, polygon_validity, regional_subset
-from ..operators.staging import checkpoint_folder
+from ..operators.staging import checkpoint_folder, stage
 from ..operators.within import points_within
 from ..sources import readers, writers
-from ..sources.catalog import file_catalog, in_order
+from ..sources.catalog import file_catalog, in_order, list_files
 from ..sources.readers import union_all, whole_number
-from ..sources.tasks import pending, preferred_first
+from ..sources.spatial import indexed_points_within, write_points, write_polygons
+from ..sources.tasks import open_tasks, pending, preferred_first, restrict
 from . import views
-from .pipeline import block_values
+from .pipeline import block_values, crosswalks
 
 SPECIES = ("ec", "no3")
 KIND = ("region", "urban_rural")
@@ -46,6 +49,21 @@ def block_aggregate(spark, folder):
     return _round(_block_values(spark, folder), "predicted_within")
 
 
+def bucketed_block_aggregate(spark, folder):
+    """The same from a panel and links that are stored in buckets of their places."""
+    path, suffix = _scratch(spark), uuid.uuid4().hex
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    blocks, grid = views.blocks(spark, folder), views.grid(spark, folder)
+    within, nearest = crosswalks(blocks, grid)
+    links = store_links(
+        within, nearest, grid, f"gridtally_links_{suffix}", (), ["geoid"], buckets, f"{path}/links"
+    )
+    panel = store_panel(
+        views.predictions(spark, folder), f"gridtally_panel_{suffix}", (), buckets, f"{path}/panel"
+    )
+    return _round(aggregate_stored(panel, links, SPECIES), "predicted_within")
+
+
 def _parents(spark, folder, levels=PARENT_LEVELS):
     return aggregate_parents(
         _block_values(spark, folder),
@@ -60,6 +78,24 @@ def parent_aggregate_all_levels(spark, folder):
     return _round(_parents(spark, folder), "predicted", "pct_pop_predicted")
 
 
+def parent_update(spark, folder):
+    """Parent values kept up to date: blocks come, go, change and lose their value."""
+    path = f"{_scratch(spark)}/sums"
+    marks = views.blocks(spark, folder).select("q", "geoid", "population")
+    rows = stage(_block_values(spark, folder).join(marks, "geoid"), "block-rows")
+    late, gone, lost, moved = (F.expr(e) for e in ("q % 19 = 3", "q % 17 = 2", "q % 23 = 4", "q % 13 = 1"))
+    by = ["species"]
+    write_sums(parent_sums(rows.where(~late), by=by), path)
+    changed = gone | lost | moved
+    values = {
+        c: F.when(~lost, F.col(c) + F.when(moved, F.lit(1.0)).otherwise(F.lit(0.0)))
+        for c in ("predicted_within", "predicted_nearest")
+    }
+    after = rows.where((changed | late) & ~gone).withColumns(values)
+    sums = change_sums(read_sums(spark, path), rows.where(changed & ~late), after, by=by)
+    return _round(parents_of_sums(write_sums(sums, path), by), "predicted", "pct_pop_predicted")
+
+
 def county_means(spark, folder):
     """Population-weighted mean per county, species and year."""
     return _round(_parents(spark, folder, ["counties"]), "predicted", "pct_pop_predicted")
@@ -152,6 +188,21 @@ def nearest_points_query(spark, folder):
     return nearest_points(_centres(spark, folder), views.grid(spark, folder), by=())
 
 
+def nearest_k_query(spark, folder):
+    """The five nearest grid points of every block in its region, by kind of grid."""
+    found = nearest_k(_regional(_centres(spark, folder)), views.regional_grid(spark, folder), 5, by=KIND)
+    return _round(found, "distance", digits=9)
+
+
+def indexed_points_within_query(spark, folder):
+    """Points within polygons, of layers that are stored along a curve in 32 files."""
+    path, grid = _scratch(spark), views.grid(spark, folder)
+    blocks = views.blocks(spark, folder).select("geoid", "rings")
+    points = write_points(grid, f"{path}/grid", rows_per_file=-(-grid.count() // 32))
+    areas = write_polygons(blocks, f"{path}/blocks", rows_per_file=-(-blocks.count() // 32))
+    return indexed_points_within(points, areas, keep="left")
+
+
 def _regional(areas):
     """Areas of the regions, once for each kind of grid."""
     kinds = F.explode(F.array(F.lit("rural"), F.lit("urban")))
@@ -347,26 +398,55 @@ def union_by_name(spark, folder):
     return union_all([customers, suppliers])
 
 
-def pending_tasks(spark, folder):
-    regions = views.table(spark, folder, "region").select("r_regionkey", F.col("r_name").alias("region"))
-    wanted = regions.select("region", F.explode(F.array(F.lit("rural"), F.lit("urban"))).alias("urban_rural"))
-    wanted = wanted.withColumn("species", F.explode(F.array(*[F.lit(s) for s in ("ec", "no3", "so4")])))
-    done = (
-        views.table(spark, folder, "nation")
-        .join(regions, F.col("n_regionkey") == F.col("r_regionkey"))
-        .selectExpr(
-            "region",
-            "CASE n_nationkey % 2 WHEN 0 THEN 'rural' ELSE 'urban' END AS urban_rural",
-            "CASE n_nationkey % 3 WHEN 0 THEN 'ec' WHEN 1 THEN 'no3' ELSE 'so4' END AS species",
-        )
+def _file_tasks(spark, folder):
+    """Tasks from the names of the prediction files: number of the file and species."""
+    number = F.element_at(F.split("path", "/"), 3).cast("long").alias("number")
+    return _catalog(spark, folder).select(number, "region", "species")
+
+
+def _finished_tasks(spark, folder):
+    """Tasks that the orders have finished."""
+    return views.table(spark, folder, "orders").selectExpr(
+        "o_custkey AS number", "element_at(array('ec', 'no3', 'so4'), CAST(o_orderkey % 3 + 1 AS INT)) AS species"
     )
-    return preferred_first(pending(wanted, done, ["region", "urban_rural", "species"]), "species", "ec")
+
+
+def pending_tasks(spark, folder):
+    wanted, done = _file_tasks(spark, folder), _finished_tasks(spark, folder)
+    return preferred_first(pending(wanted, done, ["number", "species"]), "species", "ec")
+
+
+def restarted_counts(spark, folder):
+    """Yearly counts of the groups that are left: of a stored panel only their folders are read."""
+    path = _scratch(spark)
+    panel = views.predictions(spark, folder).select(*KIND, "species", "year", "lon", "lat", "predicted")
+    writers.write_layer(panel, path, "panel", [*KIND, "species"])
+    wanted = list_files(spark, f"{path}/panel", "*.parquet", [*KIND, "species"])
+    done = wanted.where("region = 'MA2' OR (region = 'NE1' AND species = 'ec')").distinct()
+    done.write.parquet(f"{path}/counts-finished")
+    left = open_tasks(spark, wanted, f"{path}/counts", [*KIND, "species"])
+    return quality.yearly_counts(restrict(readers.read_panel(spark, f"{path}/panel"), left))
 
 
 def panel_check_query(spark, folder):
     return quality.panel_check(views.predictions(spark, folder))
 
 
+def panel_fingerprints_query(spark, folder):
+    """A panel with years whose cells were exchanged, moved or put in another order."""
+    swapped = "year = 2002 AND region = 'NE1' AND p % 2 = 0 AND p % 50 < 16"
+    partner = "year = 2002 AND region = 'NE1' AND p % 2 = 1 AND p % 50 < 17"
+    place = f"CASE WHEN {swapped} THEN p + 1 WHEN {partner} THEN p - 1 ELSE p END"
+    moved = "CASE WHEN year = 2003 AND region = 'P9' AND p % 100 = 40 THEN lon + 0.5D ELSE lon END"
+    panel = views.predictions(spark, folder).selectExpr(
+        "region", "urban_rural", "species", "year", "lat", "gridcell_idx - 1 AS p", "lon"
+    )
+    panel = panel.selectExpr("*", f"{place} AS place", f"{moved} AS at")
+    panel = panel.where("NOT (year = 2004 AND region = 'MA2' AND p % 500 = 20)").drop("lon")
+    found = quality.panel_fingerprints(panel.withColumnRenamed("at", "lon"), position="place")
+    return found.drop("cells", "ordered")
+
+
 def polygon_validity_query(spark, folder):
     """Diamonds, some of them broken in the ways the report looks for."""
     ring = F.get("rings", F.lit(0))
@@ -383,7 +463,9 @@ def polygon_validity_query(spark, folder):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "block_aggregate": block_aggregate,
+    "bucketed_block_aggregate": bucketed_block_aggregate,
     "parent_aggregate_all_levels": parent_aggregate_all_levels,
+    "parent_update": parent_update,
     "county_means": county_means,
     "classify_blocks": classify_blocks_query,
     "classify_parents": classify_parents_query,
@@ -391,8 +473,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "distribute_all": distribute_all,
     "distribute_urban_parents": distribute_urban_parents,
     "points_within": points_within_query,
+    "indexed_points_within": indexed_points_within_query,
     "centroids_urban": centroids_urban,
     "nearest_points": nearest_points_query,
+    "nearest_k": nearest_k_query,
     "csv_round_trip": csv_round_trip,
     "counts_round_trip": counts_round_trip,
     "layer_round_trip": layer_round_trip,
@@ -423,6 +507,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clean_population": clean_population_query,
     "union_by_name": union_by_name,
     "pending_tasks": pending_tasks,
+    "restarted_counts": restarted_counts,
     "panel_check": panel_check_query,
+    "panel_fingerprints": panel_fingerprints_query,
     "polygon_validity": polygon_validity_query,
 }

@@ -20,8 +20,9 @@ from ..operators.distribute import distribute
 from ..operators.grid import extract_grid, require_unique_places
 from ..operators.quality import coverage, inconsistent_groups, panel_check, yearly_counts
 from ..operators.regions import polygon_centroids, regional_subset
-from ..operators.within import points_within
+from ..operators.skew import BROADCAST_ROWS
 from ..operators.staging import staging_scope
+from ..operators.within import points_within
 from ..sources.catalog import file_catalog, list_files
 from ..sources.readers import (
     read_blocks,
@@ -101,7 +102,12 @@ def _run(spark: SparkSession, inputs: Inputs, out: str) -> dict[str, DataFrame]:
     extension = inputs.predictions_format
     if inputs.panel is not None:
         panel = read_panel(spark, inputs.panel).where(F.col("species").isin(list(inputs.species)))
-        files = panel.select(*KIND, "species").distinct()
+        # from the names of the folders, without reading a file
+        files = (
+            list_files(spark, inputs.panel, "*.parquet", folders=[*KIND, "species"])
+            .where(F.col("species").isin(list(inputs.species)))
+            .distinct()
+        )
     else:
         panel = union_all(
             read_predictions(spark, path, inputs.species, kind, inputs.predictions_format)
@@ -178,7 +184,7 @@ def _run(spark: SparkSession, inputs: Inputs, out: str) -> dict[str, DataFrame]:
     parts = [*KIND, "vintage"]
     each_vintage = F.explode(F.array(*[F.lit(str(v)) for v in inputs.blocks])).alias("vintage")
     grids = grid.select(*KIND).distinct()
-    regional = regional_subset(blocks).join(F.broadcast(grids), "region")  # few rows
+    regional = regional_subset(blocks).join(_counted_broadcast(grids), "region")
     made: list[tuple[DataFrame, DataFrame]] = []
 
     def both(todo: DataFrame, side: int) -> DataFrame:
@@ -260,5 +266,10 @@ def _write_csv(
                     )
 
 
+def _counted_broadcast(df: DataFrame) -> DataFrame:
+    """The table with a broadcast hint, if its rows are few enough."""
+    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+
+
 def _typed(df: DataFrame) -> DataFrame:
     return df.withColumn("vintage", F.col("vintage").cast("int")) if "vintage" in df.columns else df

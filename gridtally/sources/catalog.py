@@ -2,21 +2,26 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.names import file_attributes
 
 
-def list_files(spark: SparkSession, path: str, name_glob: str = "*.rds") -> DataFrame:
-    """Paths of the files below a folder; their contents are not read."""
-    return (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", name_glob)
-        .option("recursiveFileLookup", "true")
-        .load(path)
-        .select("path")
-    )
+def list_files(
+    spark: SparkSession, path: str, name_glob: str = "*.rds", folders: Sequence[str] = ()
+) -> DataFrame:
+    """Paths of the files below a folder; their contents are not read.
+
+    With ``folders``, the values that ``name=value`` folders give these columns,
+    one row per file, instead of the paths.
+    """
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", name_glob)
+    if folders:
+        return reader.load(path).select(*[F.col(c).cast("string").alias(c) for c in folders])
+    return reader.option("recursiveFileLookup", "true").load(path).select("path")
 
 
 def file_catalog(paths: DataFrame, extension: str = "rds") -> DataFrame:

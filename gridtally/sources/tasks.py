@@ -9,9 +9,14 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.skew import BROADCAST_ROWS
 from ..operators.staging import stage
 from .writers import gathered
 
+#: Up to so many open tasks, their values are also written into the filter of a scan.
+LITERAL_TASKS = 1_000
+
+
 def task_grid(spark: SparkSession, domains: Mapping[str, Sequence]) -> DataFrame:
     """Every combination of the given parameter values."""
     tasks = spark.range(1).select()
@@ -54,21 +59,54 @@ def finished(spark: SparkSession, path: str) -> DataFrame | None:
 def open_tasks(
     spark: SparkSession, wanted: DataFrame, path: str, keys: Sequence[str]
 ) -> DataFrame | None:
-    """Wanted tasks (keys as text) that are not finished; None if all are."""
+    """Wanted tasks (keys as text) that are not finished; None if all are.
+
+    All wanted tasks are kept with a mark, and the open ones chosen by it: the
+    choice is a filter that :func:`restrict` prunes scans by.
+    """
     wanted = wanted.select(*[F.col(k).cast("string").alias(k) for k in keys]).distinct()
     done = finished(spark, path)
-    left = stage(wanted if done is None else pending(wanted, done, keys), "open-tasks")
-    return None if left.isEmpty() else left
+    left = wanted if done is None else pending(wanted, done, keys)
+    marked = stage(left.withColumn("_open", F.lit(1)), "open-tasks").where(F.col("_open") == 1)
+    return None if marked.isEmpty() else marked.select(*keys)
 
 
 def restrict(df: DataFrame, tasks: DataFrame) -> DataFrame:
-    """Rows that belong to one of the tasks, by the keys that ``df`` has."""
+    """Rows that belong to one of the tasks, by the keys that ``df`` has.
+
+    Keys are compared in the type they have in ``df`` by plain equality, so that a
+    scan of a table partitioned by them reads only the folders of the tasks.  A few
+    tasks are also given as literals, which skips files whose names tell the key.
+    Missing keys match missing keys, in a pass of their own if any task has one.
+    """
     keys = [k for k in tasks.columns if k in df.columns]
     if not keys:
         return df
-    wanted = tasks.select(*[F.col(k).alias(f"_task_{k}") for k in keys]).distinct()
-    same = [F.col(k).cast("string").eqNullSafe(F.col(f"_task_{k}")) for k in keys]
-    return df.join(wanted, reduce(lambda a, b: a & b, same), "left_semi")
+    nameless = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    # a few tasks tell all in one job
+    few = tasks.select(*keys).limit(LITERAL_TASKS + 1).collect()
+    if len(few) <= LITERAL_TASKS:
+        n, any_nameless = len(few), any(v is None for row in few for v in row)
+    else:
+        n, any_nameless = tasks.agg(F.count(F.lit(1)), F.max(nameless)).first()
+
+    def belonging(rows: DataFrame, chosen: DataFrame, null_safe: bool) -> DataFrame:
+        same = []
+        for k in keys:
+            task = F.col(f"_task_{k}").try_cast(df.schema[k].dataType)
+            same.append(F.col(k).eqNullSafe(task) if null_safe else F.col(k) == task)
+        chosen = chosen.select(*[F.col(k).alias(f"_task_{k}") for k in keys])
+        chosen = F.broadcast(chosen) if n <= BROADCAST_ROWS else chosen.distinct()
+        return rows.join(chosen, reduce(lambda a, b: a & b, same), "left_semi")
+
+    rows = df
+    if n <= LITERAL_TASKS:
+        for i, k in enumerate(keys):
+            rows = rows.where(F.col(k).cast("string").isin(sorted({r[i] for r in few} - {None})))
+    named = belonging(rows, tasks.where(~nameless), False)
+    if not any_nameless:
+        return named
+    return named.unionByName(belonging(df.where(nameless), tasks.where(nameless), True))
 
 
 def write_tasks(

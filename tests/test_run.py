@@ -5,8 +5,11 @@ import json
 from dataclasses import replace
 
 import pytest
+from pyspark.sql import functions as F
 
 from gridtally.plans.run import Inputs, run
+from gridtally.sources import tasks
+from gridtally.sources.catalog import list_files
 from gridtally.sources.readers import read_predictions, union_all
 
 A, B, C, D = "090010001001000", "090010001001001", "090010001002000", "090010002001000"
@@ -136,3 +139,71 @@ def test_partitioned_panel_gives_the_same(spark, inputs, tmp_path):
     wanted = run(spark, given, str(tmp_path / "b"))
     for name in wanted:
         assert rows(found[name]) == rows(wanted[name]), name
+
+
+def test_restart_reads_only_what_is_open(spark, inputs, tmp_path):
+    _, given = inputs
+    panel = union_all(
+        read_predictions(spark, path, given.species, kind, "csv") for kind, path in given.predictions.items()
+    )
+    more = panel.withColumn("region", F.lit("MA2"))
+    panel.unionByName(more).write.partitionBy("region", "urban_rural", "species").parquet(str(tmp_path / "panel"))
+    given = replace(given, panel=str(tmp_path / "panel"))
+    out = str(tmp_path / "out")
+    run(spark, replace(given, exclude_regions=["MA2"]), out)
+    # the files of the finished region cannot be read any more
+    broken = list((tmp_path / "panel" / "region=NE1").rglob("*.parquet"))
+    for file in broken:
+        file.write_bytes(b"broken")
+    found = run(spark, given, out)
+    assert broken and {r.region for r in found["grid"].select("region").distinct().collect()} == {"NE1", "MA2"}
+    assert found["coverage"].count() == 8 and found["parent_values"].where("region = 'NE1'").count() == 48
+
+
+def test_scan_of_the_panel_is_pruned_by_the_open_tasks(spark, inputs, tmp_path):
+    rows = [(f"R{r}", s, y, r * 10.0 + y) for r in range(6) for s in ("ec", "no3") for y in range(3)]
+    panel = spark.createDataFrame(rows, "region STRING, species STRING, year INT, predicted DOUBLE")
+    panel.write.partitionBy("region", "species").parquet(str(tmp_path / "panel"))
+    stored = spark.read.schema(panel.schema).parquet(str(tmp_path / "panel"))
+    wanted = list_files(spark, str(tmp_path / "panel"), "*.parquet", ["region", "species"])
+    wanted.where("region <> 'R4'").distinct().write.parquet(str(tmp_path / "out-finished"))
+    todo = tasks.open_tasks(spark, wanted, str(tmp_path / "out"), ["region", "species"])
+    chosen = tasks.restrict(stored, todo)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    plan = chosen._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    scan = next(line for line in plan.splitlines() if "FileScan" in line and "year" in line)
+    assert "dynamicpruning" in scan and "region" in scan.split("PartitionFilters")[1]
+    for file in (tmp_path / "panel").rglob("*.parquet"):
+        if "region=R4" not in str(file):
+            file.write_bytes(b"broken")
+    assert sorted((r.region, r.species, r.year) for r in chosen.collect()) == [
+        ("R4", s, y) for s in ("ec", "no3") for y in range(3)]
+    # the pruning alone, without the values as literals
+    monkey = tasks.LITERAL_TASKS
+    tasks.LITERAL_TASKS = 0
+    try:
+        assert tasks.restrict(stored, todo).count() == 6
+    finally:
+        tasks.LITERAL_TASKS = monkey
+
+
+def test_files_are_skipped_by_name(spark, inputs, tmp_path):
+    root, given = inputs
+    for region in ("NE1", "MA2"):
+        (tmp_path / f"{region}.ec.csv").write_text((root / "urban" / "NE1.ec.csv").read_text())
+    panel = read_predictions(spark, str(tmp_path), ["ec"], "urban", "csv")
+    todo = spark.createDataFrame([("MA2", "urban", "ec")], "region STRING, urban_rural STRING, species STRING")
+    chosen = tasks.restrict(panel, todo)
+    (tmp_path / "NE1.ec.csv").unlink()
+    assert {r.region for r in chosen.collect()} == {"MA2"}
+
+
+def test_tasks_of_several_types_and_without_names(spark):
+    rows = [("a", 2000, 1), ("a", 2010, 2), (None, 2000, 3), (None, None, 4), ("b", 2000, 5)]
+    df = spark.createDataFrame(rows, "region STRING, vintage INT, v INT")
+    todo = spark.createDataFrame(
+        [("a", "2010"), (None, "2000"), (None, None), ("c", "x")], "region STRING, vintage STRING")
+    assert sorted(r.v for r in tasks.restrict(df, todo).collect()) == [2, 3, 4]
+    assert sorted(r.v for r in tasks.restrict(df, todo.select("region")).collect()) == [1, 2, 3, 4]
+    assert tasks.restrict(df, todo.select(F.col("region").alias("other"))) is df
