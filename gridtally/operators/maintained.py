@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.geoid import PARENT_LEVELS, area_prefix
 from ..functions.nulls import first_present
-from ..sources.writers import gathered
+from ..sources.writers import complete_versions, gathered, newest_version
 from .aggregate import best_prediction, finest, roll_up
 
 #: Fixed-point sums: 26 digits before and 12 after the point.
@@ -97,23 +97,9 @@ def parents_of_sums(
     )
 
 
-def _versions(spark: SparkSession, path: str) -> list[int]:
-    """Complete versions of a stored table, oldest first."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not files.exists(folder):
-        return []
-    names = [s.getPath() for s in files.listStatus(folder)]
-    done = [p for p in names if files.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
-    return sorted(int(p.getName().removeprefix("version=")) for p in done if p.getName().startswith("version="))
-
-
 def read_sums(spark: SparkSession, path: str) -> DataFrame:
     """The newest complete version of stored sums."""
-    found = _versions(spark, path)
-    if not found:
-        raise FileNotFoundError(f"no sums are stored in {path}")
-    return spark.read.parquet(f"{path.rstrip('/')}/version={found[-1]}")
+    return spark.read.parquet(newest_version(spark, path))
 
 
 def write_sums(sums: DataFrame, path: str) -> DataFrame:
@@ -122,6 +108,6 @@ def write_sums(sums: DataFrame, path: str) -> DataFrame:
     A write that breaks off leaves no complete version and is replaced by the next.
     """
     spark = sums.sparkSession
-    number = max(_versions(spark, path), default=0) + 1
+    number = max(complete_versions(spark, path), default=0) + 1
     gathered(sums, ["level"]).write.mode("overwrite").parquet(f"{path.rstrip('/')}/version={number}")
     return read_sums(spark, path)

@@ -374,8 +374,28 @@ ORACLES: dict[str, str] = {
                 CASE q % 3 WHEN 0 THEN 2.0 WHEN 1 THEN 1.5 ELSE 4.0 END * hx * hy AS area,
                 CASE WHEN q % 3 = 2 THEN x + 2 * hx ELSE x END AS cx, y AS cy FROM b""",
         )
-        for kind in ("wkt", "geojson")
+        for kind in ("wkt", "geojson", "wkb")
     },
+    "split_features": _sql(
+        BLOCKS,
+        select="""SELECT geoid, CASE WHEN q % 3 = 0 THEN 1 ELSE 2 END AS n_rings,
+            CASE q % 3 WHEN 0 THEN 2.0 WHEN 1 THEN 1.5 ELSE 4.0 END * hx * hy AS area,
+            CASE WHEN q % 3 = 2 THEN x + 2 * hx ELSE x END AS cx, y AS cy FROM b""",
+    ),
+    "prediction_files": _sql(
+        GRID, PREDICTIONS, select="SELECT region, urban_rural, species, year, lon, lat, predicted FROM pr"
+    ),
+    "imported_layers": _sql(
+        BLOCKS,
+        select="""SELECT vintage, geoid, population
+          FROM b JOIN (VALUES (2000, 101), (2010, 50)) AS v(vintage, least) ON population >= least""",
+    ),
+    "wanted_tasks": _sql(
+        CATALOG,
+        select="""SELECT split_part(path, '/', 3)::BIGINT AS number, region, species, vintage, level
+          FROM files, (VALUES (2000), (2010)) AS v(vintage), (VALUES ('counties'), ('tracts')) AS l(level)""",
+    ),
+    "arriving_counts": _sql(YEARLY, select="SELECT * FROM counts"),
     "population_text": _sql(
         BLOCKS,
         select="""SELECT q, CASE WHEN q % 7 IN (4, 5) THEN NULL WHEN q % 7 = 3 THEN (q % 9 + 1) * 100

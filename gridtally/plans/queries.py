@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geometry as G
 from ..functions.geoid import PARENT_LEVELS, pad_code
+from ..functions.wkb import with_rings_of_wkb, with_wkb_of_rings
 from ..operators import quality
 from ..operators.aggregate import aggregate_parents
 from ..operators.buffer import within_buffer
@@ -26,7 +27,8 @@ from ..sources import readers, writers
 from ..sources.catalog import file_catalog, in_order, list_files
 from ..sources.readers import union_all, whole_number
 from ..sources.spatial import indexed_points_within, write_points, write_polygons
-from ..sources.tasks import open_tasks, pending, preferred_first, restrict
+from ..sources.tasks import open_tasks, pending, preferred_first, restrict, task_grid
+from ..streaming.arrivals import arrived_counts, arriving_panel, count_arrivals
 from . import views
 from .pipeline import block_values, crosswalks
 
@@ -279,6 +281,82 @@ def geojson_rings(spark, folder):
     return _ring_report(areas.select("geoid", G.rings_from_geojson(F.col("geojson")).alias("rings")))
 
 
+def wkb_rings(spark, folder):
+    """The same polygons written as binary and read again."""
+    areas = views.polygon_texts(spark, folder)
+    binary = with_wkb_of_rings(areas.select("geoid", G.rings_from_wkt(F.col("wkt")).alias("rings")))
+    return _ring_report(with_rings_of_wkb(binary.drop("rings")).drop("wkb"))
+
+
+def split_features(spark, folder):
+    """Collections of many features, cut between the features while they are read."""
+    path = _scratch(spark)
+    feature = F.concat(
+        F.lit('{"type":"Feature","properties":{"GEOID10":"'), "geoid", F.lit('"},"geometry":'), "geojson", F.lit("}")
+    )
+    areas = views.polygon_texts(spark, folder).select("geoid", feature.alias("feature"))
+    # bounded collections: a file is a few of them, one after the other
+    groups = areas.groupBy(F.substring("geoid", 1, 12)).agg(F.concat_ws(", ", F.collect_list("feature")).alias("features"))
+    texts = groups.select(F.concat(F.lit('{"type":"FeatureCollection","features":['), "features", F.lit("]}")))
+    texts.write.text(path)
+    return _ring_report(readers.read_polygons(spark, path, {"GEOID10": "geoid"}, "geojson_split"))
+
+
+def prediction_files(spark, folder):
+    """Panels as prediction files with a value column per species, listed and read by their names."""
+    path = _scratch(spark)
+    panel = views.predictions(spark, folder)
+    for name in SPECIES:
+        rows = panel.where(F.col("species") == name).select(
+            "region", "urban_rural", "year", "lon", "lat", F.col("predicted").alias(f"{readers.VALUE_PREFIX}{name}")
+        )
+        rows.write.partitionBy("urban_rural", "region").parquet(f"{path}/{name}")
+        _name_files(spark, f"{path}/{name}", name, path)
+    found = [
+        readers.read_predictions(spark, f"{path}/{kind}", SPECIES, kind) for kind in ("urban", "rural")
+    ]
+    return union_all(found).select("region", "urban_rural", "species", "year", "lon", "lat", "predicted")
+
+
+def _name_files(spark, source, species, target):
+    """Move files of ``urban_rural=, region=`` folders to names like 2000.NE1.ec.part1.parquet."""
+    at = spark._jvm.org.apache.hadoop.fs.Path
+    files = at(target).getFileSystem(spark._jsc.hadoopConfiguration())
+    listed = list_files(spark, source, "*.parquet").orderBy("path").collect()  # names of files only
+    for number, row in enumerate(listed):
+        kind, region = (part.split("=")[1] for part in row.path.split("/")[-3:-1])
+        files.mkdirs(at(f"{target}/{kind}"))
+        files.rename(at(row.path), at(f"{target}/{kind}/{region}.{species}.part{number}.parquet"))
+
+
+def imported_layers(spark, folder):
+    """Layers of two vintages imported as one table, a table made by SQL from it, and the import dropped."""
+    blocks = views.blocks(spark, folder).select("geoid", "population")
+    suffix = uuid.uuid4().hex
+    layers = {2010: blocks, 2000: blocks.where("population > 100")}
+    writers.import_layers(spark, f"gridtally_layers_{suffix}", layers)
+    query = f"SELECT vintage, geoid, population FROM gridtally_layers_{suffix} WHERE population >= :least"
+    made = writers.create_table(spark, f"gridtally_people_{suffix}", query, {"least": 50}, ["vintage"])
+    writers.drop_tables(spark, f"gridtally_layers_{suffix}")
+    return made.select("vintage", "geoid", "population")
+
+
+def wanted_tasks(spark, folder):
+    """Every file with every combination of the parameters of a run."""
+    grid = task_grid(spark, {"vintage": [2000, 2010], "level": ["counties", "tracts"]})
+    return _file_tasks(spark, folder).crossJoin(F.broadcast(grid))  # four rows
+
+
+def arriving_counts(spark, folder):
+    """Yearly counts of a panel whose files arrive in two parts, counted as they come."""
+    path, rows = _scratch(spark), views.panel_rows(spark, folder)
+    late = F.col("year") % 3 == 0
+    for part in (~late, late):
+        rows.where(part).write.mode("append").partitionBy(*quality.PANEL_GROUP).parquet(f"{path}/panel")
+        count_arrivals(arriving_panel(spark, f"{path}/panel"), f"{path}/out")
+    return arrived_counts(spark, f"{path}/out")
+
+
 def population_text(spark, folder):
     """Populations written in several ways."""
     text = F.expr(
@@ -485,6 +563,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "nearest_by_region": nearest_by_region,
     "wkt_rings": wkt_rings,
     "geojson_rings": geojson_rings,
+    "wkb_rings": wkb_rings,
+    "split_features": split_features,
+    "prediction_files": prediction_files,
+    "imported_layers": imported_layers,
+    "wanted_tasks": wanted_tasks,
+    "arriving_counts": arriving_counts,
     "population_text": population_text,
     "polygon_centroids": polygon_centroids_query,
     "conic_projection": conic_projection,

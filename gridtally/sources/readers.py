@@ -12,6 +12,7 @@ from ..functions import geometry as G
 from ..functions.geoid import code_column, pad_code
 from ..functions.names import file_attributes
 from ..functions.nulls import nan_to_null
+from ..functions.wkb import with_rings_of_wkb
 from ..operators.regions import polygon_centroids
 
 VALUE_PREFIX = "final.predicted."  # fixed value
@@ -82,9 +83,10 @@ def read_polygons(
 
     ``columns`` maps attribute names of the files to column names of the
     result.  ``geojson`` expects a feature or a collection of features on each
-    line, ``geojson_files`` one in each file; lines without a feature are left
-    out, see :func:`rejected_lines`.  ``wkt`` is a CSV file with header,
-    ``parquet`` has either ``rings`` or WKT text.
+    line, ``geojson_files`` one in each file, which a task reads whole;
+    ``geojson_split`` cuts collections of any size between their features while
+    reading.  Lines without a feature are left out, see :func:`rejected_lines`.
+    ``wkt`` is a CSV file with header, ``parquet`` has ``rings``, WKT text or WKB.
     """
     if fmt.startswith("geojson"):
         features = _features(spark, path, list(columns), fmt).where("f.geometry IS NOT NULL")
@@ -97,8 +99,11 @@ def read_polygons(
             rows = spark.read.option("header", True).csv(path)
         else:
             rows = spark.read.parquet(path)
-        is_text = dict(rows.dtypes)[geometry] == "string"
-        rings = G.rings_from_wkt(F.col(geometry)) if is_text else F.col(geometry)
+        kind = dict(rows.dtypes)[geometry]
+        if kind == "binary":
+            rows = with_rings_of_wkb(rows, geometry, "_rings")
+            geometry = "_rings"
+        rings = G.rings_from_wkt(F.col(geometry)) if kind == "string" else F.col(geometry)
         out = rows.select(
             *[F.col(f"`{c}`").alias(n) for c, n in columns.items()], rings.alias("rings")
         )
@@ -111,13 +116,44 @@ def _features(
     """One row ``f`` per feature; a line without any has one NULL."""
     fields = ", ".join(f"`{c}`: STRING" for c in attributes) or "`_`: STRING"
     feature = f"STRUCT<properties: STRUCT<{fields}>, geometry: STRING>"
-    lines = spark.read.text(path, wholetext=fmt == "geojson_files").where(F.trim("value") != "")
+    if fmt == "geojson_split":
+        lines = _feature_texts(spark, path)
+    else:
+        lines = spark.read.text(path, wholetext=fmt == "geojson_files").where(F.trim("value") != "")
     shape = f"type STRING, properties STRUCT<{fields}>, geometry STRING, features ARRAY<{feature}>"
     parsed = lines.select(F.from_json("value", shape).alias("j"))
     own = F.array(F.struct("j.properties", "j.geometry"))
     return parsed.select(F.explode_outer(F.coalesce("j.features", own)).alias("f"))
 
 
+#: How a feature begins: its type comes first.
+_FEATURE_START = r'\{\s*"type"\s*:\s*"Feature"'
+
+
+def _feature_texts(spark: SparkSession, path: str) -> DataFrame:
+    """One row ``value`` per feature of collections, or of lines, of any size.
+
+    The files are cut where features begin, spelled as in the first one found, so that
+    a file is read by many tasks.  Features spelled with other white space are cut
+    within the row.  What follows a feature in its row is not part of it.  A feature
+    whose type is not its first member cannot be cut out: an error.
+    """
+    opening = F.regexp_extract("value", r'(\{\s*"type"\s*:\s*)$', 1).alias("opening")
+    pieces = spark.read.option("lineSep", '"Feature"').text(path)
+    first = pieces.select(opening).where("opening <> ''").limit(1).collect()
+    if not first and pieces.count() > 1:
+        raise ValueError("features must begin with their type")
+    start = f'{first[0].opening if first else ""}"Feature"'
+    cut = spark.read.option("lineSep", start).text(path)
+    cut = cut.select(F.explode(F.split("value", _FEATURE_START)).alias("value"))
+    # the rest of a feature goes on with a comma or a brace; all else comes before the first one
+    cut = cut.where(F.col("value").rlike(r"^\s*[,}]"))
+    later = F.col("value").rlike(r'"type"\s*:\s*"Feature"')
+    text = F.concat(F.lit('{"type":"Feature"'), "value")
+    error = F.raise_error(F.lit("a feature does not begin with its type"))
+    return cut.select(F.when(later, error.cast("string")).otherwise(text).alias("value"))
+
+
 def rejected_lines(spark: SparkSession, path: str, fmt: str = "geojson") -> int:
     """Number of lines and features without a geometry, which ``read_polygons`` leaves out."""
     return _features(spark, path, [], fmt).where("f.geometry IS NULL").count()

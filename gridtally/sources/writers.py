@@ -10,6 +10,26 @@ from pyspark.sql import functions as F
 from ..functions.geoid import code_column
 
 
+def complete_versions(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the complete ``version=`` folders of a stored table, oldest first."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return []
+    found = [status.getPath() for status in files.listStatus(folder)]
+    done = [p for p in found if files.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
+    names = [p.getName() for p in done]
+    return sorted(int(n.removeprefix("version=")) for n in names if n.startswith("version="))
+
+
+def newest_version(spark: SparkSession, path: str) -> str:
+    """Folder of the newest complete version."""
+    found = complete_versions(spark, path)
+    if not found:
+        raise FileNotFoundError(f"nothing is stored in {path}")
+    return f"{path.rstrip('/')}/version={found[-1]}"
+
+
 def with_file_codes(df: DataFrame, vintage: int, level: str = "blocks") -> DataFrame:
     """Give the area code the column name that files of a vintage use."""
     return df.withColumnRenamed("geoid", code_column(vintage, level))
