@@ -59,7 +59,6 @@ class Inputs:
         default_factory=lambda: {"UACE10": "uace", "NAME10": "name"}
     )
     buffer: float = 1000.0
-    buffer_tolerance: float = 1.0
     exclude_regions: Sequence[str] = ()
     levels: Sequence[str] = PARENT_LEVELS
     panel: str | None = None  # a partitioned panel instead of prediction files
@@ -165,9 +164,7 @@ def _run(spark: SparkSession, inputs: Inputs, out: str) -> dict[str, DataFrame]:
         in_urban = points_within(
             polygon_centroids(chosen), urban, by=(), x="cx", y="cy", point_id=block, polygon_id=["uace"]
         )
-        covered = within_buffer(
-            chosen, urban, inputs.buffer, inputs.buffer_tolerance, block, ["uace"]
-        )
+        covered = within_buffer(chosen, urban, inputs.buffer, block, ["uace"])
         people = union_all(
             read_population(spark, path, vintage) for vintage, path in inputs.population.items()
         )

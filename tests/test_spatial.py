@@ -170,10 +170,69 @@ def test_buffer(spark):
         f"vintage INT, geoid STRING, rings {G.RINGS_TYPE}")
 
     def names(dist):
-        out = within_buffer(polygons, areas, dist, tolerance=0.01, project=None)
+        out = within_buffer(polygons, areas, dist, project=None)
         return {r.geoid for r in out.collect()}
 
     # the corner at (102.5, 102.5) is 3.54 away; the middle of the hole is 5 away
     assert names(3.0) == {"inside", "near"}
     assert names(4.0) == {"inside", "near", "far", "beyond corner"}
     assert names(5.1) == {"inside", "near", "far", "beyond corner", "over the hole"}
+
+
+def away(px, py, rings):
+    """Distance of a point from a polygon, zero inside."""
+    if sum(inside(px, py, r) for r in rings) % 2:
+        return 0.0
+    best = math.inf
+    for ring in rings:
+        for (ax, ay), (bx, by) in zip(ring, ring[1:]):
+            dx, dy = bx - ax, by - ay
+            t = 0 if dx == dy == 0 else max(0, min(1, ((px - ax) * dx + (py - ay) * dy) / (dx * dx + dy * dy)))
+            best = min(best, math.hypot(ax + t * dx - px, ay + t * dy - py))
+    return best
+
+
+def farthest(polygon, area, step):
+    """Largest distance of sampled points of a polygon; no point is farther than this and ``step``."""
+    found = 0.0
+    for (ax, ay), (bx, by) in zip(polygon[0], polygon[0][1:]):
+        n = max(1, math.ceil(math.hypot(bx - ax, by - ay) / step))
+        found = max(found, *(away(ax + (bx - ax) * i / n, ay + (by - ay) * i / n, area) for i in range(n + 1)))
+    xs, ys = [p[0] for p in polygon[0]], [p[1] for p in polygon[0]]
+    for i in range(int((max(xs) - min(xs)) / step) + 1):
+        for j in range(int((max(ys) - min(ys)) / step) + 1):
+            x, y = min(xs) + i * step, min(ys) + j * step
+            if inside(x, y, polygon[0]):
+                found = max(found, away(x, y, area))
+    return found
+
+
+def ring_of(points, x, y, size):
+    turned = [(x + size * math.cos(2 * math.pi * i / points), y + size * math.sin(2 * math.pi * i / points)) for i in range(points)]
+    return [*turned, turned[0]]
+
+
+def test_buffer_equals_dense_sampling(spark):
+    rnd = random.Random(4)
+    dist, step = 1.0, 0.08
+    areas = {f"star{i}": star(rnd, 0.0, 0.0, rnd.uniform(3, 6)) for i in range(4)}
+    # lakes of several shapes, of which the buffer leaves a hole or none
+    areas |= {f"lake{n}-{r}": [ring_of(24, 0, 0, 5), ring_of(n, 0, 0, r)] for n in (3, 4, 12) for r in (0.9, 1.4, 2.2)}
+    # islands without a line between them: the hole in the middle is bounded by circles alone
+    areas |= {f"islands{r}": [ring_of(3, r * math.cos(k), r * math.sin(k), 0.01) for k in (0, 1.6, 3.1, 4.7)] for r in (1.1, 1.3)}
+    polygons = {f"p{i}": star(rnd, rnd.uniform(-3, 3), rnd.uniform(-3, 3), 10 ** rnd.uniform(-1, 0.7)) for i in range(25)}
+    polygons |= {f"disc{r}": [ring_of(40, 0, 0, r)] for r in (0.2, 0.6, 1.0, 1.25, 1.8, 2.6, 4.0, 5.5)}
+    polygons["point"] = [[(0.1, 0.1), (0.1, 0.1), (0.1, 0.1)]]
+    make = lambda d, n: spark.createDataFrame(list(d.items()), f"{n} STRING, rings {G.RINGS_TYPE}")
+    found = {tuple(r) for r in within_buffer(
+        make(polygons, "geoid"), make(areas, "uace"), dist, ["geoid"], project=None).collect()}
+    sure = holes = 0
+    for p, polygon in polygons.items():
+        for a, area in areas.items():
+            far = farthest(polygon, area, step)
+            if far > dist or far + step < dist:
+                assert ((p, a) in found) == (far <= dist), (p, a, far)
+                sure += 1
+                edge = max(away(x, y, area) for x, y in polygon[0])
+                holes += far > dist and edge < dist and p.startswith("disc")
+    assert sure > 350 and holes > 5
