@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from ..functions import geometry as G
 from ..functions.geoid import in_regions, region_of
+from .repair import crossing_polygons
+from .staging import stage
 
 
 def regional_subset(
@@ -37,7 +39,11 @@ def polygon_centroids(
 def polygon_validity(
     polygons: DataFrame, polygon_id: Sequence[str] = ("geoid",), rings: str = "rings"
 ) -> DataFrame:
-    """Screening report, one row per polygon; nothing is repaired."""
+    """Screening report, one row per polygon; ``repair.polygon_repair`` mends what it finds.
+
+    ``crosses`` tells of edges that cross or lie on one another along some length.
+    """
+    polygons = stage(polygons.withColumn("_polygon", F.monotonically_increasing_id()), "polygons")
     repeated = "get(r, i - 1) = get(r, i)"
     checks = {
         "n_rings": f"coalesce(size({rings}), 0)",
@@ -48,12 +54,16 @@ def polygon_validity(
         "repeated_points": f"exists({rings}, r -> size(r) > 1 AND exists(sequence(1, size(r) - 1),"
         f" i -> {repeated}))",
     }
-    out = polygons.select(*polygon_id, *[F.expr(v).alias(k) for k, v in checks.items()])
+    wrong = crossing_polygons(polygons.where(F.size(rings) > 0), "_polygon", rings)
+    marked = polygons.join(wrong.withColumn("_crosses", F.lit(True)), "_polygon", "left")
+    checked = [F.expr(v).alias(k) for k, v in checks.items()]
+    out = marked.select(*polygon_id, *checked, F.coalesce("_crosses", F.lit(False)).alias("crosses"))
     ok = (
         (F.col("n_rings") > 0)
         & F.col("all_closed")
         & F.col("enough_points")
         & F.col("has_area")
         & ~F.col("repeated_points")
+        & ~F.col("crosses")
     )
     return out.withColumn("valid", F.coalesce(ok, F.lit(False)))

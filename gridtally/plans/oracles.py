@@ -551,7 +551,13 @@ ORACLES: dict[str, str] = {
         select="""SELECT geoid, 1 AS n_rings,
             CASE q % 10 WHEN 1 THEN 4 WHEN 2 THEN 3 WHEN 4 THEN 6 ELSE 5 END AS n_points,
             q % 10 <> 1 AS all_closed, q % 10 <> 2 AS enough_points,
-            q % 10 NOT IN (2, 3) AS has_area, q % 10 = 4 AS repeated_points,
-            q % 10 NOT IN (1, 2, 3, 4) AS valid FROM b""",
+            q % 10 NOT IN (2, 3, 5) AS has_area, q % 10 = 4 AS repeated_points,
+            q % 10 IN (2, 3, 5) AS crosses, q % 10 NOT IN (1, 2, 3, 4, 5) AS valid FROM b""",
+    ),
+    "polygon_repair": _sql(
+        BLOCKS,
+        select="""SELECT geoid, CASE q % 3 WHEN 2 THEN 1 ELSE 2 END AS n_rings,
+            CASE q % 3 WHEN 0 THEN 1.0 WHEN 1 THEN 3.0 ELSE 2.0 END * hx * hy AS area,
+            false AS crosses, true AS valid FROM b""",
     ),
 }

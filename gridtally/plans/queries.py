@@ -21,6 +21,7 @@ from ..operators.grid import attach_cells, extract_grid, number_by_position, sam
 from ..operators.maintained import change_sums, parent_sums, parents_of_sums, read_sums, write_sums
 from ..operators.nearest import nearest_k, nearest_points
 from ..operators.regions import polygon_centroids, polygon_validity, regional_subset
+from ..operators.repair import polygon_repair
 from ..operators.staging import checkpoint_folder, stage
 from ..operators.within import points_within
 from ..sources import readers, writers
@@ -525,6 +526,22 @@ def panel_fingerprints_query(spark, folder):
     return found.drop("cells", "ordered")
 
 
+def _bow_tie(ring):
+    """A diamond with two corners exchanged: two triangles that meet in the middle."""
+    return F.concat(F.slice(ring, 1, 1), F.slice(ring, 3, 1), F.slice(ring, 2, 1), F.slice(ring, 4, 2))
+
+
+def polygon_repair_query(spark, folder):
+    """Bow-ties, diamonds with a hole that reaches beyond them, and sound diamonds."""
+    ring = F.get("rings", F.lit(0))
+    moved = F.transform(ring, lambda p: G.point(p["x"] + F.col("hx"), p["y"]))
+    rings = F.when(F.expr("q % 3 = 0"), F.array(_bow_tie(ring))).when(F.expr("q % 3 = 1"), F.array(ring, moved))
+    areas = views.blocks(spark, folder).withColumn("rings", rings.otherwise(F.array(ring)))
+    mended = polygon_repair(areas.select("geoid", "rings"))
+    report = _ring_report(mended).drop("cx", "cy")
+    return report.join(polygon_validity(mended).select("geoid", "crosses", "valid"), "geoid")
+
+
 def polygon_validity_query(spark, folder):
     """Diamonds, some of them broken in the ways the report looks for."""
     ring = F.get("rings", F.lit(0))
@@ -533,6 +550,7 @@ def polygon_validity_query(spark, folder):
         .when(F.expr("q % 10 = 2"), F.concat(F.slice(ring, 1, 2), F.slice(ring, 1, 1)))
         .when(F.expr("q % 10 = 3"), F.transform(ring, lambda p: G.point(p["x"], F.col("y"))))
         .when(F.expr("q % 10 = 4"), F.concat(F.slice(ring, 1, 1), ring))
+        .when(F.expr("q % 10 = 5"), _bow_tie(ring))
         .otherwise(ring)
     )
     areas = views.blocks(spark, folder).withColumn("rings", F.array(broken))
@@ -595,4 +613,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "panel_check": panel_check_query,
     "panel_fingerprints": panel_fingerprints_query,
     "polygon_validity": polygon_validity_query,
+    "polygon_repair": polygon_repair_query,
 }
