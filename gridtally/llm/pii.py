@@ -4,11 +4,17 @@ Only DataFrame and SQL functions run on the rows.  One pattern finds e-mail
 addresses, card numbers, IP addresses, phone numbers, and names after a form of
 address.  Sixteen digits in fours are a card number; those of other lengths (13
 to 19 digits) have to have a valid check digit.  A name is all that follows the
-form of address on its line: given names, initials, particles, compounds.  A surrogate is derived from a keyed hash of kind and value: digits
-stay digits, letters keep case and script, card numbers keep a valid check digit,
-given names keep the gender that the form of address tells.  The same value gets
-the same surrogate everywhere; surrogates that collide with one another or with
-a value of the corpus are derived anew until none does.
+form of address on its line: given names, initials, particles, compounds.
+
+A surrogate is derived from a keyed hash of kind and value, whatever way the value is
+written: numbers by their digits, phone numbers without the prefix of a long-distance
+call, names and addresses without their case.  It is then laid into the form of each
+mention: digits stand where digits stood, capitals where capitals stood, card numbers
+keep a valid check digit, given names the gender that the form of address tells.  So
+the same value gets the same surrogate everywhere; surrogates that collide with one
+another, or with a value of the corpus that looks alike, are derived anew until none
+does.  After a name was found, its family name alone is replaced in the rest of the
+document too.
 """
 
 from __future__ import annotations
@@ -46,6 +52,18 @@ ALPHABET = {
     "cyrillic": "бвгдзклмнпрстаеиоу",
     "greek": "βγδζκλμνπρσταειου",
 }
+#: Consonants and vowels that take turns in a name that is made up.
+SOUNDS = {
+    "latin": ("bcdfghklmnprstvz", "aeiou"),
+    "cyrillic": ("бвгдзклмнпрст", "аеиоу"),
+    "greek": ("βγδζκλμνπρστ", "αειου"),
+}
+#: Ends of made-up given names by script and gender.
+ENDINGS = {
+    ("latin", "male"): "us", ("latin", "female"): "ina", ("latin", "any"): "y",
+    ("cyrillic", "male"): "ий", ("cyrillic", "female"): "ия", ("cyrillic", "any"): "ша",
+    ("greek", "male"): "ος", ("greek", "female"): "ια", ("greek", "any"): "ι",
+}
 
 #: Capital letters among which an initial gets another one.
 CAPITALS = [
@@ -234,8 +252,20 @@ def _with_check_digit(value: Column) -> Column:
     )
 
 
+def _made_up(script: str, draws: Column, length: Column) -> Column:
+    """A word of about ``length`` letters, consonants and vowels in turns."""
+    consonants, vowels = SOUNDS[script]
+    return F.array_join(
+        F.transform(
+            F.slice(draws, F.lit(1), length),
+            lambda d, i: F.when(i % 2 == 0, _pick(consonants, d)).otherwise(_pick(vowels, d)),
+        ),
+        "",
+    )
+
+
 def _surrogate() -> Column:
-    """The surrogate of (kind, value, attempt, draws)."""
+    """The surrogate of (kind, value, attempt, draws), for the value as :func:`normal` writes it."""
     value, kind, attempt = F.col("value"), F.col("kind"), F.col("attempt")
     draws = F.col("draws")
     grown = F.when(
@@ -260,48 +290,115 @@ def _surrogate() -> Column:
         .when(kind == "card", card)
         .when(kind == "phone", phone)
     )
-    for script, letters in ALPHABET.items():
-        family = F.initcap(_spell(letters, F.slice(draws, 1, F.greatest(F.length(value), F.lit(6)))))
-        out = out.when(kind == f"family-{script}", family)
+    for script in ALPHABET:
+        # every attempt has more letters to choose from
+        letters = F.greatest(F.length(value), F.lit(6)) + attempt
+        out = out.when(kind == f"family-{script}", _made_up(script, draws, letters))
         for gender in ("male", "female", "any"):
-            names = GIVEN[script, gender]
+            names = [n.lower() for n in GIVEN[script, gender]]
             first = F.get(F.array(*map(F.lit, names)), F.get(draws, F.lit(0)) % len(names))
-            more = _spell(letters, F.slice(draws, 2, 4))
-            # names are few: from the second attempt on they are made longer
-            out = out.when(
-                kind == f"given-{gender}-{script}",
-                F.when(attempt == 0, first).otherwise(F.concat(first, more)),
-            )
+            # names are few: from the second attempt on they are made up
+            more = F.concat(_made_up(script, draws, 2 + attempt), F.lit(ENDINGS[script, gender]))
+            out = out.when(kind == f"given-{gender}-{script}", F.when(attempt == 0, first).otherwise(more))
     return out
 
 
+def _digits(value: Column) -> Column:
+    return F.regexp_replace(value, "[^0-9]", "")
+
+
+def normal(kind: Column, value: Column) -> Column:
+    """A value without what is a matter of writing: mentions of one entity have the same."""
+    called = _digits(F.regexp_replace(value, r"\(0\)", ""))
+    called = F.when(value.startswith("00"), F.substring(called, F.lit(3), F.length(called))).otherwise(called)
+    called = F.when(called.rlike("^1[0-9]{10}$"), F.substring(called, F.lit(2), F.length(called))).otherwise(called)
+    return F.when(kind == "card", _digits(value)).when(kind == "phone", called).otherwise(F.lower(value))
+
+
+def looks(kind: Column) -> Column:
+    """Kinds that cannot be told apart by their looks share a name."""
+    return (
+        F.when(kind.rlike("^(?:given|family)-"), F.concat(F.lit("name-"), F.element_at(F.split(kind, "-"), -1)))
+        .when(kind.isin("phone", "card"), F.lit("number"))
+        .otherwise(kind)
+    )
+
+
+def _laid_digits(value: Column, digits: Column, skipped: Column) -> Column:
+    """``digits`` in the places of the digits of ``value`` after the first ``skipped``; what is left over follows."""
+    letters = F.split(value, "")
+
+    def one(c: Column, i: Column) -> Column:
+        before = F.length(_digits(F.substring(value, F.lit(1), i))) - skipped
+        return F.when(c.rlike("[0-9]") & (before >= 0), F.substring(digits, before + 1, F.lit(1))).otherwise(c)
+
+    there = F.length(_digits(value)) - skipped
+    return F.concat(F.array_join(F.transform(letters, one), ""), F.substring(digits, there + 1, F.length(digits)))
+
+
+def _laid_case(value: Column, word: Column) -> Column:
+    """``word`` with capitals where ``value`` has them, letter by letter."""
+    old = F.split(value, "")
+    return F.array_join(
+        F.transform(
+            F.split(word, ""), lambda c, i: F.when(F.coalesce(F.get(old, i).rlike(r"\p{Lu}"), F.lit(False)), F.upper(c)).otherwise(c)
+        ),
+        "",
+    )
+
+
+def laid(kind: Column, value: Column, surrogate: Column) -> Column:
+    """The surrogate of a normalised value in the form in which ``value`` is written."""
+    # the zero of "(0)" is dialled at home only, and no part of the number
+    home = F.regexp_replace(value, r"\(0\)", "(\u0001)")
+    skipped = F.length(_digits(home)) - F.length(normal(kind, value))
+    phone = F.translate(_laid_digits(home, surrogate, skipped), "\u0001", "0")
+    local, host = F.substring_index(value, "@", 1), F.substring_index(value, "@", -1)
+    new_local, new_host = F.substring_index(surrogate, "@", 1), F.substring_index(surrogate, "@", -1)
+    name = (
+        F.when((F.length(value) > 1) & (F.upper(value) == value), F.upper(surrogate))
+        .when(F.lower(value) == value, surrogate)
+        .otherwise(F.initcap(surrogate))
+    )
+    return (
+        F.when(kind == "card", _laid_digits(value, surrogate, F.lit(0)))
+        .when(kind == "phone", phone)
+        .when(kind == "email", F.concat(_laid_case(local, new_local), F.lit("@"), _laid_case(host, new_host)))
+        .when(kind == "ip", surrogate)
+        .otherwise(name)
+    )
+
+
 def surrogates(values: DataFrame, key: str) -> DataFrame:
     """(kind, value, surrogate): distinct surrogates for distinct (kind, value) rows.
 
-    A surrogate is accepted if it is no value of its kind and, of those that
-    want it, goes to the smallest value; the others try again.  The rounds end
-    when none is left: surrogates grow after some attempts, so there is room.
+    Values are written as :func:`normal` does.  A surrogate is accepted if no value
+    that looks alike is the same and, of those that want it, goes to the smallest
+    kind and value; the others try again.  The rounds end when none is left:
+    surrogates grow after some attempts, so there is room.
     """
     values = stage(values.select("kind", "value").distinct(), "entities")
-    taken = values.select("kind", F.col("value").alias("surrogate"), F.lit("").alias("value"))
+    taken = values.select(
+        looks(F.col("kind")).alias("look"), F.col("value").alias("surrogate"), "kind", F.lit("").alias("value")
+    )
     pending, accepted = values.withColumn("attempt", F.lit(0)), None
     while True:
         drawn = pending.withColumn("draws", _draws(key, F.length("value") + 8))
         wanted = stage(drawn.withColumn("surrogate", _surrogate()).drop("draws"), "surrogates")
         firsts = (
-            wanted.select("kind", "surrogate", "value", F.lit(1).alias("_order"))
+            wanted.select(looks(F.col("kind")).alias("look"), "surrogate", "kind", "value", F.lit(1).alias("_order"))
             .unionByName(taken.withColumn("_order", F.lit(0)))
-            .groupBy("kind", "surrogate")
-            .agg(F.min(F.struct("_order", "value")).alias("_first"))
+            .groupBy("look", "surrogate")
+            .agg(F.min(F.struct("_order", "kind", "value")).alias("_first"))
             .where("_first._order = 1")
-            .select("kind", "surrogate", F.col("_first.value").alias("value"))
+            .select(F.col("_first.kind").alias("kind"), "surrogate", F.col("_first.value").alias("value"))
         )
         won = stage(firsts, "accepted")
         accepted = won if accepted is None else accepted.unionByName(won)
         lost = stage(wanted.join(won, ["kind", "value"], "left_anti"), "collisions")
         if not lost.limit(1).count():
             return accepted
-        taken = taken.unionByName(won.select("kind", "surrogate", "value"))
+        taken = taken.unionByName(won.select(looks(F.col("kind")).alias("look"), "surrogate", "kind", "value"))
         pending = lost.select("kind", "value", (F.col("attempt") + 1).alias("attempt"))
 
 
@@ -310,9 +407,12 @@ def replace_entities(
 ) -> DataFrame:
     """One row per document: doc_id, text with surrogates, n_entities.
 
-    NULL texts stay NULL with no entity; NULL ids stay; repeated rows give
-    repeated results with the same surrogates; an empty table gives an empty
-    result.  Only documents with an entity are shuffled.
+    Mentions of an entity that are written in another way get the same surrogate in
+    their own form.  A family name that stands alone, after a mention with a form of
+    address in the same document, counts as an entity too.  NULL texts stay NULL with
+    no entity; NULL ids stay; repeated rows give repeated results with the same
+    surrogates; an empty table gives an empty result.  Only documents with an entity
+    are shuffled.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     found = rows.withColumn("_found", F.regexp_extract_all("text", F.lit(ANY), F.lit(0)))
@@ -328,22 +428,29 @@ def replace_entities(
     units = (
         entities.withColumn("_units", _units(F.col("_entity"), _kind(F.col("_entity"))))
         .select("_row", "_at", F.posexplode("_units").alias("_part", "_unit"))
-        .select("_row", "_at", "_part", F.col("_unit.kind").alias("kind"), F.col("_unit.value").alias("value"))
+        .select("_row", "_at", "_part", F.col("_unit.kind").alias("kind"), F.col("_unit.value").alias("written"))
+        .withColumn("value", normal(F.col("kind"), F.col("written")))
     )
+    units = stage(units.distinct(), "units")
     fixed = F.col("kind").isin("keep", "initial")
     known = surrogates(units.where(~fixed), key)
     kept = units.where(fixed).withColumn(
-        "surrogate", F.when(F.col("kind") == "initial", _initial(key, F.col("value"))).otherwise(F.col("value"))
+        "surrogate", F.when(F.col("kind") == "initial", _initial(key, F.col("written"))).otherwise(F.col("written"))
     )
-    replaced = (
+    renamed = (
         units.where(~fixed)
         .join(known, ["kind", "value"])
-        .unionByName(kept)
+        .withColumn("surrogate", laid(F.col("kind"), F.col("written"), F.col("surrogate")))
+    )
+    family = F.col("kind").startswith("family-") & (F.length("written") > 1)
+    replaced = (
+        renamed.unionByName(kept)
         .groupBy("_row")
         .agg(
             F.sort_array(F.collect_set(F.struct("_at", "_part", "surrogate"))).alias("_new"),
             # a number that turned out to be no card number is no entity
             F.size(F.collect_set(F.when(F.col("kind") != "keep", F.col("_at")))).alias("_n"),
+            F.sort_array(F.collect_set(F.when(family, F.struct("_at", "written", "surrogate")))).alias("_families"),
         )
     )
     joined = hit.join(replaced, "_row")
@@ -354,9 +461,45 @@ def replace_entities(
             F.transform(F.filter("_new", lambda n: n["_at"] == i), lambda n: n["surrogate"]), ""
         ),
     )
-    text = F.array_join(
-        F.zip_with(between, new, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), ""
+    # one pattern a document; names are letters, so nothing in them needs an escape
+    alone = F.concat(
+        F.lit(r"(?<![\p{L}\p{M}])(?:"),
+        F.array_join(F.array_distinct(F.transform("_families", lambda f: f["written"])), "|"),
+        F.lit(r")(?![\p{L}\p{M}])"),
     )
+    parts = joined.select(
+        "doc_id", "_n", "_families", alone.alias("_alone"), new.alias("_entities"),
+        F.when(F.size("_families") > 0, between).alias("_between"),
+        F.when(F.size("_families") == 0, F.array_join(F.zip_with(between, new, _joined), "")).alias("_done"),
+    )
+
+    def later(part: Column, i: Column) -> Column:
+        """A part of the text between entities, family names of earlier ones replaced in it."""
+        words = F.regexp_extract_all(part, F.col("_alone"), F.lit(0))
+        replaced = F.transform(
+            words,
+            lambda w: F.coalesce(
+                F.get(F.filter("_families", lambda f: (f["written"] == w) & (f["_at"] < i)), F.lit(0))["surrogate"], w
+            ),
+        )
+        return F.struct(
+            F.array_join(F.zip_with(F.split(part, F.col("_alone"), -1), replaced, _joined), "").alias("text"),
+            F.aggregate(
+                F.zip_with(words, replaced, lambda a, b: (a != b).cast("int")), F.lit(0), lambda n, x: n + x
+            ).alias("n"),
+        )
+
+    done = parts.withColumn("_later", F.when(F.size("_families") > 0, F.transform("_between", later)))
+    text = F.array_join(F.zip_with(F.transform("_later", lambda p: p["text"]), F.col("_entities"), _joined), "")
+    more = F.aggregate(F.transform("_later", lambda p: p["n"]), F.lit(0), lambda n, x: n + x)
     return plain.unionByName(
-        joined.select("doc_id", text.alias("text"), F.col("_n").cast("long").alias("n_entities"))
+        done.select(
+            "doc_id",
+            F.coalesce("_done", text).alias("text"),
+            (F.col("_n") + F.coalesce(more, F.lit(0))).cast("long").alias("n_entities"),
+        )
     )
+
+
+def _joined(a: Column, b: Column) -> Column:
+    return F.concat(a, F.coalesce(b, F.lit("")))

@@ -1,14 +1,16 @@
 """Near-duplicates, regressions, language: against brute force and held-out rows."""
 
 import collections
+import math
 import random
 import re
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
-from gridtally.llm import components, langid, neardup, ordinal, quality, queries, toxicity
+from gridtally.llm import components, graded, langid, neardup, ordinal, quality, queries, toxicity
 
 FOLDER = "/root/testdata/sf0.01"
 
@@ -177,6 +179,90 @@ def test_quality_of_held_out_documents(tables):
     assert np.mean([(r.doc_id in kept) == (r.quality == 1) for r in rows]) > 0.97
 
 
+def sigmoid(x):
+    return 1 / (1 + math.exp(-x)) if x > -700 else 0.0
+
+
+def hashed(name, n):
+    return xxhash.xxh3_64_intdigest(name) % n
+
+
+def plain_toxic_score(text, model):
+    """Words of letters and their first four and five bytes, each log(1 + count) times its weight."""
+    counts = collections.Counter()
+    for word in re.findall(rb"[a-z\x80-\xff]+", text.lower().encode()):
+        counts[hashed(word, toxicity.FEATURES)] += 1
+        for n in (4, 5):
+            if len(word) > n:
+                counts[hashed(word[:n] + b"*", toxicity.FEATURES)] += 1
+    return sum(math.log(1 + n) * model.weights[c] for c, n in counts.items())
+
+
+def plain_shape(token):
+    if token.isalpha():
+        if token.islower():
+            return "x"
+        if token.isupper():
+            return "X" if len(token) == 1 else "XX"
+        return "Xx" if token[1:].islower() else "xX"
+    if token.isdigit():
+        return "9"
+    return "x9" if token[0].isalnum() or token[0] == "_" else token[:3]
+
+
+def plain_quality_score(text, model):
+    """Square roots of shares of words, shapes, pairs of shapes and repeats, each times its weight."""
+    tokens = re.findall(r"\w+|[^\w\s]+", text)
+    shares = collections.Counter()
+    for i, token in enumerate(tokens):
+        shares[hashed("w " + token.lower(), quality.FEATURES)] += 1
+        shares[hashed("s " + plain_shape(token), quality.FEATURES)] += 4
+        if i:
+            pair = f"p {plain_shape(tokens[i - 1])} {plain_shape(token)}"
+            shares[hashed(pair, quality.FEATURES)] += 4
+            shares[hashed("r", quality.FEATURES)] += 8 * (tokens[i - 1] == token)
+    return sum(math.sqrt(n / len(tokens)) * model.weights[c] for c, n in shares.items())
+
+
+def test_toxicity_equals_plain_scores(spark, tables):
+    docs, labels = tables
+    model = toxicity.fit(docs, labels)
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    rows = queries.op3_toxicity(spark, FOLDER).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        score = plain_toxic_score(texts[r.doc_id], model)
+        tails = [sigmoid(score - t) for t in model.thresholds]
+        assert abs(r.expected_severity - sum(tails)) < 1e-3
+        assert abs(r.p_toxic - tails[0]) < 1e-3 and abs(r.p_severe - tails[-1]) < 1e-3
+        assert r.toxic == (r.p_toxic >= 0.5)
+    long = "idiot " * 100_000
+    docs = spark.createDataFrame([(1, long)], "doc_id long, text string")
+    found = toxicity.rate(docs, model).first()
+    assert abs(found.p_toxic - sigmoid(plain_toxic_score(long, model) - model.thresholds[0])) < 1e-3
+
+
+def test_quality_equals_plain_scores(spark, tables):
+    docs, labels = tables
+    model = queries.quality_model(docs, labels)
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    rows = queries.op7_quality(spark, FOLDER).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        score = plain_quality_score(texts[r.doc_id], model)
+        usable, good = (sigmoid(score - t) for t in model.thresholds)
+        assert abs(r.p_usable - usable) < 1e-3 and abs(r.p_good - good) < 1e-3
+        assert abs(r.expected_grade - usable - good) < 2e-3 and r.kept == (r.p_usable >= 0.5)
+
+
+def test_sample_of_an_id_with_two_texts(spark):
+    docs = spark.createDataFrame([(1, "b"), (1, "a"), (1, None), (2, "c"), (2, "c"), (None, "d")], "doc_id long, text string")
+    rated = spark.createDataFrame([(1, 1), (1, 0), (2, 1), (3, 1), (None, 1), (2, None)], "doc_id long, grade int")
+    for parts in (1, 5):
+        found = graded.labelled_sample(docs.repartition(parts), rated, 10, "doc_id", "text", "grade").collect()
+        assert sorted(tuple(r) for r in found) == [(1, 0, "a"), (2, 1, "c")]
+
+
 ODD = [(1, None, None), (2, "", "en"), (3, "123 456 !!", "de"), (4, "word " * 50_000, None), (4, "word " * 50_000, None),
        (None, "The house and the garden", "en"), (5, "Der Garten und das Haus", "de")]
 
