@@ -1,9 +1,9 @@
 """Exact top-k search: exhaustive term-at-a-time accumulation.
 
 Vectors are sparse rows of whole weights over their components, the terms.  For
-a group of candidates each term has its postings (candidate, weight); a query
-scatters its weight times each posting into a dense array of scores, term by
-term, and a partial selection keeps the best.
+a block of candidates each term has its postings (candidate, weight), made once for
+all queries; a query scatters its weight times each posting into a dense array of
+scores, term by term, and a partial selection keeps the best.
 """
 
 from __future__ import annotations
@@ -45,26 +45,30 @@ def _check_scores(asked: np.ndarray, given: np.ndarray, q_ids: np.ndarray, c_ids
 
 
 def _finder(k: int, scale: float):
-    def find(q_ids, q_matrix, c_ids, c_matrix) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        asked = weights(q_matrix, scale)
+    def prepare(c_ids: np.ndarray, c_matrix: np.ndarray, stored: bytes):
         given = weights(c_matrix, scale)
-        _check_scores(asked, given, q_ids, c_ids)
         postings = []
         for column in given.T:
             rows = np.flatnonzero(column)
             # a term that every candidate has needs no list of rows
             whole = len(rows) == len(column)
             postings.append((slice(None) if whole else rows, np.ascontiguousarray(column[rows])))
-        for at, query in enumerate(asked):
-            scores = np.zeros(len(c_ids), np.int64)
-            for term in np.flatnonzero(query):
-                rows, weight = postings[term]
-                scores[rows] += query[term] * weight
-            others = np.flatnonzero(c_ids != q_ids[at])
-            best = others[best_of(scores[others], c_ids[others], k)]
-            yield at, c_ids[best], scores[best]
-
-    return find
+
+        def find(q_ids: np.ndarray, q_matrix: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+            asked = weights(q_matrix, scale)
+            _check_scores(asked, given, q_ids, c_ids)
+            for at, query in enumerate(asked):
+                scores = np.zeros(len(c_ids), np.int64)
+                for term in np.flatnonzero(query):
+                    rows, weight = postings[term]
+                    scores[rows] += query[term] * weight
+                others = np.flatnonzero(c_ids != q_ids[at])
+                best = others[best_of(scores[others], c_ids[others], k)]
+                yield at, c_ids[best], scores[best]
+
+        return find
+
+    return prepare
 
 
 def top_k(

@@ -92,6 +92,61 @@ def test_recall_of_the_registered_query(spark):
     assert hits >= 0.9 * 5 * len(found)
 
 
+def test_blocks_are_bounded_and_sent_once(spark, monkeypatch):
+    from gridtally.llm import vectors
+
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.choice([0.0, 0.5, -0.25], 8).tolist()) for i in range(90)] + [(200, [1.0] * 8)] * 5000
+    monkeypatch.setattr(vectors, "BLOCK_BYTES", 8 * 8 * 20)
+    frame = table(spark, rows)
+    usable = vectors.usable_rows(frame, F.col("vec_id") % 10 == 0, "vec_id", "embedding")
+    # 20 vectors of 8 components make a block, and of 5000 copies those that an answer can hold are kept
+    assert vectors.block_counts(usable, 4096, 1024) == (-(-5090 // 20), -(-5009 // 20))
+    assert vectors.few_copies(usable, 4).count() == 94
+    found = topk.top_k(frame, F.col("vec_id") % 10 == 0, k=4).collect()
+    plain = [r for r in rows if r[0] != 200] + [(200, [1.0] * 8)] * 4
+    wanted = plain_top([r for r in plain if r[0] % 10 == 0 and r[0] != 200] + plain[-1:], lambda i: False, product, 4)
+    for q, a in dict((i, v) for i, v in plain if i % 10 == 0).items():
+        scored = sorted((-product(a, b), c) for c, b in plain if c != q)
+        wanted += [(q, n, c, -s) for n, (s, c) in enumerate(scored[:4], 1)]
+    assert sorted(map(tuple, found)) == sorted(wanted)
+
+
+def test_rounds_end_with_all_verified(spark):
+    # opposite and orthogonal vectors: no window holds them, the last round finds them
+    rows = [(0, [1.0, 0.0, 0.0]), (1, [-1.0, 0.0, 0.0]), (2, [0.0, 1.0, 0.0]), (3, [0.9, 0.1, 0.0])]
+    found = ann.nearest(table(spark, rows), F.col("vec_id") == 0, k=5).collect()
+    assert [(r["rank"], r.vec_id) for r in sorted(found, key=lambda r: r["rank"])] == [(1, 3), (2, 2), (3, 1)]
+    assert [round(r.score, 3) for r in sorted(found, key=lambda r: r["rank"])] == [0.994, 0.0, -1.0]
+
+
+def test_windows_verify_few_vectors():
+    """Where vectors have neighbours, few of all pairs are verified, and hardly a neighbour is missed."""
+    rng = np.random.default_rng(6)
+    centres = rng.normal(size=(300, 64))
+    matrix = np.repeat(centres, 10, axis=0) + 0.3 * rng.normal(size=(3000, 64))
+    ids = np.arange(len(matrix))
+    stored = ann.sorted_arrays(matrix)
+    order = np.frombuffer(stored, "<i4", ann.PROJECTIONS * len(ids)).reshape(ann.PROJECTIONS, -1)
+    assert all(sorted(own) == list(range(len(ids))) for own in order.tolist())
+    unit = matrix / np.linalg.norm(matrix, axis=1)[:, None]
+    left, verified, hits = list(range(0, 3000, 30)), 0, 0
+    asked = len(left)
+    for radius in ann.RADII:
+        find = ann._finder(3000, radius)(ids, matrix, stored)
+        still = []
+        for at, found, scores in find(ids[left], matrix[left]):
+            verified += len(found)
+            if len(found) >= 5 and np.sqrt(2 - 2 * scores[4]) <= radius:
+                plain = unit @ unit[left[at]]
+                plain[left[at]] = -2
+                hits += len(set(found[:5]) & set(np.argsort(-plain)[:5]))
+            else:
+                still.append(left[at])
+        left = still
+    assert not left and verified < 0.05 * asked * len(ids) and hits > 0.95 * 5 * asked
+
+
 @pytest.mark.parametrize("value", [1e13, 1e300])
 def test_top_k_is_exact_or_fails(spark, value):
     def best(rows):
