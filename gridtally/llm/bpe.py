@@ -1,10 +1,11 @@
 """Byte-level BPE: every distinct word of the corpus is encoded once.
 
 Documents are cut into pre-tokens.  A block of documents keeps its sequence of
-word numbers; its distinct words go, in groups dealt by the word's hash, through
-one shuffle in which equal words of all blocks meet and are encoded once.  The
-ids come back to the block, and the sequence puts them in place.  Rows of the
-shuffles carry a group of words, not one word, so that they stay compact.
+word numbers, which are the positions; its distinct words go, in groups dealt by
+the word's hash, through one shuffle in which equal words of all blocks meet and
+are encoded once.  The ids are joined back to the block, and the sequence puts them
+in place.  Rows of the shuffles carry a group of words, not one word, so that they
+stay compact; there are more groups where there is more text.
 """
 
 from __future__ import annotations
@@ -26,8 +27,8 @@ from .common import batch, pack_ints, runs, texts, unpack_ints
 
 #: Characters of one block; bounds the memory of a task.
 BLOCK_CHARS = 8_000_000
-#: Words whose ids a task remembers at most; beyond it starts to remember anew.
-KNOWN_WORDS = 1_000_000
+#: Characters of the corpus per group of words; bounds the words that a task remembers.
+GROUP_CHARS = 16_000_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -108,14 +109,16 @@ def _word_encoder(ranks_path: str, pattern: str):
             "own", pat_str=pattern, mergeable_ranks=read_ranks(ranks_path), special_tokens={}
         )._core_bpe
         known: dict[bytes, list[int]] = {}
+        now = None
         for rows in batches:
             out = []
-            for data in rows.column(2):
+            for part, data in zip(rows.column(1).to_pylist(), rows.column(2)):
+                # a word is in one group, and the rows of a group come one after the other
+                if part != now:
+                    now, known = part, {}
                 ids = []
                 for word in _unpack_words(data.as_py()):
                     if word not in known:
-                        if len(known) >= KNOWN_WORDS:
-                            known.clear()
                         known[word] = bpe.encode_single_piece(word)
                     ids.append(known[word])
                 counts = np.array([len(x) for x in ids], np.uint32)
@@ -177,18 +180,22 @@ def encode(
 
     A NULL or empty text has no ids; NULL and repeated document ids are kept
     row by row; an empty table gives an empty result.  Other columns are not
-    read.  ``groups`` is the number of word groups that are dealt out, by
-    default the session's number of shuffle partitions.
+    read.  ``groups`` is the number of word groups that are dealt out; by default it
+    grows with the corpus, one per ``GROUP_CHARS``, and no word is encoded twice.
     """
     spark = docs.sparkSession
-    groups = groups or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if groups is None:
+        chars = docs.agg(F.sum(F.length(F.col(text_col)).cast("long"))).first()[0] or 0
+        groups = max(partitions, -(-chars // GROUP_CHARS))
     blocks = docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(
         _cutter(pattern, groups, block_chars), "block long, parts array<binary>"
     )
     # one shuffle for both uses; the plan reuses it
     dealt = blocks.repartition("block")
     parts = dealt.select("block", F.posexplode("parts").alias("part", "data"))
-    words = parts.where((F.col("part") > 0) & (F.length("data") > 0)).repartition("part")
+    words = parts.where((F.col("part") > 0) & (F.length("data") > 0))
+    words = words.repartition(min(groups, 8 * partitions), "part").sortWithinPartitions("part")
     ids = (
         words.mapInArrow(
             _word_encoder(ranks_path, pattern), "block long, part int, data binary"
@@ -224,9 +231,8 @@ def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
             decoded = []
             for at in range(len(column)):
                 ids = column[at].values
-                decoded.append(
-                    b"" if ids is None else b"".join([tokens[i] for i in ids.to_pylist()])
-                )
+                own = [] if ids is None else ids.to_numpy(zero_copy_only=False).tolist()
+                decoded.append(b"".join(map(tokens.__getitem__, own)))
             yield pa.RecordBatch.from_arrays(
                 [*rows.columns, pa.array(decoded, pa.binary())], names=[*fields, "decoded"]
             )

@@ -7,7 +7,9 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
+import regex
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -54,6 +56,36 @@ def test_ids_equal_the_library_and_decode_to_the_text(odd, block_chars):
     assert sorted(((r.doc_id, r.ids, bytes(r.decoded)) for r in found), key=key) == sorted(wanted, key=key)
 
 
+def test_no_word_is_encoded_twice(spark, monkeypatch):
+    """All words of all blocks through the tasks' own code, with a count of what is encoded."""
+    texts = [" ".join(f"word{(i * j) % 97}" for j in range(200)) for i in range(40)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    blocks = docs.mapInArrow(bpe._cutter(public_tokenizers.PATTERN, 6, 3_000), "block long, parts array<binary>").collect()
+    rows = sorted(
+        (part, r.block, bytes(data)) for r in blocks for part, data in enumerate(r.parts) if part and len(data)
+    )
+    encoded = []
+
+    class Counted:
+        def __init__(self, *args, **kwargs):
+            self._core_bpe = self
+
+        def encode_single_piece(self, word):
+            encoded.append(word)
+            return [0]
+
+    monkeypatch.setattr(bpe.tiktoken, "Encoding", Counted)
+    batches = [
+        pa.RecordBatch.from_arrays(
+            [pa.array([r[1] for r in rows[at : at + 7]]), pa.array([r[0] for r in rows[at : at + 7]], pa.int32()),
+             pa.array([r[2] for r in rows[at : at + 7]], pa.binary())], names=["block", "part", "data"])
+        for at in range(0, len(rows), 7)
+    ]
+    list(bpe._word_encoder(RANKS, public_tokenizers.PATTERN)(iter(batches)))
+    words = {w.encode() for t in texts for w in regex.findall(public_tokenizers.PATTERN, t)}
+    assert len(blocks) > 4 and sorted(encoded) == sorted(words)
+
+
 def test_encoding_of_no_rows(spark, odd):
     assert bpe.encode(odd.limit(0), RANKS, public_tokenizers.PATTERN).collect() == []
 
