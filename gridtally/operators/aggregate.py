@@ -18,9 +18,16 @@ def best_prediction() -> Column:
     return first_present(F.col("predicted_within"), F.col("predicted_nearest"))
 
 
+#: More values than this are no species.
+MOST_SPECIES = 10_000
+
+
 def _species_of(panel: DataFrame) -> list:
     """The species of a panel, which are as few as its value columns were."""
-    return [r[0] for r in panel.select("species").distinct().collect()]
+    found = panel.select("species").distinct().limit(MOST_SPECIES + 1).collect()
+    if len(found) > MOST_SPECIES:
+        raise ValueError(f"the panel has more than {MOST_SPECIES} species; name those that are wanted")
+    return [r[0] for r in found]
 
 
 def link_table(

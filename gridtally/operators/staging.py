@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -28,7 +29,14 @@ def checkpoint_folder(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir() or folder
 
 
-_scopes: list[list[str]] = []
+class _Scopes(threading.local):
+    """Open scopes of a thread: two runs in one session do not remove each other's tables."""
+
+    def __init__(self) -> None:
+        self.open: list[list[str]] = []
+
+
+_scopes = _Scopes()
 
 
 @contextmanager
@@ -38,11 +46,11 @@ def staging_scope(spark: SparkSession) -> Iterator[None]:
     For callers that have written their results by then; a result that is still
     to be computed needs its staged tables.
     """
-    _scopes.append([])
+    _scopes.open.append([])
     try:
         yield
     finally:
-        for path in _scopes.pop():
+        for path in _scopes.open.pop():
             where = spark._jvm.org.apache.hadoop.fs.Path(path)
             where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
@@ -54,7 +62,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{checkpoint_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    if _scopes:
-        _scopes[-1].append(path)
+    if _scopes.open:
+        _scopes.open[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
