@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from .common import batch, pack_ints, runs, texts, unpack_ints
 
 #: Characters of one block; bounds the memory of a task.
-BLOCK_CHARS = 8_000_000
+BLOCK_CHARS = 6_000_000
 #: Characters of the corpus per group of words; bounds the words that a task remembers.
 GROUP_CHARS = 16_000_000
 
