@@ -10,11 +10,14 @@
 3. Candidate pairs are never listed.  Classes that keys connect form a region;
    a region is cut into blocks of bounded size, and links are confirmed on full
    sets block by block, then between blocks.  Two classes that are already
-   connected need no comparison, which leaves the components as they are.
+   connected need no comparison, which leaves the components as they are.  Blocks
+   of a large region hold sets of one range of sizes; only neighbouring ranges can
+   hold links.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,8 +35,12 @@ CHUNKS = 10
 CHUNK = 6
 #: Classes that are compared in one task at once.
 BLOCK = 512
+#: Bytes of the sets in a block, unless one set alone has more.
+BLOCK_BYTES = 1 << 26
 #: Words whose hashes a task remembers at most.
 KNOWN_WORDS = 1_000_000
+#: More than the blocks of one range of sizes in a region.
+_PLACES = 1 << 40
 
 _MIX = np.random.default_rng(20240501)
 _WORD_FACTORS = _MIX.integers(0, 2**63, WORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -185,6 +192,13 @@ def link(sets: list[np.ndarray], labels: list[int], percent: int) -> list[int]:
     return [names[forest.find(place[label])] for label in labels]
 
 
+def _grade(percent: int) -> Column:
+    """Range of sizes of a set: linked sets are in the same range or in neighbouring ones."""
+    # a little wider than the largest ratio of linked sizes, so that rounding cannot part them
+    step = 1.000001 * math.log(100 / min(max(percent, 1), 99))
+    return F.floor(F.log("n_shingles") / step)
+
+
 def _linker(percent: int):
     """Rows sorted by (region, piece) come in; (rep, old label, new label) go out."""
     schema = pa.schema([("rep", pa.int64()), ("label", pa.int64()), ("merged", pa.int64())])
@@ -236,8 +250,9 @@ def class_components(
 ) -> DataFrame:
     """(rep, label) of the classes that share a key with another class.
 
-    ``classes`` has rep, set_key, first_id and signature: a number, what tells equal
-    sets, and the smallest id among the ``docs`` (doc_id, text) with this set.
+    ``classes`` has rep, set_key, first_id, n_shingles and signature: a number, what
+    tells equal sets, the smallest id among the ``docs`` (doc_id, text) with this set,
+    and its size.
     """
     keys = classes.select("rep", F.explode(chunk_keys()).alias("key"))
     hubs = (
@@ -251,15 +266,27 @@ def class_components(
     regions = components(shared, "rep", "hub").withColumnsRenamed(
         {"node": "rep", "component": "region"}
     )
+    sized = stage(regions.join(classes.select("rep", "set_key", "first_id", "n_shingles"), "rep"), "sized")
     # staged like the keys: a large region is split by the join
-    sizes = stage(regions.groupBy("region").agg(F.count(F.lit(1)).alias("n")), "region-sizes")
-    placed = regions.join(sizes, "region").join(classes.select("rep", "set_key", "first_id"), "rep").select(
+    weight = 8 * F.sum("n_shingles")
+    wide = (F.count(F.lit(1)) > block) | (weight > BLOCK_BYTES)
+    regions = stage(sized.groupBy("region").agg(wide.alias("wide")), "region-sizes")
+    # a small region is one block, a large one has blocks of every range of sizes
+    sized = sized.join(regions, "region").withColumn(
+        "grade", F.when(F.col("wide"), _grade(percent)).otherwise(0)
+    )
+    blocks = F.ceil(F.greatest(F.count(F.lit(1)) / block, weight / BLOCK_BYTES))
+    grades = stage(sized.where("wide").groupBy("region", "grade").agg(blocks.alias("blocks")), "grade-sizes")
+    placed = sized.join(grades, ["region", "grade"], "left").select(
         "rep",
         "set_key",
         "first_id",
         "region",
-        F.ceil(F.col("n") / block).alias("blocks"),
-        F.pmod(F.xxhash64("rep"), F.ceil(F.col("n") / block)).alias("place"),
+        "wide",
+        "grade",
+        F.when(F.col("wide"), F.col("grade") * _PLACES + F.pmod(F.xxhash64("rep"), "blocks"))
+        .otherwise(0)
+        .alias("place"),
     )
     placed = stage(placed, "placed")
     named = placed.select(F.col("first_id").alias("doc_id"))
@@ -276,15 +303,15 @@ def class_components(
     )
     inner = _compare(members.withColumn("piece", F.col("place")), percent)
     labels = stage(
-        members.select("rep", "region", "blocks", "place").join(
+        members.select("rep", "region", "wide", "grade", "place").join(
             inner.select("rep", F.col("merged").alias("label")), "rep", "left"
         ).withColumn("label", F.coalesce("label", "rep")),
         "labels",
     )
-    wide = labels.where("blocks > 1")
+    wide = labels.where("wide")
     if not wide.limit(1).count():
         return labels.select("rep", "label")
-    shingles = members.where("blocks > 1").select("rep", "shingles")
+    shingles = members.where("wide").select("rep", "shingles")
 
     # one class of every label and block first: most labels of a region meet here
     first = wide.groupBy("region", "place", "label").agg(F.min("rep").alias("rep"))
@@ -302,20 +329,21 @@ def class_components(
         _relabel(wide, pairs.withColumnsRenamed({"node": "label", "component": "merged"})), "wide"
     )
 
-    # then every two blocks that hold classes with a common key and different labels
+    # then every two blocks that hold classes with a common key, different labels and
+    # sizes that allow links
     marks = (
         shared.select("key", "rep")
-        .join(wide.select("rep", "region", "place", "label"), "rep")
-        .groupBy("key", "region", "place")
+        .join(wide.select("rep", "region", "grade", "place", "label"), "rep")
+        .groupBy("key", "region", "grade", "place")
         .agg(F.min("label").alias("low"), F.max("label").alias("high"))
     )
     marks = stage(marks, "marks")
     other = marks.select(
-        "key", F.col("place").alias("place2"), F.col("low").alias("low2"), F.col("high").alias("high2")
+        "key", *[F.col(c).alias(f"{c}2") for c in ("grade", "place", "low", "high")]
     )
     crossing = (
         marks.join(other, "key")
-        .where("place < place2 AND (low <> high OR low2 <> high2 OR low <> low2)")
+        .where("place < place2 AND grade2 - grade <= 1 AND (low <> high OR low2 <> high2 OR low <> low2)")
         .select("region", "place", "place2")
         .distinct()
     )
@@ -327,7 +355,7 @@ def class_components(
     ).where("label <> merged")
     pairs = components(merged.select("label", "merged"), "label", "merged")
     wide = _relabel(wide, pairs.withColumnsRenamed({"node": "label", "component": "merged"}))
-    return labels.where("blocks = 1").select("rep", "label").unionByName(wide.select("rep", "label"))
+    return labels.where("NOT wide").select("rep", "label").unionByName(wide.select("rep", "label"))
 
 
 def _grouped(docs: DataFrame, percent: int, block: int) -> DataFrame:
@@ -346,7 +374,10 @@ def _grouped(docs: DataFrame, percent: int, block: int) -> DataFrame:
     # numbered, since an id may name several texts; staged, so that the numbers stay
     classes = stage(
         linked.groupBy("set_key")
-        .agg(F.min("doc_id").alias("first_id"), F.first("signature").alias("signature"))
+        .agg(
+            F.min("doc_id").alias("first_id"),
+            *[F.first(c).alias(c) for c in ("n_shingles", "signature")],
+        )
         .withColumn("rep", F.monotonically_increasing_id()),
         "classes",
     )

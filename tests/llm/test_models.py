@@ -68,6 +68,32 @@ def test_components_equal_brute_force(spark, block):
     assert all(r.kept == (r.doc_id == r.component_id) for r in found)
 
 
+@pytest.mark.parametrize(("percent", "block"), [(80, 512), (85, 3), (100, 3)])
+def test_links_between_ranges_of_sizes(spark, monkeypatch, percent, block):
+    rng = random.Random(4)
+    words = [f"w{rng.random()}" for _ in range(700)]
+    # texts that grow by 3 to 25 %: one region of many sizes, whose links cross the ranges
+    rows, n = [], 40
+    while n < len(words):
+        rows.append((len(rows) + 3, " ".join(words[:n])))
+        n = int(n * rng.choice([1.03, 1.08, 1.15, 1.25]))
+    rows += [(100 + k, text + " end") for k, text in rows]
+    docs = spark.createDataFrame(rows[::-1], "doc_id long, text string")
+    wanted = brute_force(rows, percent)
+    monkeypatch.setattr(neardup, "BLOCK_BYTES", 4096)  # with 512 rows a block ends by its bytes
+    found = neardup.near_duplicates(docs, percent=percent, block=block).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == wanted
+
+
+def test_ranges_of_sizes_that_may_link(spark):
+    for percent in (50, 80, 85, 90, 99):
+        sizes = [(n, -(-n * percent // 100)) for n in [*range(1, 400), 9_999, 123_456, 10**7]]
+        far = spark.createDataFrame(sizes, "large long, small long").select(
+            F.col("large").alias("n_shingles"), "small"
+        ).withColumn("a", neardup._grade(percent)).withColumn("n_shingles", F.col("small"))
+        assert far.withColumn("b", neardup._grade(percent)).where("a - b > 1 OR a < b").count() == 0
+
+
 def test_odd_rows_of_near_duplicates(spark):
     long = " ".join(f"w{i}" for i in range(30_000))
     rows = [(5, long), (5, long), (3, long + " end"), (None, long), (None, None), (9, None)]
