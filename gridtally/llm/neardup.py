@@ -458,8 +458,12 @@ def drop_near_duplicates(
     own_id, own_set, own_text, whole = free_names(docs, "_doc_id", "_set_key", "_text_key", "_row")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     first = _grouped(texts, percent, block).where("first AND doc_id IS NOT NULL")
-    rows = first.select(
-        F.col("doc_id").alias(own_id), F.col("set_key").alias(own_set), F.col("text_key").alias(own_text)
+    # staged, so that no aggregate keeps the join by set from splitting the rows of many copies
+    rows = stage(
+        first.select(
+            F.col("doc_id").alias(own_id), F.col("set_key").alias(own_set), F.col("text_key").alias(own_text)
+        ),
+        "first-rows",
     )
     counts = stage(
         rows.groupBy(own_id, own_set).agg(F.min(own_text).alias(own_text), F.count(F.lit(1)).alias("_n")), "kept"
