@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geoid import LEVEL_LENGTHS, PARENT_LEVELS, area_prefix, parent_codes
 from ..functions.nulls import first_present, n_rows
 from .grid import coordinate_key, require_unique_places
-from .skew import hot_keys, spread_join
+from .skew import hot_keys, merged, spread_join
 
 
 def best_prediction() -> Column:
@@ -18,6 +18,11 @@ def best_prediction() -> Column:
     return first_present(F.col("predicted_within"), F.col("predicted_nearest"))
 
 
+#: Links that one task joins and sums up, on average, where there are many of them.
+LINKS_PER_TASK = 250_000
+#: Up to so many tasks Spark joins partitions as it likes.
+FEW_TASKS = 16
+
 #: More values than this are no species.
 MOST_SPECIES = 10_000
 
@@ -69,6 +74,7 @@ def aggregate_blocks(
     by, block = list(by), list(block)
     cell = [*by, "gridcell_idx"]
     links = link_table(within, nearest, cell, block)
+    copies = 1
     hot = hot_keys(links.select(*cell), cell)
     keys = cell
     if grid is not None:
@@ -84,34 +90,54 @@ def aggregate_blocks(
         extra = ["species"]
         keys = [*keys, *extra]
         names = list(species) if species is not None else _species_of(panel)
+        copies = len(names)
         links = links.withColumn("species", F.explode(F.array(*[F.lit(s) for s in names])))
         if species is not None:
             panel = panel.where(F.col("species").isin(names))
     values = panel.select(*keys, "year", F.col("predicted").cast("double").alias("predicted"))
-    found = spread_join(links, values, keys, spread_by=block, how="left", hot=hot)
-
+    tasks = within.count() + nearest.count()
+    tasks = -(-tasks * copies // LINKS_PER_TASK)
+    usual = int(panel.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = spread_join(
+        links, values, keys, spread_by=block, how="left", hot=hot,
+        partitions=max(tasks, usual) if tasks > FEW_TASKS else None,
+    )
     return summarise_links(found, [*by, *extra, *block, "year"])
 
 
 def summarise_links(found: DataFrame, group: Sequence[str]) -> DataFrame:
-    """Block values from links with predictions: ``group, _near, predicted, distance``."""
+    """Block values from links with predictions: ``group, _near, predicted, distance``.
+
+    Links are summed up by plain sums and counts, equal ones of the nearest join as
+    one row with their number; only these few rows of a group are laid side by side.
+    """
+    group = list(group)
     inside = F.when(~F.col("_near"), F.col("predicted"))
-    n_inside = F.count_if(~F.col("_near"))
-    closest = F.when(F.col("_near"), F.struct("predicted", "distance"))
+    partial = found.groupBy(
+        *group,
+        "_near",
+        F.when(F.col("_near"), F.col("predicted")).alias("_value"),
+        F.when(F.col("_near"), F.col("distance")).alias("_distance"),
+    ).agg(
+        F.sum(inside).alias("_sum"), F.count(inside).alias("_known"), F.count(F.lit(1)).alias("_rows")
+    )
+    whole = Window.partitionBy(*group)
+    n_inside = F.sum(F.when(~F.col("_near"), F.col("_rows"))).over(whole)
+    known = F.sum("_known").over(whole)
     return (
-        found.groupBy(*group)
-        .agg(
-            F.when(F.count(inside) == n_inside, F.avg(inside)).alias("predicted_within"),
-            F.when(n_inside > 0, n_inside).alias("n_gridcells_within"),
-            F.collect_list(closest).alias("_closest"),
+        partial.withColumns(
+            {"_n_inside": n_inside, "_n_known": known, "_total": F.sum("_sum").over(whole)}
         )
-        .withColumn("_closest", F.explode("_closest"))
+        .where("_near")
+        .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_rows"))))
         .select(
             *group,
-            "predicted_within",
-            "n_gridcells_within",
-            F.col("_closest.predicted").alias("predicted_nearest"),
-            F.col("_closest.distance").alias("distance_nearest"),
+            F.when(F.col("_n_known") == F.col("_n_inside"), F.try_divide("_total", "_n_known")).alias(
+                "predicted_within"
+            ),
+            F.col("_n_inside").alias("n_gridcells_within"),
+            F.col("_value").alias("predicted_nearest"),
+            F.col("_distance").alias("distance_nearest"),
         )
     )
 
@@ -148,7 +174,7 @@ def aggregate_parents(
     """
     by, block = list(by), list(block)
     people = block_class.select(*block, "population")
-    rows = block_values.join(people, block, "left").withColumn("predicted", best_prediction())
+    rows = block_values.join(merged(people), block, "left").withColumn("predicted", best_prediction())
     weighted = F.col("predicted") * F.col("population")
     sums = {
         "_pw": F.sum(weighted),

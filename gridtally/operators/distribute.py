@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .aggregate import best_prediction
+from .skew import merged
 
 
 def distribute(
@@ -27,10 +28,10 @@ def distribute(
     by, area = list(by), list(area)
     if urban_only:
         urban = classification.where(F.col("urban") == 1).select(*area)
-        values = values.join(urban, area, "left_semi")
+        values = values.join(merged(urban), area, "left_semi")
     if "predicted_within" in values.columns:
         values = values.withColumn("predicted", best_prediction())
     out = values.select(*dict.fromkeys([*by, *area, "year", "predicted"]))
     if with_classification:
-        out = out.join(classification.select(*area, *with_classification), area, "left")
+        out = out.join(merged(classification.select(*area, *with_classification)), area, "left")
     return out

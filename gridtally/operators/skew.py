@@ -41,6 +41,16 @@ def hot_from_counts(
     )
 
 
+def merged(right: DataFrame) -> DataFrame:
+    """The right side of a join that is sorted and merged, never broadcast.
+
+    For tables that grow with the data: Spark's estimate of an expression over a
+    file is the file's compressed size, which knows nothing of rows that are made
+    or unpacked on the way, and a broadcast passes through the driver.
+    """
+    return right.hint("merge")
+
+
 def _pieces(df: DataFrame, hot: DataFrame, keys: Sequence[str], out: str) -> DataFrame:
     """Add the number of pieces of each row's key, 1 for ordinary keys.
 
@@ -59,6 +69,7 @@ def spread_join(
     hot: DataFrame | None = None,
     hot_right: DataFrame | None = None,
     spread_right_by: Sequence[str] = (),
+    partitions: int | None = None,
 ) -> DataFrame:
     """Equi-join whose left side may have hot keys.
 
@@ -67,6 +78,10 @@ def spread_join(
     usual.  Left rows with a NULL key never match and are spread too, instead
     of meeting in one task of an outer join.
 
+    The right side may be of any size and is not broadcast.
+
+    ``partitions`` is the number of tasks, for callers that know how much the join makes.
+
     An inner join may also name the hot keys of the right side, which are
     spread by ``spread_right_by`` in the same way.
     """
@@ -93,9 +108,11 @@ def spread_join(
             "_salt2", F.pmod(digest(spread_right_by), F.col("_k")).cast("int")
         )
         salted, copied = salted.drop("_k"), copied.drop("_k")
+    if partitions is not None:
+        salted = salted.repartition(partitions, *on)
     renamed = {k: f"_r_{k}" for k in on}
     matched = reduce(lambda a, b: a & b, [F.col(k) == F.col(r) for k, r in renamed.items()])
-    joined = salted.join(copied.withColumnsRenamed(renamed), matched, how)
+    joined = salted.join(merged(copied.withColumnsRenamed(renamed)), matched, how)
     return joined.drop("_salt", "_salt2", *renamed.values())
 
 

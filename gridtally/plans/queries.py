@@ -22,6 +22,7 @@ from ..operators.maintained import change_sums, parent_sums, parents_of_sums, re
 from ..operators.nearest import nearest_k, nearest_points
 from ..operators.regions import polygon_centroids, polygon_validity, regional_subset
 from ..operators.repair import polygon_repair
+from ..operators.skew import merged
 from ..operators.staging import checkpoint_folder, stage
 from ..operators.within import points_within
 from ..sources import readers, writers
@@ -85,7 +86,7 @@ def parent_update(spark, folder):
     """Parent values kept up to date: blocks come, go, change and lose their value."""
     path = f"{_scratch(spark)}/sums"
     marks = views.blocks(spark, folder).select("q", "geoid", "population")
-    rows = stage(_block_values(spark, folder).join(marks, "geoid"), "block-rows")
+    rows = stage(_block_values(spark, folder).join(merged(marks), "geoid"), "block-rows")
     late, gone, lost, moved = (F.expr(e) for e in ("q % 19 = 3", "q % 17 = 2", "q % 23 = 4", "q % 13 = 1"))
     by = ["species"]
     write_sums(parent_sums(rows.where(~late), by=by), path)
