@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from .staging import stage
 
 COPIES_PER_ROW = 10_000
+#: Rows that one task sorts and numbers, on average.
+ROWS_PER_RANGE = 250_000
 
 
 def _repeat(df: DataFrame, n: str, out: str) -> DataFrame:
@@ -44,13 +46,16 @@ def number_rows(
     The rows are sorted by ranges over all groups together; each range adds the
     number of rows that earlier ranges hold for the group.  Rows equal in all
     columns are counted first and written out again at the end, so neither a
-    huge group nor a row with many copies ends up in one task.
+    huge group nor a row with many copies ends up in one task.  The number of ranges
+    follows from the number of rows, so that what a task sorts and holds is bounded
+    whatever their files or shuffles are compressed to.
     """
     group, order = list(group), list(order)
     cols = [*group, *[c for c in order if c not in group]]
+    ranges = max(1, -(-df.count() // ROWS_PER_RANGE))
     runs = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
     ranged = stage(
-        runs.repartitionByRange(*cols)
+        runs.repartitionByRange(ranges, *cols)
         .sortWithinPartitions(*cols)
         .withColumn("_range", F.spark_partition_id()),
         "numbering",
@@ -68,7 +73,7 @@ def number_rows(
     above = Window.partitionBy("_range", *group).orderBy(*cols).rowsBetween(
         Window.unboundedPreceding, -1
     )
-    placed = ranged.withColumn("_above", F.coalesce(F.sum("_n").over(above), F.lit(0)))
+    placed = ranged.repartition(ranges, "_range", *group).withColumn("_above", F.coalesce(F.sum("_n").over(above), F.lit(0)))
     same = [F.col("_range") == F.col("_r")]
     same += [F.col(c).eqNullSafe(F.col(f"_g{i}")) for i, c in enumerate(group)]
     placed = placed.join(offsets, reduce(lambda a, b: a & b, same))

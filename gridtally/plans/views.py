@@ -16,13 +16,27 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+#: Rows of a table from which one task makes geometry or a panel.
+ROWS_PER_TASK = 20_000
+
+
+def spread_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table whose rows each make much more than was read, dealt to tasks by number.
+
+    A compressed file of a few MB is read by one task, whatever its rows grow into.
+    """
+    rows = table(spark, folder, name)
+    tasks = -(-rows.count() // ROWS_PER_TASK)
+    return rows.repartition(tasks) if tasks > 1 else rows
+
+
 def _diamond(x, y, hx, hy):
     return F.array(G.ring((x + hx, y), (x, y + hy), (x - hx, y), (x, y - hy)))
 
 
 def blocks(spark: SparkSession, folder: str) -> DataFrame:
     """One diamond-shaped block per customer."""
-    rows = table(spark, folder, "customer").selectExpr(
+    rows = spread_table(spark, folder, "customer").selectExpr(
         "c_custkey AS q",
         """concat(lpad(CAST(c_custkey % 56 + 1 AS STRING), 2, '0'),
                   lpad(CAST((c_custkey div 56) % 2 + 1 AS STRING), 3, '0'),
@@ -114,7 +128,7 @@ def polygon_texts(spark: SparkSession, folder: str) -> DataFrame:
 
 def predictions(spark: SparkSession, folder: str) -> DataFrame:
     """Two species in five years on every grid point."""
-    cells = table(spark, folder, "part").selectExpr(
+    cells = spread_table(spark, folder, "part").selectExpr(
         "p_partkey AS p",
         "CASE WHEN p_partkey % 50 < 17 THEN 'NE1' WHEN p_partkey % 50 < 34 THEN 'MA2' "
         "ELSE 'P9' END AS region",
