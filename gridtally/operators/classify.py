@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.geoid import PARENT_LEVELS, area_prefix, state_of
 from ..functions.nulls import n_rows
 from .aggregate import finest, roll_up
+from .skew import merged
 
 URBAN_CUTOFF = 0.75  # fixed value
 
@@ -39,7 +40,7 @@ def classify_blocks(
     block = list(block)
     out = mark(blocks.select(*block), urban, block, "urban")
     out = mark(out, fully_predicted, block, "fully_predicted")
-    return out.join(population.select(*block, "population"), block, "left")
+    return out.join(merged(population.select(*block, "population")), block, "left")
 
 
 def classify_parents(
