@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.nulls import nan_to_null
 from .aggregate import link_table, summarise_links
 from .grid import coordinate_key, require_unique_places
-from .skew import hot_keys, spread_join
+from .skew import hot_keys, merged, spread_join
 from .staging import stage
 
 #: Columns of the place in the stored tables.
@@ -114,7 +114,7 @@ def store_links(
 def _match(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
     renamed = {k: f"_r_{k}" for k in keys}
     same: Column = reduce(lambda a, b: a & b, [F.col(k) == F.col(r) for k, r in renamed.items()])
-    return left.join(right.withColumnsRenamed(renamed), same, how).drop(*renamed.values())
+    return left.join(merged(right.withColumnsRenamed(renamed)), same, how).drop(*renamed.values())
 
 
 def aggregate_stored(panel: DataFrame, links: StoredLinks, species: Sequence[str]) -> DataFrame:
@@ -138,7 +138,7 @@ def aggregate_stored(panel: DataFrame, links: StoredLinks, species: Sequence[str
 
     def present(rows: DataFrame) -> DataFrame:
         # a set of at most as many values as there are species
-        return rows.groupBy(*keys).agg(F.collect_set("species").alias("_there"))
+        return rows.select(*keys, "species").distinct().groupBy(*keys).agg(F.collect_set("species").alias("_there"))
 
     found = joined(
         links.ordinary, panel, present(panel), lambda a, b, how="inner": _match(a, b, keys, how)
