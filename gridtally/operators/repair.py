@@ -264,6 +264,8 @@ def polygon_repair(polygons: DataFrame, rings: str = "rings") -> DataFrame:
         .agg(F.collect_list(F.struct("px", "py", "qx", "qy")).alias("pieces"))
         .mapInArrow(_tracer(key), f"{key} long, _traced {G.RINGS_TYPE}")
     )
+    # staged: callers that use the polygons more than once do not cut them anew
+    traced = stage(traced, "traced")
     again = rows.join(wrong.withColumn("_wrong", F.lit(True)), key, "left").join(traced, key, "left")
     mended = F.when(F.col("_wrong"), F.col("_traced")).otherwise(F.col(rings))
     return again.withColumn(rings, mended).drop(key, "_wrong", "_traced").select(*polygons.columns)
