@@ -10,7 +10,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Bits of the filter of :func:`likely`: 8 MB at most, whatever the size of the data.
+#: Bits of the filter of :func:`parted`: 8 MB at most, whatever the size of the data.
 FILTER_BITS = 1 << 26
 _ROW_BITS = 1 << 15
 
@@ -30,27 +30,33 @@ def free_names(df: DataFrame, *wanted: str) -> list[str]:
     return names
 
 
-def likely(df: DataFrame, column: str, values: DataFrame) -> DataFrame:
-    """The rows whose integer ``column`` may be in the only column of ``values``; none of those is lost.
+def parted(df: DataFrame, column: str, values: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows whose integer ``column`` may be in the only column of ``values``, and those where it is not.
 
-    A bitmap of fixed size is broadcast.  It saves shuffling rows that a join
-    with ``values`` would drop; with ever more values it only lets more pass.
+    No row whose value is among them is in the second part.  A bitmap of fixed size is
+    broadcast.  It saves shuffling rows that a join with ``values`` would drop, or keep
+    as they are; with ever more values it only lets more pass into the first part.
     """
+    row, bitmap = free_names(df, "_row", "_bitmap")
 
     def place(name: str) -> Column:
         return F.pmod(F.xxhash64(F.col(name).cast("long")), F.lit(FILTER_BITS))
 
     bits = (
         values.select(place(values.columns[0]).alias("_bit"))
-        .groupBy(F.floor(F.col("_bit") / _ROW_BITS).alias("_row"))
-        .agg(F.bitmap_construct_agg(F.col("_bit") % _ROW_BITS).alias("_bitmap"))
+        .groupBy(F.floor(F.col("_bit") / _ROW_BITS).alias(row))
+        .agg(F.bitmap_construct_agg(F.col("_bit") % _ROW_BITS).alias(bitmap))
     )
     bit = place(column) % _ROW_BITS
-    byte = F.substring("_bitmap", (F.floor(bit / 8) + 1).cast("int"), F.lit(1))
+    byte = F.substring(bitmap, (F.floor(bit / 8) + 1).cast("int"), F.lit(1))
     is_set = F.getbit(F.conv(F.hex(byte), 16, 10).cast("long"), (bit % 8).cast("int")) == 1
-    return df.join(
-        F.broadcast(bits), (F.floor(place(column) / _ROW_BITS) == F.col("_row")) & is_set, "left_semi"
-    )
+    found = (F.floor(place(column) / _ROW_BITS) == F.col(row)) & is_set
+    return df.join(F.broadcast(bits), found, "left_semi"), df.join(F.broadcast(bits), found, "left_anti")
+
+
+def likely(df: DataFrame, column: str, values: DataFrame) -> DataFrame:
+    """The rows whose integer ``column`` may be in the only column of ``values``; none of those is lost."""
+    return parted(df, column, values)[0]
 
 
 def share_of_hash(hashed: Column, wanted: Column | int, total: Column | int) -> Column:

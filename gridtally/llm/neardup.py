@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.staging import stage
-from .common import batch, free_names, likely, raw_texts
+from .common import batch, free_names, likely, parted, raw_texts
 from .components import components
 
 WORDS = 5
@@ -457,28 +457,38 @@ def drop_near_duplicates(
     """
     own_id, own_set, own_text, whole = free_names(docs, "_doc_id", "_set_key", "_text_key", "_row")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    first = _grouped(texts, percent, block).where("first AND doc_id IS NOT NULL")
+    found = _grouped(texts, percent, block).where("doc_id IS NOT NULL")
     # staged, so that no aggregate keeps the join by set from splitting the rows of many copies
     rows = stage(
-        first.select(
-            F.col("doc_id").alias(own_id), F.col("set_key").alias(own_set), F.col("text_key").alias(own_text)
+        found.select(
+            F.col("doc_id").alias(own_id),
+            F.col("set_key").alias(own_set),
+            F.col("text_key").alias(own_text),
+            "first",
         ),
-        "first-rows",
-    )
-    counts = stage(
-        rows.groupBy(own_id, own_set).agg(F.min(own_text).alias(own_text), F.count(F.lit(1)).alias("_n")), "kept"
+        "own-rows",
     )
+    first = rows.where("first").drop("first")
+    counts = first.groupBy(own_id, own_set).agg(F.count(F.lit(1)).alias("_n"))
+    many = stage(counts.where("_n > 1").select(own_id, own_set), "many")
+    repeated = not many.isEmpty()
+    away = rows.where("NOT first").select(own_id, own_text)
+    if repeated:
+        members = stage(first.distinct().join(many, [own_id, own_set], "left_semi"), "repeated")
+        away = away.unionByName(members.select(own_id, own_text))
+    away = stage(away.distinct(), "away")
+    # only rows that may go are shuffled with their texts; most stay where they are
     same = (F.col(id_col).cast("long") == F.col(own_id)) & (F.xxhash64(F.col(text_col)) == F.col(own_text))
-    kept = docs.join(counts.where("_n = 1").select(own_id, own_text), same, "left_semi")
-    kept = kept.unionByName(docs.where(F.col(id_col).cast("long").isNull()))
-    many = counts.where("_n > 1").select(own_id, own_set)
-    if many.isEmpty():
+    no_id = F.col(id_col).cast("long").isNull()
+    doubtful, sure = parted(docs.where(~no_id), id_col, away.select(own_id))
+    kept = sure.unionByName(doubtful.join(away, same, "left_anti")).unionByName(docs.where(no_id))
+    if not repeated:
         return kept
     # of the rows of one id and set the smallest stays; partial minima are formed before the shuffle
-    members = stage(rows.distinct().join(many, [own_id, own_set], "left_semi"), "repeated")
     order = [text_col, *[c for c in docs.columns if c != text_col]]
     picked = (
-        docs.join(members, same)
+        likely(docs, id_col, members.select(own_id))
+        .join(members, same)
         .groupBy(own_id, own_set)
         .agg(F.min(F.struct(*[F.col(c) for c in order])).alias(whole))
         .select(*[F.col(whole)[c].alias(c) for c in docs.columns])

@@ -136,6 +136,44 @@ def test_rows_that_stay(spark):
     assert neardup.drop_near_duplicates(docs.limit(0)).collect() == []
 
 
+def shuffled_rows(df):
+    """Records written by the shuffles of the finished plan, per expressions that they are dealt by."""
+    df.collect()
+    found = []
+
+    def walk(node):
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            return walk(node.executedPlan())
+        if name.endswith("QueryStage"):
+            return walk(node.plan())
+        if name == "Exchange":
+            records = node.metrics().apply("shuffleRecordsWritten").value()
+            found.append((node.outputPartitioning().toString(), records))
+        children = node.children()
+        for i in range(children.size()):
+            walk(children.apply(i))
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return found
+
+
+def test_texts_that_stay_are_not_shuffled(spark):
+    rows = [(i, " ".join(f"w{i}x{j}" for j in range(20)), i, "b") for i in range(200)]
+    rows += [(1000 + i, rows[i][1], i, "b") for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _row int, _bitmap string")
+    usual = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        left = neardup.drop_near_duplicates(docs)
+        by_text = [n for keys, n in shuffled_rows(left) if "xxhash64(text" in keys]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", usual)
+    # five of 205 rows go
+    assert by_text and sum(by_text) <= 10
+    assert sorted(map(tuple, left.collect())) == rows[:200]
+
+
 def test_close_signatures_share_a_key(spark):
     rng = np.random.default_rng(3)
     places = neardup.CHUNKS * neardup.CHUNK
